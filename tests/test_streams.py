@@ -1,0 +1,299 @@
+"""Streams against their batch twins, restarts, late rows and the whole run."""
+
+import json
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from rows import FLAG_ROWS, flag_texts, messages, payload
+
+from txnlake import schemas
+from txnlake.operators import detect, gold, silver, validate
+from txnlake.operators.bronze import to_bronze
+from txnlake.plans import config, lake, runner, streams
+from txnlake.plans.config import LakeConfig
+from txnlake.sources.kafka import FileSource, JsonFileSink, KafkaSink, KafkaSource
+from txnlake.streaming import hops, layers, windows
+
+NORMAL = ("POS_PURCHASE", 42.5, "US", "USD")
+
+
+def test_kafka_source_options():
+    chosen = KafkaSource("broker:9092", min_partitions=64, extra={"groupIdPrefix": "x"}).options()
+    assert chosen == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "banking.transactions",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "10000",
+        "kafka.session.timeout.ms": "30000",
+        "kafka.request.timeout.ms": "40000",
+        "failOnDataLoss": "false",
+        "minPartitions": "64",
+        "groupIdPrefix": "x",
+    }
+
+
+def test_kafka_sink_options():
+    assert KafkaSink("broker:9092").options() == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "topic": "banking.fraud-alerts",
+    }
+
+
+def test_file_source_options():
+    assert FileSource("x").options() == {"ignoreMissingFiles": "true"}
+    assert FileSource("x", 3).options()["maxFilesPerTrigger"] == "3"
+
+
+def test_triggers():
+    source = FileSource("x")
+    assert LakeConfig("r", source).trigger() == {"availableNow": True}
+    assert LakeConfig("r", source, continuous="5 seconds").trigger() == {
+        "processingTime": "5 seconds"
+    }
+
+
+@pytest.fixture
+def pipeline(spark, tmp_path):
+    """A pipeline over a landing folder, and a function that lands texts."""
+    landing = str(tmp_path / "landing")
+    cfg = LakeConfig(
+        root=str(tmp_path / "lake"),
+        source=FileSource(landing, 1),
+        database="txnlake_test",
+        ingested_at=lake.ingested_at(),
+        max_files_per_trigger=1,
+    )
+
+    def land(texts):
+        messages(spark, texts).repartition(2).write.mode("append").parquet(landing)
+
+    return cfg, land
+
+
+def test_run_takes_in_what_is_new(spark, pipeline):
+    cfg, land = pipeline
+    land([*flag_texts(), "broken"])
+    first = runner.run_once(spark, cfg)
+    again = runner.run_once(spark, cfg)
+    land([payload(100 + i, *NORMAL) for i in range(5)])
+    last = runner.run_once(spark, cfg)
+
+    frauds = sum(1 for row in FLAG_ROWS if row[8])
+    tables = {name: spark.table(f"txnlake_test.{name}") for name in config.COMMENTS}
+    assert tables[config.BRONZE].count() == 22
+    assert tables[config.SILVER].count() == 21
+    assert tables[config.QUARANTINE].count() == 1
+    assert tables[config.ALERTS].count() == frauds
+    total = tables[config.GOLD].agg(F.sum("total_transactions")).first()[0]
+    assert total == 21
+    assert first.violations["silver"] == {
+        "total": 17,
+        "valid_transaction_id": 1,
+        "valid_account_id": 1,
+        "valid_amount": 3,
+        "valid_timestamp": 1,
+        "parseable_json": 1,
+    }
+    assert first.violations["bronze"]["total"] == 17
+    assert first.violations["gold"] == {"total": frauds, "is_valid_fraud_flag": 0}
+    assert again.violations["bronze"].get("total", 0) == 0
+    assert last.violations["bronze"]["total"] == 5
+    assert first.gold_path != last.gold_path
+    sent = spark.read.schema(schemas.ALERT_MESSAGES).json(cfg.table(config.ALERT_SINK)).collect()
+    assert len({json.loads(row.value)["transaction_id"] for row in sent}) == len(sent) == frauds
+
+
+def test_tables_have_comment_and_quality(spark, pipeline):
+    cfg, land = pipeline
+    land(flag_texts())
+    runner.run_once(spark, cfg)
+    for name, tag in config.QUALITY.items():
+        table = f"{cfg.database}.{name}"
+        properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+        assert properties["quality"] == tag
+        assert spark.catalog.getTable(table).description == config.COMMENTS[name]
+
+
+def test_full_refresh_reads_all_again(spark, pipeline):
+    cfg, land = pipeline
+    land(flag_texts())
+    runner.run_once(spark, cfg)
+    fresh = runner.run_once(spark, cfg, full_refresh=True)
+    assert fresh.config.generation != cfg.generation
+    assert fresh.violations["bronze"]["total"] == len(FLAG_ROWS)
+    assert layers.read_table(spark, fresh.config, config.SILVER).count() == len(FLAG_ROWS)
+
+
+def test_failed_check_fails_the_run(spark, pipeline):
+    cfg, land = pipeline
+    land([flag_texts()[2], flag_texts()[3]])
+    with pytest.raises(validate.ValidationError, match="fraud_rate"):
+        runner.run_once(spark, cfg)
+
+
+def test_run_on_nothing_fails_the_checks(spark, pipeline):
+    cfg, land = pipeline
+    land([])
+    with pytest.raises(validate.ValidationError, match="bronze_not_empty"):
+        runner.run_once(spark, cfg)
+
+
+def test_continuous_run(spark, pipeline):
+    from dataclasses import replace
+
+    cfg, land = pipeline
+    land(flag_texts())
+    runner.run_once(spark, cfg)
+    live = replace(cfg, continuous="0 seconds")
+    with pytest.raises(ValueError):
+        runner.run_once(spark, live)
+    with pytest.raises(ValueError):
+        runner.start_all(spark, cfg)
+    land([payload(200, *NORMAL), payload(201, "ATM_WITHDRAWAL", 50, "GB", "GBP")])
+    queries = runner.start_all(spark, live)
+    try:
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    alerts = layers.read_table(spark, cfg, config.ALERTS)
+    assert alerts.filter("transaction_id = 'tx-201'").count() == 1
+
+
+def test_keep_policy_streams(spark, pipeline):
+    from dataclasses import replace
+
+    cfg, land = pipeline
+    cfg = replace(cfg, corrupt_policy="keep")
+    texts = [*flag_texts(), "broken", payload(50, *NORMAL, _rescued_data="x")]
+    land(texts)
+    runner.run_once(spark, cfg)
+    bronze = layers.read_table(spark, cfg, config.BRONZE)
+    twin = silver.to_silver(bronze, "keep")
+    stored = layers.read_table(spark, cfg, config.SILVER)
+    assert stored.exceptAll(twin).count() == twin.exceptAll(stored).count() == 0
+    assert stored.count() == len(texts) - 1
+
+
+def test_alert_sink_can_be_chosen(tmp_path):
+    cfg = LakeConfig("r", FileSource("x"), alert_sink=KafkaSink("b:1"))
+    assert cfg.sink().options()["topic"] == "banking.fraud-alerts"
+    assert isinstance(LakeConfig("r", FileSource("x")).sink(), JsonFileSink)
+
+
+def test_complete_mode_view_equals_batch(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    rows = silver.to_silver(to_bronze(messages(spark, flag_texts())))
+    rows.repartition(4).write.parquet(path)
+    stream = spark.readStream.schema(schemas.SILVER).option("maxFilesPerTrigger", 1).parquet(path)
+    query = (
+        gold.merchant_analytics(stream)
+        .writeStream.outputMode("complete")
+        .format("memory")
+        .queryName("gold_complete")
+        .trigger(availableNow=True)
+        .start()
+    )
+    runner.finish(query)
+    view, batch = spark.table("gold_complete"), gold.merchant_analytics(rows)
+    assert view.exceptAll(batch).count() == batch.exceptAll(view).count() == 0
+
+
+START = datetime(2024, 3, 1, 10, 0, 0)
+
+
+def silver_rows(spark, rows):
+    """Silver rows of (account, id, seconds after start, country)."""
+    names = schemas.names(schemas.SILVER)
+    filled = []
+    for account, number, second, country in rows:
+        known = {
+            "transaction_id": number,
+            "account_id": account,
+            "event_timestamp": START + timedelta(seconds=second),
+            "amount": 10.0,
+            "country": country,
+            "latitude": 1.0,
+            "longitude": 2.0,
+            "merchant_category": "RETAIL",
+        }
+        filled.append(tuple(known.get(name) for name in names))
+    return spark.createDataFrame(filled, schemas.SILVER)
+
+
+def run_arrivals(spark, root, transform, arrivals):
+    """Run a transform after each arrival, on one checkpoint; gives the rows and the queries."""
+    queries = []
+    for rows in arrivals:
+        silver_rows(spark, rows).write.mode("append").parquet(f"{root}/in")
+        result = transform(spark.readStream.schema(schemas.SILVER).parquet(f"{root}/in"))
+        query = (
+            result.writeStream.format("parquet")
+            .option("path", f"{root}/out")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        queries += runner.finish(query)
+    return spark.read.schema(result.schema).parquet(f"{root}/out"), queries
+
+
+def test_geo_hop_state_spans_runs(spark, tmp_path):
+    arrivals = [
+        [("a", "tx-2", 30, "JP"), ("a", "tx-1", 0, "US"), ("b", "tx-3", 40, "US")],
+        [("b", "tx-4", 100, "GB"), ("a", "tx-5", 3000, "US"), (None, "tx-6", 3000, "US")],
+        [("a", "tx-7", 9000, "GB"), ("b", "tx-8", 9000, None), ("b", "tx-9", 9001, "US")],
+    ]
+    found, _ = run_arrivals(spark, tmp_path, hops.geo_hop, arrivals)
+    twin = detect.geo_hop(silver_rows(spark, [row for rows in arrivals for row in rows]))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, twin.collect()))
+    assert {row.transaction_id for row in found.collect()} == {"tx-2", "tx-4", "tx-5"}
+
+
+def test_geo_hop_ignores_rows_that_lost_their_place(spark, tmp_path):
+    arrivals = [
+        [("a", "tx-1", 0, "US"), ("a", "tx-2", 100, "US")],
+        [("a", "tx-0", 50, "JP"), ("a", "tx-3", 200, "GB")],
+    ]
+    found, _ = run_arrivals(spark, tmp_path, hops.geo_hop, arrivals)
+    assert [(r.transaction_id, r.previous_transaction_id) for r in found.collect()] == [
+        ("tx-3", "tx-2")
+    ]
+
+
+def test_late_row_is_dropped(spark, tmp_path):
+    arrivals = [
+        [("a", "tx-1", 0, "US")],
+        [("a", "tx-2", 3 * 3600, "US")],
+        [("a", "tx-3", 60, "US"), ("a", "tx-4", 6 * 3600, "US")],
+    ]
+    found, queries = run_arrivals(spark, tmp_path, windows.hourly_spend, arrivals)
+    assert sorted((r.hour_start.hour, r.txn_count) for r in found.collect()) == [(10, 1), (13, 1)]
+    dropped = [
+        state.numRowsDroppedByWatermark
+        for query in queries
+        for progress in query.recentProgress
+        for state in progress.stateOperators
+    ]
+    assert sum(dropped) == 1
+
+
+def test_late_feed_of_the_test_tables(spark, sf_dir):
+    result, dropped = streams.late_data_run(spark, sf_dir)
+    assert dropped > 0
+    assert result.agg(F.sum("txn_count")).first()[0] < lake.stored_silver(spark, sf_dir).count()
+
+
+def test_missing_progress_is_an_error():
+    class Progress:
+        def __init__(self, batch):
+            self.batchId = batch
+            self.observedMetrics = {"dq_silver": None}
+
+    class Query:
+        recentProgress = [Progress(0), Progress(2)]
+
+    with pytest.raises(RuntimeError):
+        layers.observed_violations([Query()], "silver")

@@ -52,7 +52,6 @@ def geo_hop(
     silver: DataFrame,
     max_gap_seconds: int = MAX_GAP_SECONDS,
     hot_rows: int = timeline.HOT_ROWS,
-    grain_seconds: int = timeline.GRAIN_SECONDS,
 ) -> DataFrame:
     """Transactions in another country than the account's transaction shortly before."""
     visits = silver.select("account_id", *HOP_CARRIED)
@@ -63,7 +62,6 @@ def geo_hop(
         "transaction_id",
         HOP_CARRIED,
         hot_rows,
-        grain_seconds,
     )
     return hop_report(ordered.filter(is_hop(max_gap_seconds)))
 
@@ -73,7 +71,6 @@ def velocity_spike(
     seconds: int = VELOCITY_SECONDS,
     at_least: int = VELOCITY_COUNT,
     hot_rows: int = timeline.HOT_ROWS,
-    grain_seconds: int = timeline.GRAIN_SECONDS,
 ) -> DataFrame:
     """Transactions that are at least the `at_least`-th of their account within `seconds`."""
     counted = timeline.with_trailing_sums(
@@ -83,7 +80,6 @@ def velocity_spike(
         seconds,
         {"txn_count": F.lit(1).cast("bigint")},
         hot_rows,
-        grain_seconds,
     )
     return counted.filter(F.col("txn_count") >= at_least)
 
@@ -92,7 +88,6 @@ def rolling_account_spend(
     silver: DataFrame,
     seconds: int = SPEND_SECONDS,
     hot_rows: int = timeline.HOT_ROWS,
-    grain_seconds: int = timeline.GRAIN_SECONDS,
 ) -> DataFrame:
     """Per transaction, count and amount of its account over the `seconds` up to it.
 
@@ -109,7 +104,6 @@ def rolling_account_spend(
             "rolling_spend": F.col("amount").cast("decimal(38,6)"),
         },
         hot_rows,
-        grain_seconds,
     )
     return summed.withColumn("rolling_spend", F.round("rolling_spend", 2).cast("double"))
 

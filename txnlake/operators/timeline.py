@@ -1,12 +1,14 @@
 """Per-account order and trailing sums that hold up when one account has most of the rows.
 
-A plain window over an account sorts the whole account in one task.  Here an account with more
-than `hot_rows` rows is cut into chunks of `grain` seconds.  Every chunk is a window group of its
-own, and one more window, over a few rows per chunk, carries what a chunk needs from the chunks
-before it.  The result is the same as that of the plain window.
-
-The list of hot accounts is the only thing that is broadcast.  It holds fewer than
-`rows / hot_rows` keys, so `hot_rows` bounds it; it comes from a partially aggregated count.
+A plain window over an account sorts the whole account in one task.  Here the timeline of a hot
+account is cut into chunks.  Every chunk is a window group of its own, and one more window, over
+a few rows per chunk, carries what a chunk needs from the chunks before it.  The result is that
+of the plain window.
+
+An account is hot above `hot_rows` rows, and above one part in `MAX_HOT_KEYS` of all rows: so
+there are fewer than `MAX_HOT_KEYS` hot accounts whatever the size of the table, and their list
+can be broadcast.  It comes from a partially aggregated count over two columns.  The denser a hot
+account's timeline, the shorter its chunks, down to a millisecond.
 """
 
 from __future__ import annotations
@@ -17,20 +19,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-GRAIN_SECONDS = 60
+MAX_HOT_KEYS = 10_000
+LONGEST_CHUNK = 60_000_000  # microseconds
+SHORTEST_CHUNK = 1_000
 
 CHUNK = "_chunk"
 
 
-def _mark_hot(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """Add `_hot`, true for keys with more than `hot_rows` rows and NULL for the others."""
-    hot = df.groupBy(key).count().filter(F.col("count") > hot_rows)
-    return df.join(F.broadcast(hot.select(key, F.lit(True).alias("_hot"))), key, "left")
+def _hot_keys(df: DataFrame, key: str, time: str, hot_rows: int) -> DataFrame:
+    """Hot keys with the length of their chunks: what holds `hot_rows` rows on average."""
+    at = F.unix_micros(time)
+    counts = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("rows"), (F.max(at) - F.min(at) + 1).alias("span")
+    )
+    share = df.agg(F.floor(F.count(F.lit(1)) / MAX_HOT_KEYS))
+    hot = counts.filter((F.col("rows") > hot_rows) & (F.col("rows") > share.scalar()))
+    holds_enough = F.floor(F.col("span") * (F.lit(hot_rows) / F.col("rows")))
+    return hot.select(
+        key,
+        F.greatest(
+            F.lit(SHORTEST_CHUNK), F.least(F.lit(LONGEST_CHUNK), holds_enough)
+        ).alias("_length"),
+    )
+
+
+def _mark_hot(df: DataFrame, key: str, time: str, hot_rows: int) -> DataFrame:
+    """Add `_length`, the chunk length of hot keys, NULL for the others."""
+    return df.join(F.broadcast(_hot_keys(df, key, time, hot_rows)), key, "left")
 
 
-def _chunk_of(at_micros: Column, grain_seconds: int) -> Column:
+def _chunk_of(at_micros: Column) -> Column:
     """Chunk number of a time for hot keys, NULL for the others."""
-    return F.when(F.col("_hot"), F.floor(at_micros / (grain_seconds * 1_000_000)))
+    return F.floor(at_micros / F.col("_length"))
 
 
 def with_previous(
@@ -40,7 +60,6 @@ def with_previous(
     tie_break: str,
     carried: Sequence[str],
     hot_rows: int = HOT_ROWS,
-    grain_seconds: int = GRAIN_SECONDS,
 ) -> DataFrame:
     """Add `previous`: the `carried` columns of the key's row before, in time and tie order.
 
@@ -48,14 +67,18 @@ def with_previous(
     out.
     """
     placed = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
-    chunked = _mark_hot(placed, key, hot_rows).withColumn(
-        CHUNK, _chunk_of(F.unix_micros(time), grain_seconds)
+    chunked = _mark_hot(placed, key, time, hot_rows).withColumn(
+        CHUNK, _chunk_of(F.unix_micros(time))
     )
     in_chunk = Window.partitionBy(key, CHUNK).orderBy(time, tie_break)
     in_key = Window.partitionBy(key).orderBy(time, tie_break)
-    before = F.struct(*carried)
 
-    ordered = chunked.withColumn("previous", F.lag(before).over(in_chunk))
+    def before(window):
+        # Column by column: a lag of a struct would ship every value twice.
+        values = F.struct(*[F.lag(name).over(window).alias(name) for name in carried])
+        return F.when(F.lag(time).over(window).isNotNull(), values)
+
+    ordered = chunked.withColumn("previous", before(in_chunk))
     settled = ordered.filter(F.col("previous").isNotNull() | F.col(CHUNK).isNull())
 
     # First and last row of each chunk of the hot keys: the row before a first row is a last row.
@@ -65,7 +88,7 @@ def with_previous(
         .filter(F.col("previous").isNull() | F.col("_last"))
     )
     firsts = (
-        edges.withColumn("_before", F.lag(before).over(in_key))
+        edges.withColumn("_before", before(in_key))
         .filter(F.col("previous").isNull())
         .withColumn("previous", F.col("_before"))
     )
@@ -79,7 +102,6 @@ def with_trailing_sums(
     seconds: int,
     measures: dict[str, Column],
     hot_rows: int = HOT_ROWS,
-    grain_seconds: int = GRAIN_SECONDS,
 ) -> DataFrame:
     """Add sums of `measures` over the key's rows of the `seconds` up to and including each row.
 
@@ -92,14 +114,14 @@ def with_trailing_sums(
     placed = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
     at = F.unix_micros(time)
     leaves_at = at + F.lit(seconds * 1_000_000 + 1)
-    measured = _mark_hot(placed, key, hot_rows).withColumns(
+    measured = _mark_hot(placed, key, time, hot_rows).withColumns(
         {f"_m_{name}": F.coalesce(value, F.lit(0)) for name, value in measures.items()}
     )
     entering = F.col("_sign") == 1
     steps = (
         measured.withColumn("_sign", F.explode(F.array(F.lit(1), F.lit(-1))))
         .withColumn("_at", F.when(entering, at).otherwise(leaves_at))
-        .withColumn(CHUNK, _chunk_of(F.col("_at"), grain_seconds))
+        .withColumn(CHUNK, _chunk_of(F.col("_at")))
         .select(
             F.col(key),
             CHUNK,
