@@ -131,12 +131,14 @@ def test_thresholds_are_parameters(spark):
     assert found[3]["is_international_atm"] is False
 
 
-def test_one_parse_per_message(spark, tmp_path):
+@pytest.mark.parametrize("policy, readers", [("drop", 1), ("keep", 2)])
+def test_one_parse_per_message(spark, tmp_path, policy, readers):
     path = str(tmp_path / "bronze")
     bronze_of(spark, flag_texts()).write.parquet(path)
-    rows = silver.to_silver(spark.read.schema(schemas.BRONZE).parquet(path)).filter("is_fraud")
+    bronze = spark.read.schema(schemas.BRONZE).parquet(path)
+    rows = silver.to_silver(bronze, policy).filter("is_fraud")
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json") == 1
+    assert plan.count("from_json") + plan.count("get_json_object") == readers
 
 
 def test_alerts_skip_null_flags(spark):

@@ -28,8 +28,9 @@ def _with_payload(bronze: DataFrame, corrupt_policy: str) -> DataFrame:
         return bronze.select("*", F.inline(F.array(payload)))
     if corrupt_policy == "keep":
         payload = F.from_json("raw_value", schemas.PAYLOAD, {"mode": "PERMISSIVE"})
-        rescued = F.get_json_object("raw_value", f"$.{RESCUED}").alias(RESCUED)
-        return bronze.select("*", rescued, F.inline(F.array(payload)))
+        rescued = F.get_json_object("raw_value", f"$.{RESCUED}")
+        read = F.struct(payload.alias("payload"), rescued.alias(RESCUED))
+        return bronze.select("*", F.inline(F.array(read))).select("*", "payload.*").drop("payload")
     raise ValueError(f"corrupt_policy must be 'drop' or 'keep', not {corrupt_policy!r}")
 
 

@@ -106,21 +106,48 @@ def with_trailing_sums(
     """Add sums of `measures` over the key's rows of the `seconds` up to and including each row.
 
     Both ends belong to the span, and so do all rows of the same instant.  Measures must be
-    exact (BIGINT or DECIMAL): every row enters the running sum when it happens and leaves it
-    once the span is over, which costs one addition per row however many rows a span holds, where
-    Spark's sliding frame adds up the whole span for every row.
+    exact (BIGINT or DECIMAL): a span is the sum of all rows so far less the sum of those that
+    are too old.  Both only ever grow along the timeline, which costs one addition per row,
+    where a frame that slides adds up its whole span for every row.
     """
-    columns = df.columns
     placed = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
-    at = F.unix_micros(time)
-    leaves_at = at + F.lit(seconds * 1_000_000 + 1)
-    measured = _mark_hot(placed, key, time, hot_rows).withColumns(
+    marked = _mark_hot(placed, key, time, hot_rows).withColumns(
         {f"_m_{name}": F.coalesce(value, F.lit(0)) for name, value in measures.items()}
     )
+    span = seconds * 1_000_000
+    in_key = Window.partitionBy(key).orderBy(F.unix_micros(time))
+    until_now = in_key.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    too_old = in_key.rangeBetween(Window.unboundedPreceding, -span - 1)
+    plain = marked.filter(F.col("_length").isNull()).select(
+        *df.columns,
+        *[
+            (
+                F.sum(f"_m_{name}").over(until_now)
+                - F.coalesce(F.sum(f"_m_{name}").over(too_old), F.lit(0))
+            ).alias(name)
+            for name in measures
+        ],
+    )
+    hot = _trailing_sums_in_chunks(
+        marked.filter(F.col("_length").isNotNull()), df.columns, key, time, span, list(measures)
+    )
+    return plain.unionByName(hot.select(plain.columns))
+
+
+def _trailing_sums_in_chunks(
+    marked: DataFrame, columns: list[str], key: str, time: str, span: int, measures: list[str]
+) -> DataFrame:
+    """The trailing sums of hot keys.
+
+    Every row counts twice: it enters the sum when it happens and leaves it, with the opposite
+    sign, once the span is over.  So a chunk needs only one number from the chunks before it,
+    the balance at its beginning.
+    """
+    at = F.unix_micros(time)
     entering = F.col("_sign") == 1
     steps = (
-        measured.withColumn("_sign", F.explode(F.array(F.lit(1), F.lit(-1))))
-        .withColumn("_at", F.when(entering, at).otherwise(leaves_at))
+        marked.withColumn("_sign", F.explode(F.array(F.lit(1), F.lit(-1))))
+        .withColumn("_at", F.when(entering, at).otherwise(at + F.lit(span + 1)))
         .withColumn(CHUNK, _chunk_of(F.col("_at")))
         .select(
             F.col(key),
@@ -128,34 +155,28 @@ def with_trailing_sums(
             "_at",
             entering.alias("_row"),
             *[
-                F.when(entering, F.col(f"_m_{name}")).otherwise(-F.col(f"_m_{name}")).alias(f"_m_{name}")
-                for name in measures
+                F.when(entering, F.col(f"_m_{m}")).otherwise(-F.col(f"_m_{m}")).alias(f"_m_{m}")
+                for m in measures
             ],
             # Rows that leave only change the sums; their other columns need not travel.
             *[F.when(entering, F.col(c)).alias(c) for c in columns if c != key],
         )
     )
-
-    # What is inside the span when a chunk of a hot key begins: one row per chunk.
-    chunks = (
-        steps.filter(F.col(CHUNK).isNotNull())
-        .groupBy(key, CHUNK)
-        .agg(*[F.sum(f"_m_{name}").alias(f"_m_{name}") for name in measures])
-    )
+    chunks = steps.groupBy(key, CHUNK).agg(*[F.sum(f"_m_{m}").alias(f"_m_{m}") for m in measures])
     earlier = Window.partitionBy(key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    opening = chunks.select(
+    balances = chunks.select(
         key,
         CHUNK,
         F.lit(None).cast("bigint").alias("_at"),
         F.lit(False).alias("_row"),
-        *[F.sum(f"_m_{name}").over(earlier).alias(f"_m_{name}") for name in measures],
+        *[F.sum(f"_m_{m}").over(earlier).alias(f"_m_{m}") for m in measures],
     )
     so_far = (
         Window.partitionBy(key, CHUNK)
         .orderBy(F.asc_nulls_first("_at"))
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    summed = steps.unionByName(opening, allowMissingColumns=True).withColumns(
-        {name: F.sum(f"_m_{name}").over(so_far) for name in measures}
+    summed = steps.unionByName(balances, allowMissingColumns=True).withColumns(
+        {m: F.sum(f"_m_{m}").over(so_far) for m in measures}
     )
     return summed.filter("_row").select(*columns, *measures)

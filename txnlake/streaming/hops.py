@@ -1,4 +1,4 @@
-"""Geographic hops on a stream: the last transaction of each account is kept as state."""
+"""Geographic hops on a stream: the last transaction of each active account is kept as state."""
 
 from __future__ import annotations
 
@@ -9,55 +9,82 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from txnlake.operators.detect import HOP_CARRIED, MAX_GAP_SECONDS, hop_report, is_hop
 
-_ROW = "transaction_id STRING, at BIGINT, country STRING, latitude DOUBLE, longitude DOUBLE"
-_FIELDS = ["transaction_id", "at", "country", "latitude", "longitude"]
+# A call of the state function costs some 10 ms however few rows it gets, so accounts share state
+# entries.  A few entries per state partition spread the work; like the number of partitions, the
+# number of entries stays as it is for the life of a checkpoint.
+BUCKETS = 64
 
-
-def _pairs_schema() -> str:
-    previous = ", ".join(f"p_{field.strip()}" for field in _ROW.split(","))
-    return f"account_id STRING, {_ROW}, {previous}"
+_TYPES = {
+    "account_id": "STRING",
+    "transaction_id": "STRING",
+    "at": "BIGINT",
+    "country": "STRING",
+    "latitude": "DOUBLE",
+    "longitude": "DOUBLE",
+}
+_STATE = ", ".join(f"{name} ARRAY<{kind}>" for name, kind in _TYPES.items())
+_PAIRS = ", ".join(
+    [f"{name} {kind}" for name, kind in _TYPES.items()]
+    + [f"p_{name} {kind}" for name, kind in _TYPES.items() if name != "account_id"]
+)
 
 
 def _pair_with_previous(max_gap_micros: int):
     """State function: pairs each row with its account's row before, where that is near enough.
 
-    Rows of one micro-batch are put in order here.  A row that is older than the state when it
-    arrives has lost its place: it is paired with nothing and does not replace the state.  Within
-    a batch a group has at most as many rows as the source's limit per trigger.
+    The state of a bucket holds the last row of each account that can still hop.  Rows of one
+    micro-batch are put in order here.  A row that is older than its account's last row when it
+    arrives has lost its place: it is paired with nothing and does not become the last row.  A
+    call gets at most as many rows as the source's limit per trigger.
     """
-    fields = list(_FIELDS)
-    columns = ["account_id", *fields, *[f"p_{name}" for name in fields]]
+    names = list(_TYPES)
+    columns = [*names, *[f"p_{name}" for name in names[1:]]]
+
+    def place(row):
+        return row[0], row[2], row[1] or ""
 
     def update(key, batches, state: GroupState):
         if state.hasTimedOut:
             state.remove()
             return
-        current = [
-            tuple(None if pd.isna(value) else value for value in row)
+        last = {row[0]: row for row in zip(*state.get, strict=True)} if state.exists else {}
+        arrived = [
+            tuple(None if value != value else value for value in row)
             for batch in batches
-            for row in zip(*[batch[name].tolist() for name in fields], strict=True)
+            for row in zip(*[batch[name].tolist() for name in names], strict=True)
         ]
-        current.sort(key=lambda row: (row[1], row[0] or ""))
-        last = tuple(state.get) if state.exists else None
-        paired = []
-        for row in current:
-            if last is not None and (row[1], row[0] or "") < (last[1], last[0] or ""):
-                continue
-            if last is not None and row[1] - last[1] <= max_gap_micros:
-                paired.append((key[0], *row, *last))
-            last = row
-        state.update(last)
+        pairs = []
+        for row in sorted(arrived, key=place):
+            before = last.get(row[0])
+            if before is not None:
+                if place(row) < place(before):
+                    continue
+                if row[2] - before[2] <= max_gap_micros:
+                    pairs.append(row + before[1:])
+            last[row[0]] = row
+
         # An account that stays silent for longer than the gap cannot hop any more.
-        expires = (last[1] + max_gap_micros) // 1000 + 1
-        state.setTimeoutTimestamp(max(expires, state.getCurrentWatermarkMs() + 1))
-        if paired:
-            yield pd.DataFrame(paired, columns=columns)
+        watermark = state.getCurrentWatermarkMs()
+        expiry = {
+            account: (row[2] + max_gap_micros) // 1000 + 1 for account, row in last.items()
+        }
+        alive = [row for account, row in last.items() if expiry[account] > watermark]
+        if alive:
+            state.update(tuple(list(values) for values in zip(*alive, strict=True)))
+            state.setTimeoutTimestamp(max(expiry.values()))
+        elif state.exists:
+            state.remove()
+        if pairs:
+            yield pd.DataFrame(pairs, columns=columns)
 
     return update
 
 
 def geo_hop(
-    silver: DataFrame, max_gap_seconds: int = MAX_GAP_SECONDS, watermark: str = "10 minutes"
+    silver: DataFrame,
+    max_gap_seconds: int = MAX_GAP_SECONDS,
+    watermark: str = "10 minutes",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Same rows as the batch form where rows arrive in time order from batch to batch."""
     visits = (
@@ -65,11 +92,12 @@ def geo_hop(
         .filter("account_id IS NOT NULL AND event_timestamp IS NOT NULL")
         .withWatermark("event_timestamp", watermark)
         .withColumn("at", F.unix_micros("event_timestamp"))
+        .withColumn("bucket", F.pmod(F.xxhash64("account_id"), F.lit(buckets)))
     )
-    pairs = visits.groupBy("account_id").applyInPandasWithState(
+    pairs = visits.groupBy("bucket").applyInPandasWithState(
         _pair_with_previous(max_gap_seconds * 1_000_000),
-        _pairs_schema(),
-        _ROW,
+        _PAIRS,
+        _STATE,
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
