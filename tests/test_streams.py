@@ -115,6 +115,18 @@ def test_tables_have_comment_and_quality(spark, pipeline):
         assert spark.catalog.getTable(table).description == config.COMMENTS[name]
 
 
+def test_tables_keep_the_column_order(spark, pipeline):
+    from dataclasses import replace
+
+    cfg, land = pipeline
+    cfg = replace(cfg, database="txnlake_order_test")
+    land(flag_texts())
+    runner.run_once(spark, cfg)
+    for name in config.COMMENTS:
+        ddl = schemas.GOLD if name == config.GOLD else layers.SCHEMAS[name]
+        assert spark.table(f"{cfg.database}.{name}").columns == schemas.names(ddl)
+
+
 def test_full_refresh_reads_all_again(spark, pipeline):
     cfg, land = pipeline
     land(flag_texts())

@@ -44,13 +44,21 @@ def refresh_gold(spark: SparkSession, cfg: LakeConfig) -> str:
 
 
 def register(spark: SparkSession, cfg: LakeConfig, name: str, ddl: str, path: str) -> None:
-    """Put a table into the catalog, with its comment and quality tag."""
-    spark.sql(f"DROP TABLE IF EXISTS {cfg.database}.{name}")
-    spark.sql(
-        f"CREATE TABLE {cfg.database}.{name} ({ddl}) USING parquet LOCATION '{path}' "
-        f"COMMENT '{config.COMMENTS[name]}' "
-        f"TBLPROPERTIES ('quality' = '{config.QUALITY[name]}')"
-    )
+    """Point the catalog at a table's folder, with its comment and quality tag.
+
+    An entry that exists is moved, never dropped, so readers always find the table.  Register a
+    stream's table before its first row: with folders in place Spark would infer the columns.
+    """
+    table = f"{cfg.database}.{name}"
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    else:
+        spark.sql(
+            f"CREATE TABLE {table} ({ddl}) USING parquet LOCATION '{path}' "
+            f"COMMENT '{config.COMMENTS[name]}' "
+            f"TBLPROPERTIES ('quality' = '{config.QUALITY[name]}')"
+        )
+    spark.catalog.refreshTable(table)
 
 
 def run_once(spark: SparkSession, cfg: LakeConfig, full_refresh: bool = False) -> RunResult:
@@ -65,14 +73,17 @@ def run_once(spark: SparkSession, cfg: LakeConfig, full_refresh: bool = False) -
     if full_refresh:
         cfg = replace(cfg, generation=f"g{uuid.uuid4().hex[:12]}")
     validate.ensure_namespace(spark, cfg.database)
+    streamed = (config.BRONZE, config.SILVER, config.QUARANTINE, config.ALERTS)
+    for name in streamed:
+        register(spark, cfg, name, layers.SCHEMAS[name], cfg.table(name))
 
     bronze = finish(layers.start_bronze(spark, cfg))
     silver = finish(layers.start_silver(spark, cfg), layers.start_quarantine(spark, cfg))
     alerts = finish(layers.start_alerts(spark, cfg), layers.start_alert_sink(spark, cfg))
     gold_path = refresh_gold(spark, cfg)
 
-    for name in (config.BRONZE, config.SILVER, config.QUARANTINE, config.ALERTS):
-        register(spark, cfg, name, layers.SCHEMAS[name], cfg.table(name))
+    for name in streamed:
+        spark.catalog.refreshTable(f"{cfg.database}.{name}")
     register(spark, cfg, config.GOLD, schemas.GOLD, gold_path)
 
     checks = validate.checks(

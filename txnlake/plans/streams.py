@@ -138,7 +138,10 @@ def _stateful(
 
 
 def stream_geo_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stateful(spark, sf_dir, "stream_geo_hop", hops.geo_hop)[0]
+    buckets = spark.sparkContext.defaultParallelism * 8
+    return _stateful(
+        spark, sf_dir, "stream_geo_hop", lambda rows: hops.geo_hop(rows, buckets=buckets)
+    )[0]
 
 
 def stream_sliding_volume(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from txnlake.operators.detect import HOP_CARRIED, MAX_GAP_SECONDS, hop_report, is_hop
 
 # A call of the state function costs some 10 ms however few rows it gets, so accounts share state
-# entries.  A few entries per state partition spread the work; like the number of partitions, the
-# number of entries stays as it is for the life of a checkpoint.
+# entries.  Take a few entries per state partition, so that all partitions have work; like the
+# number of partitions, the number of entries stays as it is for the life of a checkpoint.
 BUCKETS = 64
 
 _TYPES = {
