@@ -15,7 +15,10 @@ from txnlake.sources import events
 
 # A fixed ingestion time: compared results must not depend on the clock.
 INGESTED_AT = "2024-02-01 00:00:00"
-ARRIVALS = 4
+
+# Messages arrive in runs of this size on average, and in whole quarters of the time range.
+ARRIVAL_ROWS = 5_000_000
+QUARTERS = 4
 
 _built: dict[tuple[str, str, str], str] = {}
 
@@ -73,9 +76,12 @@ def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def arrival_bounds(spark: SparkSession, sf_dir: str) -> list[tuple[datetime, datetime]]:
     """Consecutive time ranges that cover all events: what arrives before each run."""
-    first, last = events.time_bounds(spark, sf_dir)
-    step = (last - first) // ARRIVALS
-    cuts = [first + i * step for i in range(ARRIVALS)] + [last + timedelta(microseconds=1)]
+    rows, first, last = events.extent(spark, sf_dir)
+    per_quarter = -(-rows // (QUARTERS * ARRIVAL_ROWS))
+    quarter = (last - first) // QUARTERS
+    step = quarter // per_quarter
+    cuts = [first + q * quarter + i * step for q in range(QUARTERS) for i in range(per_quarter)]
+    cuts.append(last + timedelta(microseconds=1))
     return list(zip(cuts[:-1], cuts[1:], strict=True))
 
 
@@ -102,21 +108,26 @@ def silver_arrivals(
 ) -> Iterator[int]:
     """Append silver rows to `path` range by range, in time order; yields after each range.
 
-    Rows of the first range that satisfy `delayed` arrive with the last range.
+    Rows of the first quarter that satisfy `delayed` arrive with the last range.
     """
-    rows = stored_silver(spark, sf_dir)
     # Event times are cut to milliseconds, so a range starts at its first millisecond.
-    bounds = [since.replace(microsecond=since.microsecond // 1000 * 1000)
-              for since, _ in arrival_bounds(spark, sf_dir)]
-    time, is_late = F.col("event_timestamp"), F.coalesce(F.expr(delayed), F.lit(False))
-    starts = [F.lit(start).cast("timestamp_ntz").cast("timestamp") for start in bounds]
-    for number, start in enumerate(starts):
-        chosen = time >= start
-        if number + 1 < len(starts):
-            chosen = chosen & (time < starts[number + 1])
-        if number == 0:
-            chosen = chosen & ~is_late
-        if number + 1 == len(starts):
-            chosen = chosen | (is_late & (time < starts[1]))
+    starts = [
+        since.replace(microsecond=since.microsecond // 1000 * 1000)
+        for since, _ in arrival_bounds(spark, sf_dir)
+    ]
+
+    def from_start(number):
+        start = F.lit(starts[number]).cast("timestamp_ntz").cast("timestamp")
+        return F.col("event_timestamp") >= start
+
+    in_first_quarter = ~from_start(len(starts) // QUARTERS)
+    is_late = in_first_quarter & F.coalesce(F.expr(delayed), F.lit(False))
+    rows = stored_silver(spark, sf_dir)
+    for number in range(len(starts)):
+        is_last = number + 1 == len(starts)
+        in_range = from_start(number)
+        if not is_last:
+            in_range = in_range & ~from_start(number + 1)
+        chosen = (in_range | is_late) if is_last else (in_range & ~is_late)
         rows.filter(chosen).write.mode("append").parquet(path)
         yield number

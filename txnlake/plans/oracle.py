@@ -236,7 +236,7 @@ FROM {rows} GROUP BY ALL
 # The watermark at the end of a stream: windows that end later are still open.
 WATERMARK = "(SELECT max(event_timestamp) FROM silver) - INTERVAL 10 MINUTE"
 
-FIRST_ARRIVAL_END = """(
+FIRST_QUARTER_END = """(
   SELECT make_timestamp((epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) // 4)
     // 1000 * 1000) FROM events)"""
 
@@ -337,7 +337,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_late_data": f"""
             SELECT * FROM ({HOURLY.format(rows=f'''(
               SELECT * FROM silver
-              WHERE NOT (country = 'JP' AND event_timestamp < {FIRST_ARRIVAL_END})
+              WHERE NOT (country = 'JP' AND event_timestamp < {FIRST_QUARTER_END})
             ) AS in_time''')}) AS hours
             WHERE hour_start + INTERVAL 1 HOUR <= {WATERMARK}""",
     }

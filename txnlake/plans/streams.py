@@ -153,7 +153,7 @@ def stream_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stateful(spark, sf_dir, "stream_velocity", windows.account_velocity)[0]
 
 
-# One country's feed of the first arrival comes in with the last one.
+# One country's feed of the first quarter comes in with the last arrival.
 DELAYED_FEED = "country = 'JP'"
 
 

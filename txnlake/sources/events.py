@@ -52,10 +52,10 @@ def _nth(values: list[str], index: Column) -> Column:
     return F.get(F.array(*[F.lit(value) for value in values]), index.cast("int"))
 
 
-def time_bounds(spark: SparkSession, sf_dir: str) -> tuple[datetime, datetime]:
-    """First and last event time."""
+def extent(spark: SparkSession, sf_dir: str) -> tuple[int, datetime, datetime]:
+    """Number of events, first and last event time."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return tuple(events.agg(F.min("ts"), F.max("ts")).first())
+    return tuple(events.agg(F.count(F.lit(1)), F.min("ts"), F.max("ts")).first())
 
 
 def messages(
