@@ -77,20 +77,30 @@ def test_previous_row(spark, hot_rows):
     assert found == expected
 
 
-def test_hot_keys_are_few_and_chunks_follow_density(spark):
+def test_hot_keys(spark):
     df = visits(spark, skewed())
-    hot = timeline._hot_keys(df, "account_id", "event_timestamp", 100).collect()
-    assert [row.account_id for row in hot] == ["hot"]
-    assert timeline.SHORTEST_CHUNK <= hot[0]._length <= timeline.LONGEST_CHUNK
+    assert [row.account_id for row in timeline.hot_keys(df, "account_id", 100).collect()] == ["hot"]
+    assert timeline.hot_keys(df, "account_id").count() == 0
 
 
 def test_hot_list_has_a_fixed_bound(spark, monkeypatch):
     monkeypatch.setattr(timeline, "MAX_HOT_KEYS", 4)
-    df = visits(spark, skewed())
-    hot = timeline._hot_keys(df, "account_id", "event_timestamp", 1).collect()
+    hot = timeline.hot_keys(visits(spark, skewed()), "account_id", 1).collect()
     assert [row.account_id for row in hot] == ["hot"]
 
 
+def test_many_rows_in_one_instant(spark):
+    rows = [("hot", f"tx-{i:04d}", 7, 0.25, "US") for i in range(300)]
+    rows += [("hot", f"ty-{i:04d}", 7 + 60 * i, 0.5, "JP") for i in range(1, 4)]
+    rows += [("a", "tz-1", 7, 1.0, "US")]
+    df = visits(spark, rows)
+    plain = detect.rolling_account_spend(df, 100)
+    cut = detect.rolling_account_spend(df, 100, hot_rows=10)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
+    hops = [sorted(map(tuple, detect.geo_hop(df, 100, limit).collect())) for limit in (10, 10**6)]
+    assert hops[0] == hops[1] != []
+
+
 @pytest.mark.parametrize("hot_rows", HOT_LIMITS)
 def test_geo_hop(spark, hot_rows):
     rows = [

@@ -1,56 +1,46 @@
 """Per-account order and trailing sums that hold up when one account has most of the rows.
 
-A plain window over an account sorts the whole account in one task.  Here the timeline of a hot
-account is cut into chunks.  Every chunk is a window group of its own, and one more window, over
-a few rows per chunk, carries what a chunk needs from the chunks before it.  The result is that
-of the plain window.
+A plain window over an account sorts the whole account in one task.  That is what happens here
+for most accounts; the timeline of a hot account is cut into minutes, and work goes from short
+stretches of time to longer ones.  No window group of a hot account then grows with its rows: at
+millisecond times, a group holds the rows of one instant, two entries per instant of a minute, or
+two entries per minute of the account.  The result is that of the plain window.
 
 An account is hot above `hot_rows` rows, and above one part in `MAX_HOT_KEYS` of all rows: so
 there are fewer than `MAX_HOT_KEYS` hot accounts whatever the size of the table, and their list
-can be broadcast.  It comes from a partially aggregated count over two columns.  The denser a hot
-account's timeline, the shorter its chunks, down to a millisecond.
+can be broadcast.  It comes from a partially aggregated count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
-LONGEST_CHUNK = 60_000_000  # microseconds
-SHORTEST_CHUNK = 1_000
+MILLISECOND = 1_000  # microseconds
+MINUTE = 60_000_000
 
-CHUNK = "_chunk"
 
-
-def _hot_keys(df: DataFrame, key: str, time: str, hot_rows: int) -> DataFrame:
-    """Hot keys with the length of their chunks: what holds `hot_rows` rows on average."""
-    at = F.unix_micros(time)
-    counts = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("rows"), (F.max(at) - F.min(at) + 1).alias("span")
-    )
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys with too many rows for one task; fewer than `MAX_HOT_KEYS`."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     share = df.agg(F.floor(F.count(F.lit(1)) / MAX_HOT_KEYS))
     hot = counts.filter((F.col("rows") > hot_rows) & (F.col("rows") > share.scalar()))
-    holds_enough = F.floor(F.col("span") * (F.lit(hot_rows) / F.col("rows")))
-    return hot.select(
-        key,
-        F.greatest(
-            F.lit(SHORTEST_CHUNK), F.least(F.lit(LONGEST_CHUNK), holds_enough)
-        ).alias("_length"),
-    )
-
+    return hot.select(key)
 
-def _mark_hot(df: DataFrame, key: str, time: str, hot_rows: int) -> DataFrame:
-    """Add `_length`, the chunk length of hot keys, NULL for the others."""
-    return df.join(F.broadcast(_hot_keys(df, key, time, hot_rows)), key, "left")
 
+def _split_hot(df: DataFrame, key: str, time: str, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of the ordinary keys and of the hot keys.
 
-def _chunk_of(at_micros: Column) -> Column:
-    """Chunk number of a time for hot keys, NULL for the others."""
-    return F.floor(at_micros / F.col("_length"))
+    Rows without key or time have no place on a timeline and are in neither.
+    """
+    placed = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
+    hot = F.broadcast(hot_keys(placed, key, hot_rows))
+    return placed.join(hot, key, "left_anti"), placed.join(hot, key, "left_semi")
 
 
 def with_previous(
@@ -63,36 +53,37 @@ def with_previous(
 ) -> DataFrame:
     """Add `previous`: the `carried` columns of the key's row before, in time and tie order.
 
-    NULL in a key's first row.  Rows without key or time have no place in the order and are left
-    out.
+    NULL in a key's first row.  Rows without key or time are left out.
     """
-    placed = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
-    chunked = _mark_hot(placed, key, time, hot_rows).withColumn(
-        CHUNK, _chunk_of(F.unix_micros(time))
-    )
-    in_chunk = Window.partitionBy(key, CHUNK).orderBy(time, tie_break)
-    in_key = Window.partitionBy(key).orderBy(time, tie_break)
 
     def before(window):
         # Column by column: a lag of a struct would ship every value twice.
         values = F.struct(*[F.lag(name).over(window).alias(name) for name in carried])
         return F.when(F.lag(time).over(window).isNotNull(), values)
 
-    ordered = chunked.withColumn("previous", before(in_chunk))
-    settled = ordered.filter(F.col("previous").isNotNull() | F.col(CHUNK).isNull())
-
-    # First and last row of each chunk of the hot keys: the row before a first row is a last row.
-    edges = (
-        ordered.filter(F.col(CHUNK).isNotNull())
-        .withColumn("_last", F.lead(F.lit(True)).over(in_chunk).isNull())
-        .filter(F.col("previous").isNull() | F.col("_last"))
-    )
-    firsts = (
-        edges.withColumn("_before", before(in_key))
-        .filter(F.col("previous").isNull())
-        .withColumn("previous", F.col("_before"))
-    )
-    return settled.unionByName(firsts.select(settled.columns)).select(*df.columns, "previous")
+    ordinary, rest = _split_hot(df, key, time, hot_rows)
+    whole = Window.partitionBy(key).orderBy(time, tie_break)
+    answered = [ordinary.withColumn("previous", before(whole))]
+
+    # Within a stretch only its first row has no answer yet, and its last row is the answer for
+    # the first row of the next stretch; these two go on to the next longer stretch.
+    rest = rest.withColumn("_open", F.lit(True))
+    for length in (MILLISECOND, MINUTE):
+        stretch = F.floor(F.unix_micros(time) / length)
+        inside = Window.partitionBy(key, stretch).orderBy(time, tie_break)
+        seen = rest.withColumns(
+            {"previous": before(inside), "_last": F.lead(F.lit(True)).over(inside).isNull()}
+        )
+        first = F.col("previous").isNull()
+        answered.append(seen.filter(F.col("_open") & ~first))
+        rest = (
+            seen.filter((F.col("_open") & first) | F.col("_last"))
+            .withColumn("_open", F.col("_open") & first)
+            .drop("previous", "_last")
+        )
+    answered.append(rest.withColumn("previous", before(whole)).filter("_open"))
+    columns = [*df.columns, "previous"]
+    return reduce(DataFrame.unionByName, [rows.select(*columns) for rows in answered])
 
 
 def with_trailing_sums(
@@ -110,73 +101,67 @@ def with_trailing_sums(
     are too old.  Both only ever grow along the timeline, which costs one addition per row,
     where a frame that slides adds up its whole span for every row.
     """
-    placed = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
-    marked = _mark_hot(placed, key, time, hot_rows).withColumns(
-        {f"_m_{name}": F.coalesce(value, F.lit(0)) for name, value in measures.items()}
-    )
+    ordinary, hot = _split_hot(df, key, time, hot_rows)
+    values = {f"_m_{name}": F.coalesce(value, F.lit(0)) for name, value in measures.items()}
     span = seconds * 1_000_000
     in_key = Window.partitionBy(key).orderBy(F.unix_micros(time))
     until_now = in_key.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     too_old = in_key.rangeBetween(Window.unboundedPreceding, -span - 1)
-    plain = marked.filter(F.col("_length").isNull()).select(
-        *df.columns,
-        *[
-            (
-                F.sum(f"_m_{name}").over(until_now)
-                - F.coalesce(F.sum(f"_m_{name}").over(too_old), F.lit(0))
-            ).alias(name)
+    plain = ordinary.withColumns(values).withColumns(
+        {
+            name: F.sum(f"_m_{name}").over(until_now)
+            - F.coalesce(F.sum(f"_m_{name}").over(too_old), F.lit(0))
             for name in measures
-        ],
+        }
+    )
+
+    # Of hot keys, each instant gets its sums once, and its rows look them up.
+    timed = hot.withColumns({**values, "_at": F.unix_micros(time)})
+    instants = timed.groupBy(key, "_at").agg(
+        *[F.sum(f"_m_{name}").alias(f"_m_{name}") for name in measures]
     )
-    hot = _trailing_sums_in_chunks(
-        marked.filter(F.col("_length").isNotNull()), df.columns, key, time, span, list(measures)
+    summed = timed.drop(*values).join(
+        _sums_at_instants(instants, key, span, list(measures)), [key, "_at"]
     )
-    return plain.unionByName(hot.select(plain.columns))
+    columns = [*df.columns, *measures]
+    return plain.select(*columns).unionByName(summed.select(*columns))
 
 
-def _trailing_sums_in_chunks(
-    marked: DataFrame, columns: list[str], key: str, time: str, span: int, measures: list[str]
+def _sums_at_instants(
+    instants: DataFrame, key: str, span: int, measures: Sequence[str]
 ) -> DataFrame:
-    """The trailing sums of hot keys.
+    """The trailing sums at each instant of the hot keys.
 
-    Every row counts twice: it enters the sum when it happens and leaves it, with the opposite
-    sign, once the span is over.  So a chunk needs only one number from the chunks before it,
-    the balance at its beginning.
+    An instant enters the running sum when it happens and leaves it, with the opposite sign, once
+    the span is over.  So a minute needs one number from the minutes before it, its balance.
     """
-    at = F.unix_micros(time)
     entering = F.col("_sign") == 1
     steps = (
-        marked.withColumn("_sign", F.explode(F.array(F.lit(1), F.lit(-1))))
-        .withColumn("_at", F.when(entering, at).otherwise(at + F.lit(span + 1)))
-        .withColumn(CHUNK, _chunk_of(F.col("_at")))
-        .select(
-            F.col(key),
-            CHUNK,
-            "_at",
-            entering.alias("_row"),
-            *[
-                F.when(entering, F.col(f"_m_{m}")).otherwise(-F.col(f"_m_{m}")).alias(f"_m_{m}")
-                for m in measures
-            ],
-            # Rows that leave only change the sums; their other columns need not travel.
-            *[F.when(entering, F.col(c)).alias(c) for c in columns if c != key],
+        instants.withColumn("_sign", F.explode(F.array(F.lit(1), F.lit(-1))))
+        .withColumn("_at", F.when(entering, F.col("_at")).otherwise(F.col("_at") + span + 1))
+        .withColumns(
+            {f"_m_{m}": F.when(entering, F.col(f"_m_{m}")).otherwise(-F.col(f"_m_{m}"))
+             for m in measures}
         )
+        .withColumn("_minute", F.floor(F.col("_at") / MINUTE))
+    )
+    minutes = steps.groupBy(key, "_minute").agg(
+        *[F.sum(f"_m_{m}").alias(f"_m_{m}") for m in measures]
     )
-    chunks = steps.groupBy(key, CHUNK).agg(*[F.sum(f"_m_{m}").alias(f"_m_{m}") for m in measures])
-    earlier = Window.partitionBy(key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    balances = chunks.select(
+    earlier = Window.partitionBy(key).orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
+    balances = minutes.select(
         key,
-        CHUNK,
+        "_minute",
         F.lit(None).cast("bigint").alias("_at"),
-        F.lit(False).alias("_row"),
+        F.lit(0).alias("_sign"),
         *[F.sum(f"_m_{m}").over(earlier).alias(f"_m_{m}") for m in measures],
     )
     so_far = (
-        Window.partitionBy(key, CHUNK)
+        Window.partitionBy(key, "_minute")
         .orderBy(F.asc_nulls_first("_at"))
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    summed = steps.unionByName(balances, allowMissingColumns=True).withColumns(
+    running = steps.unionByName(balances).withColumns(
         {m: F.sum(f"_m_{m}").over(so_far) for m in measures}
     )
-    return summed.filter("_row").select(*columns, *measures)
+    return running.filter(entering).select(key, "_at", *measures)
