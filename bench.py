@@ -64,7 +64,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": sf_dir.rsplit("sf", 1)[-1],
+                "sf": float(sf_dir.rsplit("sf", 1)[-1]),
                 "input_rows": rows,
                 "stream_silver_rows_per_sec": round(rows / max(silver_only, 0.001)),
                 "parse_and_flag_rows_per_sec": round(rows / seconds["silver_fraud_flags"]),

@@ -56,13 +56,8 @@ def currency_rule_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect.currency_rule_join(lake.stored_silver(spark, sf_dir), currencies)
 
 
-def _on_bronze(operator: Callable[..., DataFrame], *args) -> Query:
-    """An operator on bronze rows computed in place from the messages."""
-    return lambda spark, sf_dir: operator(lake.bronze(spark, sf_dir), *args)
-
-
-def _on_bronze_table(operator: Callable[..., DataFrame]) -> Query:
-    return lambda spark, sf_dir: operator(lake.stored_bronze(spark, sf_dir))
+def _on_bronze_table(operator: Callable[..., DataFrame], *args) -> Query:
+    return lambda spark, sf_dir: operator(lake.stored_bronze(spark, sf_dir), *args)
 
 
 def _on_silver_table(operator: Callable[..., DataFrame], *args) -> Query:
@@ -71,13 +66,15 @@ def _on_silver_table(operator: Callable[..., DataFrame], *args) -> Query:
 
 BATCH: dict[str, Query] = {
     "bronze_decode": lake.bronze,
-    "silver_parse": _on_bronze(silver.parse),
-    "silver_parse_literal": _on_bronze(silver.to_silver, "keep"),
-    "silver_fraud_flags": _on_bronze(silver.to_silver),
-    "quarantine": _on_bronze(silver.quarantine),
-    "dq_bronze": _on_bronze(quality.metrics, "bronze", quality.BRONZE_RULES),
+    "silver_parse": _on_bronze_table(silver.parse),
+    "silver_parse_literal": _on_bronze_table(silver.to_silver, "keep"),
+    "silver_fraud_flags": _on_bronze_table(silver.to_silver),
+    "quarantine": _on_bronze_table(silver.quarantine),
+    "dq_bronze": lambda spark, sf_dir: quality.metrics(
+        lake.bronze(spark, sf_dir), "bronze", quality.BRONZE_RULES
+    ),
     "dq_silver": lambda spark, sf_dir: quality.metrics(
-        silver.flagged(lake.bronze(spark, sf_dir)), "silver", quality.SILVER_RULES
+        silver.flagged(lake.stored_bronze(spark, sf_dir)), "silver", quality.SILVER_RULES
     ),
     "dq_gold": lambda spark, sf_dir: quality.metrics(
         gold.fraud_alerts(lake.stored_silver(spark, sf_dir)), "gold", quality.GOLD_RULES
