@@ -30,7 +30,7 @@ _PAIRS = ", ".join(
 
 
 def _pair_with_previous(max_gap_micros: int):
-    """State function: pairs each row with its account's row before, where that is near enough.
+    """State function: pairs each row with its account's row before, near in time but elsewhere.
 
     The state of a bucket holds the last row of each account that can still hop.  Rows of one
     micro-batch are put in order here.  A row that is older than its account's last row when it
@@ -59,7 +59,7 @@ def _pair_with_previous(max_gap_micros: int):
             if before is not None:
                 if place(row) < place(before):
                     continue
-                if row[2] - before[2] <= max_gap_micros:
+                if row[2] - before[2] <= max_gap_micros and row[3] != before[3]:
                     pairs.append(row + before[1:])
             last[row[0]] = row
 
