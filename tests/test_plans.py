@@ -17,7 +17,8 @@ def plan_of(df) -> str:
     """The plan as it ran, without the initial plan."""
     df.collect()
     text = df._jdf.queryExecution().executedPlan().toString()
-    return "\n".join(part.split("+- == Initial Plan ==")[0] for part in text.split("+- == Final")[1:])
+    parts = text.split("+- == Final")[1:]
+    return "\n".join(part.split("+- == Initial Plan ==")[0] for part in parts)
 
 
 def exchanges(plan: str) -> int:

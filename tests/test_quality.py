@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from rows import flag_texts, messages
 
 from txnlake import schemas
-from txnlake.operators import gold, quality, silver, validate
+from txnlake.operators import gold, quality, reports, silver, validate
 from txnlake.operators.bronze import to_bronze
 from txnlake.operators.quality import Expectation
 
@@ -91,6 +91,15 @@ def test_checks_on_no_rows(spark):
         validate.enforce(validate.checks(bronze, rows))
 
 
+def test_bronze_summary(spark):
+    texts = [*flag_texts(), None]
+    keys = [*[f"acc-{i % 3}" for i in range(len(texts) - 1)], None]
+    bronze = to_bronze(messages(spark, texts, keys))
+    for approximate in (False, True):
+        row = reports.bronze_summary(bronze, approximate).first()
+        assert (row.total_rows, row.unique_accounts, row.null_payloads) == (17, 3, 1)
+
+
 def test_namespace(spark):
     assert validate.ensure_namespace(spark, "txnlake_namespace_test")
     assert validate.ensure_namespace(spark, "txnlake_namespace_test")

@@ -110,7 +110,8 @@ def test_tables_have_comment_and_quality(spark, pipeline):
     runner.run_once(spark, cfg)
     for name, tag in config.QUALITY.items():
         table = f"{cfg.database}.{name}"
-        properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+        shown = spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+        properties = {row["key"]: row["value"] for row in shown}
         assert properties["quality"] == tag
         assert spark.catalog.getTable(table).description == config.COMMENTS[name]
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def sliding_volume(
     rows: DataFrame, keys: list[str], window: str = "5 minutes", slide: str = "1 minute"
 ) -> DataFrame:
-    """Count and volume per sliding window.  Works on streams, where the watermark closes windows."""
+    """Count and volume per sliding window; on streams the watermark closes the windows."""
     grouped = rows.groupBy(F.window("event_timestamp", window, slide), *keys).agg(
         F.count(F.lit(1)).alias("txn_count"), F.round(F.sum("amount"), 2).alias("volume")
     )
