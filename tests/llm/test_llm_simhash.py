@@ -1,0 +1,127 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from helpers import documents
+
+from txnlake.llm.components import components
+from txnlake.llm.simhash import BITS, fingerprint, kept_rows, links, links_of_group, simhash
+
+
+def brute_fingerprint(text):
+    words = re.findall("[^ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    runs = [words[i : i + 4] for i in range(len(words) - 3)] or [words]
+    hashes = [xxhash.xxh64_intdigest(" ".join(r).encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_roots(fps, radius):
+    root = list(range(len(fps)))
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= radius and root[i] != root[j]:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    return root
+
+
+def near(rng, n, clusters):
+    """Random fingerprints, each some bits from one of a few centres or from the one before."""
+    centres = [rng.getrandbits(64) for _ in range(clusters)]
+    out = []
+    for _ in range(n):
+        base = rng.choice(centres + out[-3:])
+        out.append(base ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(7))))
+    return list(dict.fromkeys(out))
+
+
+def test_fingerprints():
+    rng = random.Random(3)
+    some = ["the", "The", "quick", "é", " ", "\n", "\x0b", " ", "fox"]
+    texts = [" ".join(rng.choices(some, k=rng.randrange(40))) for _ in range(80)]
+    for text in ["", " ", "one", "one two three", "a b c d", "word " * 70_000, *texts]:
+        assert fingerprint(text.encode()) == brute_fingerprint(text)
+
+
+@pytest.mark.parametrize("radius", [2, 4])
+def test_links_of_a_group_connect_what_is_near(radius):
+    rng = random.Random(radius)
+    fps = near(rng, 300, 4)
+    pairs = links_of_group(
+        np.array(fps, np.uint64), np.full(len(fps), radius // 2), BITS, radius
+    )
+    assert all((fps[a] ^ fps[b]).bit_count() <= radius for a, b in pairs)
+    assert len(pairs) < len(fps)
+    root = list(range(len(fps)))
+    for a, b in pairs:
+        old, new = max(root[a], root[b]), min(root[a], root[b])
+        root = [new if r == old else r for r in root]
+    assert root == brute_roots(fps, radius)
+
+
+def test_links_and_components_in_spark(spark):
+    fps = near(random.Random(9), 250, 5)
+    signed = [int(np.uint64(f).view(np.int64)) for f in fps]
+    nodes = spark.createDataFrame([(f,) for f in signed], "fp long")
+    found = {r.node: r.root for r in components(links(nodes)).collect()}
+    order = sorted(range(len(fps)), key=lambda i: signed[i])
+    roots = brute_roots([fps[i] for i in order], 4)
+    for place, i in enumerate(order):
+        assert found.get(signed[i], signed[i]) == signed[order[roots[place]]]
+
+
+def test_long_paths_and_stars(spark):
+    path = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1200)]
+    edges = spark.createDataFrame([(b, a) for a, b in path] + [(5, 5)], "u long, v long")
+    found = {r.node: r.root for r in components(edges).collect()}
+    assert found == {**{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1200)}}
+
+
+def test_an_odd_radius_is_refused(spark):
+    with pytest.raises(ValueError):
+        links(spark.createDataFrame([(1,)], "fp long"), 3)
+
+
+def test_cases(spark, tmp_path):
+    rng = random.Random(1)
+    base = [f"w{rng.randrange(500)}" for _ in range(400)]
+    changed = [*base[:200], "other", *base[201:]]
+    texts = [
+        (5, " ".join(base)), (3, " ".join(changed)), (8, " ".join(base).upper()), (9, "alone here"),
+        (None, " ".join(base)), (7, None), (6, ""), (None, "\n "), (2, "by itself " * 5000),
+        (5, " ".join(base)), (None, "nobody knows me"),
+    ]
+    docs = documents(spark, tmp_path, texts, ", fp string, component_id string", ("x", "y"))
+    found = simhash(docs).collect()
+    fps = [brute_fingerprint(t) for _, t in texts]
+    roots = brute_roots(fps, 4)
+    wanted = []
+    for (doc_id, _), fp, root in zip(texts, fps, roots, strict=True):
+        ids = [t[0] for t, r in zip(texts, roots, strict=True) if r == root and t[0] is not None]
+        wanted.append((doc_id, int(np.uint64(fp).view(np.int64)), min(ids) if ids else None))
+    assert sorted(((r.doc_id, r.fp, r.component_id) for r in found), key=str) == sorted(
+        wanted, key=str
+    )
+    assert sum(r.kept for r in found) == len(set(roots))
+    kept = kept_rows(docs)
+    assert kept.columns == docs.columns and kept.count() == len(set(roots))
+
+
+def test_empty_table(spark, tmp_path):
+    assert simhash(documents(spark, tmp_path, [])).count() == 0
+
+
+def test_all_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = docs.select("doc_id", "text").collect()
+    fps = [brute_fingerprint(r.text) for r in texts]
+    roots = brute_roots(fps, 4)
+    ids = {}
+    for r, root in zip(texts, roots, strict=True):
+        ids[root] = min(ids.get(root, r.doc_id), r.doc_id)
+    wanted = {r.doc_id: ids[root] for r, root in zip(texts, roots, strict=True)}
+    assert {r.doc_id: r.component_id for r in simhash(docs).collect()} == wanted

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +31,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def rows_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of `docs` whose numbers are in `chosen`, with all their columns as they were."""
+    whole = numbered(docs, F.struct("*").alias("_row"))
+    return whole.join(chosen.select(RID), RID, "left_semi").select("_row.*")
+
+
 def nulls_last(column: str) -> list[Column]:
     """Two ordering values; for use in structs, where nulls would come first."""
     return [F.col(column).isNull().alias(f"{column}_null"), F.col(column)]
@@ -41,7 +45,7 @@ def nulls_last(column: str) -> list[Column]:
 def byte_slices(sizes, limit: int):
     """Consecutive (start, end) row ranges of at most `limit` bytes, one row at least."""
     start, total = 0, 0
-    for i, size in enumerate(itertools.chain(sizes)):
+    for i, size in enumerate(sizes):
         if i > start and total + size > limit:
             yield start, i
             start, total = i, 0

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import RID, byte_slices, numbered, stored
+from txnlake.llm.common import RID, byte_slices, numbered, rows_of, stored
 from txnlake.llm.words import buffers, words_of
 
 WINDOW = 10
@@ -125,7 +125,7 @@ def _probes(rows: DataFrame, bits, lengths: list[int], window: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, words in _chunks(batch, "text"):
-                where, hashes = [], []
+                where, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
                 for m in lengths:
                     h, at = words.shingles(m)
                     take = _admitted(bits.value, h)
@@ -234,5 +234,4 @@ def words_hit(hits: Column) -> Column:
 
 def clean_rows(docs: DataFrame, items: DataFrame, **parameters) -> DataFrame:
     """The rows of `docs` without a hit, with all their columns."""
-    free = decontaminate(docs, items, **parameters).filter(F.size("hits") == 0).select(RID)
-    return numbered(docs, "*").join(free, RID, "left_semi").select(*docs.columns)
+    return rows_of(docs, decontaminate(docs, items, **parameters).filter(F.size("hits") == 0))

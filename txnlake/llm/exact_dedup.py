@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import RID, numbered, nulls_last, stored
+from txnlake.llm.common import RID, numbered, nulls_last, rows_of, stored
 
 WHITE_SPACE = " \t\n\v\f\r"
 SALTS = 16
@@ -100,5 +100,4 @@ def exact_dedup(
 
 def kept_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
-    kept = exact_dedup(docs, text, doc_id).filter("kept").select(RID)
-    return numbered(docs, "*").join(kept, RID, "left_semi").select(*docs.columns)
+    return rows_of(docs, exact_dedup(docs, text, doc_id).filter("kept"))

@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnlake.llm.common import RID, byte_slices, numbered
 from txnlake.llm.words import buffers
@@ -208,6 +209,24 @@ def fit(
     return train(sample, sorted({r.lang for r in sample}))
 
 
+def _judged(model: Model, batch: pa.RecordBatch):
+    """For row ranges of a batch (text, readable): number of the language and score."""
+    for a, b, data, offsets in _chunks(batch.column("text")):
+        bucket, owner = subwords(data, offsets)
+        total = np.empty((b - a, len(model.languages)))
+        for i in range(len(model.languages)):
+            total[:, i] = np.bincount(owner, model.scores[bucket, i], b - a)
+        n = np.bincount(owner, minlength=b - a)
+        chance = _softmax(total / np.maximum(n, 1)[:, None] + model.bias)
+        readable = np.asarray(batch.column("readable").slice(a, b - a))
+        best = np.where(readable, chance.argmax(axis=1), len(model.languages))
+        yield a, b, best, np.where(readable, chance.max(axis=1), 0.0)
+
+
+def _readable(text: str) -> Column:
+    return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("readable")
+
+
 def predict(
     docs: DataFrame, model: Model | None, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
@@ -222,7 +241,7 @@ def predict(
         docs,
         F.col(doc_id).alias("doc_id"),
         F.col(text).alias("text"),
-        F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("readable"),
+        _readable(text),
     )
     if model is None:
         return rows.select(
@@ -234,17 +253,7 @@ def predict(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*shared.value.languages, UNKNOWN], object)
         for batch in batches:
-            for a, b, data, offsets in _chunks(batch.column("text")):
-                bucket, owner = subwords(data, offsets)
-                total = np.empty((b - a, len(names) - 1))
-                for i in range(len(names) - 1):
-                    one = shared.value.scores[:, i]
-                    total[:, i] = np.bincount(owner, one[bucket], b - a)
-                n = np.bincount(owner, minlength=b - a)
-                chance = _softmax(total / np.maximum(n, 1)[:, None] + shared.value.bias)
-                readable = np.asarray(batch.column("readable").slice(a, b - a))
-                best = np.where(readable, chance.argmax(axis=1), len(names) - 1)
-                score = np.where(readable, chance.max(axis=1), 0.0)
+            for a, b, best, score in _judged(shared.value, batch):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(RID).slice(a, b - a),
@@ -262,7 +271,22 @@ def predict(
 
 
 def known_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang"):
-    """The rows of `docs` whose language is told, with all their columns."""
-    told = predict(docs, fit(docs, text, doc_id, lang), text, doc_id)
-    told = told.filter(~F.col("rejected")).select(RID)
-    return numbered(docs, "*").join(told, RID, "left_semi").select(*docs.columns)
+    """The rows of `docs` that `predict` does not reject, with all their columns.
+
+    Rows pass through the task that judges them; nothing is shuffled.
+    """
+    model = fit(docs, text, doc_id, lang)
+    if model is None:
+        return docs.limit(0)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), _readable(text))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, best, score in _judged(shared.value, batch):
+                told = (best < len(shared.value.languages)) & (score >= MIN_SCORE)
+                own = batch.column("row").slice(a, b - a).filter(pa.array(told))
+                yield pa.RecordBatch.from_arrays([own], names=["row"])
+
+    kept = rows.mapInArrow(run, T.StructType([rows.schema["row"]]))
+    return kept.select("row.*")

@@ -204,8 +204,8 @@ def dedup_lines(
 def keep_lines(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", **names):
     """The rows of `docs` with the lines that stay; lines without a word stay as well."""
     kept = dedup_lines(docs, min_words, text, **names).select(RID, F.col("kept").alias("_kept"))
-    rows = numbered(docs, "*").join(kept, RID)
-    lines = F.split(text, "\n", -1)
+    rows = numbered(docs, F.struct("*").alias("_row")).join(kept, RID)
+    lines = F.split(F.col("_row").getField(text), "\n", -1)
     stays = F.filter(
         F.transform(
             lines,
@@ -219,4 +219,4 @@ def keep_lines(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text",
         lambda x: x["stays"],
     )
     out = F.array_join(F.transform(stays, lambda x: x["line"]), "\n")
-    return rows.withColumn(text, out).select(*docs.columns)
+    return rows.select(F.col("_row").withField(text, out).alias("_row")).select("_row.*")

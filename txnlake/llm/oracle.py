@@ -77,12 +77,13 @@ gone AS (
     ) WHERE least < place
 ),
 kept AS (
-    SELECT place.r AS r, list(place.l::INTEGER ORDER BY place.l) AS kept
+    SELECT place.r AS r, count(*) AS n_kept,
+        string_agg(place.l::VARCHAR, ',' ORDER BY place.l) AS kept
     FROM firsts WHERE place NOT IN (SELECT place FROM gone) GROUP BY 1
 ),
 counted AS (SELECT r, count(*) AS n_lines FROM worded GROUP BY r)
-SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(len(kept), 0)::BIGINT AS n_kept,
-    coalesce(kept, []::INTEGER[]) AS kept
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_kept, 0)::BIGINT AS n_kept,
+    coalesce(kept, '') AS kept_lines
 FROM parts LEFT JOIN counted USING (r) LEFT JOIN kept USING (r)
 """
 

@@ -58,7 +58,9 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(table(spark, sf_dir, "documents")).drop(RID)
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    kept = F.array_join(F.col("kept").cast("array<string>"), ",")
+    return found.select("doc_id", "n_lines", "n_kept", kept.alias("kept_lines"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:

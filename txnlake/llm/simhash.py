@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import RID, numbered, nulls_last, stored
+from txnlake.llm.common import RID, numbered, nulls_last, rows_of, stored
 from txnlake.llm.components import components
 
 SHINGLE = 4
@@ -212,5 +212,4 @@ def simhash(
 
 def kept_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **parameters):
     """The rows of `docs` that stay, one of each component, with all their columns."""
-    kept = simhash(docs, text=text, doc_id=doc_id, **parameters).filter("kept").select(RID)
-    return numbered(docs, "*").join(kept, RID, "left_semi").select(*docs.columns)
+    return rows_of(docs, simhash(docs, text=text, doc_id=doc_id, **parameters).filter("kept"))

@@ -57,6 +57,8 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of an Arrow string array and the offsets of its texts; null counts as empty."""
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     _, offsets, data = texts.buffers()
     at = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
