@@ -1,0 +1,110 @@
+import random
+
+from helpers import documents
+from pyspark.sql import functions as F
+
+from txnlake.llm.lines import dedup_lines, keep_lines, within_one_edit
+
+
+def one_edit(a, b):
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
+    return len(a) == len(b) + 1 and any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
+
+
+def words(line):
+    return tuple(w for w in line.replace("\x0b", " ").replace("\x0c", " ").split() if w)
+
+
+def brute(rows, least):
+    """rows: (doc_id, text) in order of place."""
+    first, kept, counts = {}, [[] for _ in rows], [0] * len(rows)
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
+    for i in order:
+        for j, line in enumerate((rows[i][1] or "").split("\n")):
+            if words(line):
+                counts[i] += 1
+                first.setdefault(words(line), (i, j))
+    before = []
+    for w, (i, j) in first.items():
+        near = any(len(w) >= least and len(v) >= least and one_edit(w, v) for v in before)
+        if not near:
+            kept[i].append(j)
+        before.append(w)
+    return [(r[0], n, sorted(k)) for r, n, k in zip(rows, counts, kept, strict=True)]
+
+
+def some_rows(seed, n=40):
+    rng = random.Random(seed)
+    stock = [[rng.choice("abcdefgh") for _ in range(rng.randrange(1, 14))] for _ in range(25)]
+    rows = []
+    for i in range(n):
+        lines = []
+        for _ in range(rng.randrange(6)):
+            w = list(rng.choice(stock))
+            for _ in range(rng.randrange(3)):
+                at = rng.randrange(len(w) + 1)
+                w[at : at + rng.randrange(2)] = rng.choices("abcz", k=rng.randrange(2))
+            lines.append(rng.choice([" ", "  ", "\t"]).join(w))
+        rows.append((i, "\n".join(lines)))
+    return rows
+
+
+def check(spark, folder, rows, least=8):
+    docs = documents(spark, folder, rows, ", kept string, key long", ("k", 1))
+    found = dedup_lines(docs, least).collect()
+    got = sorted(((r.doc_id, r.n_lines, list(r.kept)) for r in found), key=str)
+    assert all(r.n_kept == len(r.kept) for r in found)
+    assert got == sorted(brute(rows, least), key=str)
+    return docs
+
+
+def test_against_brute_force(spark, tmp_path):
+    check(spark, tmp_path, some_rows(1))
+    check(spark, tmp_path, some_rows(2), least=3)
+
+
+def test_cases(spark, tmp_path):
+    ten = "one two three four five six seven eight nine ten"
+    rows = [
+        (1, ten), (2, ten.replace("five", "5")), (3, ten.replace(" five", "")), (4, ten + " eleven"),
+        (5, "zero " + ten), (6, None), (7, ""), (8, "\n\n \n"), (9, "short line\nshort lime"),
+        (10, "  one\ttwo three  four five six seven eight nine ten "), (11, ten + "\n" + ten),
+        (None, "only here\nand there"), (12, ten.replace("five", "5").replace("six", "6")),
+        (13, "w " * 20_000 + "end"), (14, "w " * 20_000 + "END"), (15, "é ü ß 日本 a b c d e"),
+    ]
+    check(spark, tmp_path, rows)
+
+
+def test_template_lines_meet_without_pairs(spark, tmp_path):
+    rows = [(i, f"page number {i} of the very long report we made") for i in range(300)]
+    docs = documents(spark, tmp_path, rows)
+    kept = [r.doc_id for r in dedup_lines(docs).collect() if r.n_kept]
+    assert kept == [0]
+
+
+def test_kept_text(spark, tmp_path):
+    ten = "one two three four five six seven eight nine ten"
+    rows = [(1, f"{ten}\n\nlast"), (2, f"x\n{ten}\n\nlast words"), (3, None), (4, "")]
+    docs = documents(spark, tmp_path, rows, ", _rid string, line string", ("r", "l"))
+    kept = keep_lines(docs)
+    assert kept.columns == docs.columns
+    wanted = {1: rows[0][1], 2: "x\n\nlast words", 3: None, 4: ""}
+    assert {r.doc_id: r.text for r in kept.collect()} == wanted
+
+
+def test_empty_table(spark, tmp_path):
+    assert dedup_lines(documents(spark, tmp_path, [])).count() == 0
+
+
+def test_one_edit(spark):
+    rng = random.Random(4)
+    pairs = [
+        ([rng.choice("ab") for _ in range(rng.randrange(1, 6))], [rng.choice("ab") for _ in range(rng.randrange(1, 6))])
+        for _ in range(200)
+    ]
+    rows = spark.createDataFrame(pairs, "a array<string>, b array<string>")
+    for r in rows.select("a", "b", within_one_edit(F.col("a"), F.col("b")).alias("near")).collect():
+        assert r.near == one_edit(r.a, r.b), r
