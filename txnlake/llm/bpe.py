@@ -15,15 +15,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlake.llm.common import RID, byte_slices, numbered
 
-BLOCK_BYTES = 16 << 20
-REMEMBERED = 400_000  # words
-OUT_TOKENS = 4_000_000  # of a batch that leaves a task
+BLOCK_BYTES = 4 << 20
+REMEMBERED = 200_000  # words
+OUT_TOKENS = 1_000_000  # of a batch that leaves a task
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -212,9 +213,11 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for a, b in byte_slices([len(t) for t in texts], BLOCK_BYTES):
-                ids, starts = encoder.encode(texts[a:b])
+            column = batch.column("text")
+            sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+            for a, b in byte_slices(sizes, BLOCK_BYTES):
+                texts = [t or "" for t in column.slice(a, b - a).to_pylist()]
+                ids, starts = encoder.encode(texts)
                 for x, y in byte_slices(np.diff(starts).tolist(), OUT_TOKENS):
                     own = pa.array(ids[starts[x] : starts[y]], pa.int32())
                     ends = pa.array(starts[x : y + 1] - starts[x], pa.int32())
