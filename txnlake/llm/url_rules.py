@@ -23,6 +23,7 @@ RULES = [
 ]
 LABEL = "label=block"
 MIN_SUPPORT = 0.001  # of the labelled pages
+MIN_COUNT = 20  # labelled pages that a rule has to be seen on, however few there are
 MIN_CONFIDENCE = 0.6
 MIN_LIFT = 1.5
 ALL_A_TO_Z = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -79,6 +80,7 @@ def mine(
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
     min_lift: float = MIN_LIFT,
+    min_count: int = MIN_COUNT,
 ) -> DataFrame:
     """Rules from rows (tokens, blocked): rule_id, tokens, confidence, support, lift.
 
@@ -93,10 +95,11 @@ def mine(
         "rule_id long, tokens array<string>, confidence double, support double, lift double"
     )
     baskets = stored(baskets, "url-baskets")
-    if baskets.isEmpty():
+    n = baskets.count()
+    if n < min_count:
         return baskets.sparkSession.createDataFrame([], schema)
     model = FPGrowth(
-        itemsCol="items", minSupport=min_support, minConfidence=min_confidence
+        itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence
     ).fit(baskets)
     found = (
         model.associationRules.filter(
@@ -154,6 +157,7 @@ def judge(
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
     min_lift: float = MIN_LIFT,
+    min_count: int = MIN_COUNT,
 ) -> DataFrame:
     """One row for each page: page_id, host, path, rule, verdict, mined, confidence.
 
@@ -175,7 +179,7 @@ def judge(
         .agg(F.max("blocked").alias("blocked"))
     )
     labelled = rows.select("page_id", "tokens").join(known, "page_id")
-    mined = stored(mine(labelled, min_support, min_confidence, min_lift), "url-mined")
+    mined = stored(mine(labelled, min_support, min_confidence, min_lift, min_count), "url-mined")
     # Many pages share a token set: match each set once.
     keyed = rows.withColumn("key", F.xxhash64(F.array_sort("tokens")))
     sets = keyed.groupBy("key", F.array_sort("tokens").alias("tokens")).agg(
