@@ -1,4 +1,4 @@
-"""Detection against plain Python, with and without hot accounts."""
+"""Detection against plain Python, with a hot account."""
 
 import math
 import random
@@ -41,7 +41,7 @@ def skewed(count=600, accounts=12, seed=5):
     return rows
 
 
-HOT_LIMITS = [1_000_000, 100, 20, 3, 1]
+SPANS = [1, 60, 900, 3600, 100_000]
 
 
 def python_trailing(rows, seconds):
@@ -52,41 +52,38 @@ def python_trailing(rows, seconds):
     return found
 
 
-@pytest.mark.parametrize("hot_rows", HOT_LIMITS)
-def test_trailing_sums(spark, hot_rows):
+@pytest.mark.parametrize("seconds", SPANS)
+def test_trailing_sums(spark, seconds):
     rows = skewed()
-    found = detect.rolling_account_spend(visits(spark, rows), 900, hot_rows).collect()
+    found = detect.rolling_account_spend(visits(spark, rows), seconds).collect()
     assert {r.transaction_id: (r.txn_count, r.rolling_spend) for r in found} == python_trailing(
-        rows, 900
+        rows, seconds
     )
-    assert len(found) == len(rows)
+    assert len(found) == len(rows) and {r.unsummed for r in found} == {0}
 
 
-@pytest.mark.parametrize("hot_rows", HOT_LIMITS)
-def test_previous_row(spark, hot_rows):
+@pytest.mark.parametrize("seconds", SPANS)
+def test_previous_row(spark, seconds):
     rows = skewed()
     df = visits(spark, rows)
     placed = timeline.with_previous(
-        df, "account_id", "event_timestamp", "transaction_id", ["transaction_id"], hot_rows
+        df, "account_id", "event_timestamp", "transaction_id", ["transaction_id"], seconds
     )
     found = {r.transaction_id: r.previous and r.previous.transaction_id for r in placed.collect()}
     expected, last = {}, {}
-    for account, number, *_ in sorted(rows, key=lambda r: (r[2], r[1])):
-        expected[number] = last.get(account)
-        last[account] = number
+    for account, number, at, *_ in sorted(rows, key=lambda r: (r[2], r[1])):
+        near = account in last and at - last[account][1] <= seconds
+        expected[number] = last[account][0] if near else None
+        last[account] = (number, at)
     assert found == expected
 
 
-def test_hot_keys(spark):
-    df = visits(spark, skewed())
-    assert [row.account_id for row in timeline.hot_keys(df, "account_id", 100).collect()] == ["hot"]
-    assert timeline.hot_keys(df, "account_id").count() == 0
-
-
-def test_hot_list_has_a_fixed_bound(spark, monkeypatch):
-    monkeypatch.setattr(timeline, "MAX_HOT_KEYS", 4)
-    hot = timeline.hot_keys(visits(spark, skewed()), "account_id", 1).collect()
-    assert [row.account_id for row in hot] == ["hot"]
+def test_amounts_that_no_sum_can_hold(spark):
+    rows = [("a", f"tx-{i}", i, amount, "US") for i, amount in
+            enumerate([1.5, 1e300, float("nan"), float("inf"), None, 2.0])]
+    found = detect.rolling_account_spend(visits(spark, rows)).collect()
+    last = max(found, key=lambda r: r.event_timestamp)
+    assert (last.txn_count, last.rolling_spend, last.unsummed) == (6, 3.5, 3)
 
 
 def test_many_rows_in_one_instant(spark):
@@ -94,15 +91,14 @@ def test_many_rows_in_one_instant(spark):
     rows += [("hot", f"ty-{i:04d}", 7 + 60 * i, 0.5, "JP") for i in range(1, 4)]
     rows += [("a", "tz-1", 7, 1.0, "US")]
     df = visits(spark, rows)
-    plain = detect.rolling_account_spend(df, 100)
-    cut = detect.rolling_account_spend(df, 100, hot_rows=10)
-    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
-    hops = [sorted(map(tuple, detect.geo_hop(df, 100, limit).collect())) for limit in (10, 10**6)]
-    assert hops[0] == hops[1] != []
+    found = detect.rolling_account_spend(df, 100).collect()
+    sums = {r.transaction_id: (r.txn_count, r.rolling_spend) for r in found}
+    assert sums == python_trailing(rows, 100)
+    hops = [(r.transaction_id, r.previous_transaction_id) for r in detect.geo_hop(df, 100).collect()]
+    assert hops == [("ty-0001", "tx-0299")]
 
 
-@pytest.mark.parametrize("hot_rows", HOT_LIMITS)
-def test_geo_hop(spark, hot_rows):
+def test_geo_hop(spark):
     rows = [
         ("a", "tx-1", 0, 1.0, "US"),
         ("a", "tx-2", 30, 1.0, "JP"),
@@ -116,8 +112,7 @@ def test_geo_hop(spark, hot_rows):
         ("c", "tx-10", None, 1.0, "JP"),
         ("c", "tx-11", 5, 1.0, "US"),
     ]
-    found = {r.transaction_id: r for r in detect.geo_hop(visits(spark, rows), 3600, hot_rows)
-             .collect()}
+    found = {r.transaction_id: r for r in detect.geo_hop(visits(spark, rows), 3600).collect()}
     assert set(found) == {"tx-2", "tx-3", "tx-7"}
     assert found["tx-2"].previous_transaction_id == "tx-1"
     assert found["tx-2"].gap_seconds == 30.0
@@ -126,8 +121,7 @@ def test_geo_hop(spark, hot_rows):
     assert found["tx-7"].speed_kmh is None
 
 
-@pytest.mark.parametrize("hot_rows", HOT_LIMITS)
-def test_velocity(spark, hot_rows):
+def test_velocity(spark):
     burst = [("a", f"tx-{i}", 40 * i, 1.0, "US") for i in range(4)]
     edge = [
         ("b", "tx-b1", 0, 1.0, "US"),
@@ -137,7 +131,7 @@ def test_velocity(spark, hot_rows):
         ("c", "tx-c2", 1800, 1.0, "US"),
         ("c", "tx-c3", 3660, 1.0, "US"),
     ]
-    found = detect.velocity_spike(visits(spark, burst + edge), hot_rows=hot_rows).collect()
+    found = detect.velocity_spike(visits(spark, burst + edge)).collect()
     assert {r.transaction_id: r.txn_count for r in found} == {
         "tx-2": 3, "tx-3": 4, "tx-b3": 3,
     }
@@ -153,7 +147,7 @@ def test_trailing_sums_match_spark_window(spark, sf_dir):
         .rangeBetween(-86_400_000_000, 0)
     )
     plain = rows.select("transaction_id", F.count(F.lit(1)).over(frame).alias("txn_count"))
-    ours = detect.rolling_account_spend(rows, 86_400, hot_rows=40)
+    ours = detect.rolling_account_spend(rows, 86_400)
     assert ours.select("transaction_id", "txn_count").exceptAll(plain).count() == 0
     assert plain.count() == ours.count()
 
@@ -203,5 +197,15 @@ def test_currency_join_nulls(spark):
     }
 
 
+def test_a_country_listed_twice_multiplies_nothing(spark):
+    pairs = spark.createDataFrame(
+        [("US", "USD"), ("US", "EUR"), ("US", "USD")], "country STRING, currency STRING"
+    )
+    rows = spark.createDataFrame(
+        [("1", "US", "USD")], "transaction_id STRING, country STRING, currency STRING"
+    )
+    assert detect.currency_rule_join(rows, pairs).count() == 1
+
+
 def test_schema_names():
     assert schemas.names("a STRING, `b` INT") == ["a", "b"]

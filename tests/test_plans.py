@@ -5,6 +5,7 @@ import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 from rows import messages, payload
 
 from txnlake.operators import detect, gold, reports, silver, windows
@@ -54,13 +55,18 @@ def test_gold_reads_six_columns_and_shuffles_once(spark, sf_dir):
         assert name not in relation
 
 
-def test_one_shuffle_of_rows_without_hot_accounts(spark, sf_dir):
-    """Two more carry one row per account and one number, to find the hot accounts."""
+@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("detector", [detect.geo_hop, detect.rolling_account_spend])
+def test_one_plan_with_and_without_a_hot_account(spark, sf_dir, detector, hot):
+    """Window groups are stretches of an account; nothing is counted or broadcast first."""
     rows = lake.stored_silver(spark, sf_dir)
-    for df in (detect.geo_hop(rows), detect.rolling_account_spend(rows)):
-        plan = plan_of(df)
-        assert plan.count("Window [") == 1
-        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    if hot:
+        third = F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0
+        rows = rows.withColumn("account_id", F.when(third, "hot").otherwise(F.col("account_id")))
+    plan = plan_of(detector(rows))
+    assert plan.count("Window [") == 1 and exchanges(plan) == 2
+    assert "_stretch" in plan
+    assert not any(word in plan for word in ("CartesianProduct", "NestedLoop", "Broadcast"))
 
 
 def test_panes_are_added_before_they_are_copied(spark, sf_dir):

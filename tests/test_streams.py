@@ -1,19 +1,22 @@
 """Streams against their batch twins, restarts, late rows and the whole run."""
 
 import json
+import random
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 from rows import FLAG_ROWS, flag_texts, messages, payload
 
-from txnlake import schemas
+from txnlake import files, schemas, session
 from txnlake.operators import detect, gold, silver, validate
 from txnlake.operators.bronze import to_bronze
 from txnlake.plans import config, lake, runner, streams
 from txnlake.plans.config import LakeConfig
 from txnlake.sources.kafka import FileSource, JsonFileSink, KafkaSink, KafkaSource
-from txnlake.streaming import hops, layers, windows
+from txnlake.streaming import counters, hops, layers, windows
+from txnlake.streaming.counters import Place
 
 NORMAL = ("POS_PURCHASE", 42.5, "US", "USD")
 
@@ -117,8 +120,6 @@ def test_tables_have_comment_and_quality(spark, pipeline):
 
 
 def test_tables_keep_the_column_order(spark, pipeline):
-    from dataclasses import replace
-
     cfg, land = pipeline
     cfg = replace(cfg, database="txnlake_order_test")
     land(flag_texts())
@@ -153,8 +154,6 @@ def test_run_on_nothing_fails_the_checks(spark, pipeline):
 
 
 def test_continuous_run(spark, pipeline):
-    from dataclasses import replace
-
     cfg, land = pipeline
     land(flag_texts())
     runner.run_once(spark, cfg)
@@ -176,8 +175,6 @@ def test_continuous_run(spark, pipeline):
 
 
 def test_keep_policy_streams(spark, pipeline):
-    from dataclasses import replace
-
     cfg, land = pipeline
     cfg = replace(cfg, corrupt_policy="keep")
     texts = [*flag_texts(), "broken", payload(50, *NORMAL, _rescued_data="x")]
@@ -253,27 +250,66 @@ def run_arrivals(spark, root, transform, arrivals):
     return spark.read.schema(result.schema).parquet(f"{root}/out"), queries
 
 
+def run_hops(spark, root, arrivals):
+    """Take arrivals one after the other; gives the stream."""
+    stream = hops.HopStream(f"{root}/hops")
+    for rows in arrivals:
+        silver_rows(spark, rows).write.mode("append").parquet(f"{root}/in")
+        runner.finish(stream.start(spark.readStream.schema(schemas.SILVER).parquet(f"{root}/in")))
+    return stream
+
+
+def same_rows(one, other):
+    return sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+
+
 def test_geo_hop_state_spans_runs(spark, tmp_path):
     arrivals = [
         [("a", "tx-2", 30, "JP"), ("a", "tx-1", 0, "US"), ("b", "tx-3", 40, "US")],
         [("b", "tx-4", 100, "GB"), ("a", "tx-5", 3000, "US"), (None, "tx-6", 3000, "US")],
         [("a", "tx-7", 9000, "GB"), ("b", "tx-8", 9000, None), ("b", "tx-9", 9001, "US")],
     ]
-    found, _ = run_arrivals(spark, tmp_path, hops.geo_hop, arrivals)
+    stream = run_hops(spark, tmp_path, arrivals)
     twin = detect.geo_hop(silver_rows(spark, [row for rows in arrivals for row in rows]))
-    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, twin.collect()))
-    assert {row.transaction_id for row in found.collect()} == {"tx-2", "tx-4", "tx-5"}
+    assert same_rows(stream.with_waiting(spark), twin)
+    decided = {row.transaction_id for row in stream.result(spark).collect()}
+    assert decided == {"tx-2", "tx-4", "tx-5"}
 
 
-def test_geo_hop_ignores_rows_that_lost_their_place(spark, tmp_path):
+def test_geo_hop_admits_what_the_watermark_admits(spark, tmp_path):
     arrivals = [
         [("a", "tx-1", 0, "US"), ("a", "tx-2", 100, "US")],
         [("a", "tx-0", 50, "JP"), ("a", "tx-3", 200, "GB")],
+        [("a", "tx-4", 5000, "GB")],
+        [("a", "tx-late", 60, "AU"), ("a", "tx-5", 9000, "GB")],
     ]
-    found, _ = run_arrivals(spark, tmp_path, hops.geo_hop, arrivals)
-    assert [(r.transaction_id, r.previous_transaction_id) for r in found.collect()] == [
-        ("tx-3", "tx-2")
+    stream = run_hops(spark, tmp_path, arrivals)
+    in_time = [row for rows in arrivals for row in rows if row[1] != "tx-late"]
+    twin = detect.geo_hop(silver_rows(spark, in_time))
+    assert same_rows(stream.with_waiting(spark), twin)
+    assert {r.transaction_id for r in stream.result(spark).collect()} == {"tx-0", "tx-2", "tx-3"}
+
+
+def test_a_repeated_batch_gives_the_same_hops(spark, tmp_path):
+    stream = hops.HopStream(f"{tmp_path}/hops")
+    first = silver_rows(spark, [("a", "tx-1", 0, "US"), ("a", "tx-2", 30, "JP")])
+    second = silver_rows(spark, [("a", "tx-3", 60, "US"), ("a", "tx-4", 9000, "US")])
+    stream.take(first, 0)
+    for _ in range(3):
+        stream.take(second, 1)
+        assert {r.transaction_id for r in stream.result(spark).collect()} == {"tx-2", "tx-3"}
+
+
+def test_random_hops_in_random_arrivals(spark, tmp_path):
+    rng = random.Random(12)
+    rows = [
+        (rng.choice("abc"), f"tx-{i:03d}", 37 * i + rng.randrange(30), rng.choice(["US", "JP", "GB"]))
+        for i in range(150)
     ]
+    rows.sort(key=lambda row: row[2] + rng.randrange(550))  # within the watermark
+    arrivals = [rows[i : i + 30] for i in range(0, 150, 30)]
+    stream = run_hops(spark, tmp_path, arrivals)
+    assert same_rows(stream.with_waiting(spark), detect.geo_hop(silver_rows(spark, rows)))
 
 
 def test_late_row_is_dropped(spark, tmp_path):
@@ -299,14 +335,105 @@ def test_late_feed_of_the_test_tables(spark, sf_dir):
     assert result.agg(F.sum("txn_count")).first()[0] < lake.stored_silver(spark, sf_dir).count()
 
 
-def test_missing_progress_is_an_error():
-    class Progress:
-        def __init__(self, batch):
-            self.batchId = batch
-            self.observedMetrics = {"dq_silver": None}
+def test_counters_are_complete_beyond_the_report_limit(spark, pipeline):
+    cfg, land = pipeline
+    cfg = replace(cfg, database="txnlake_counters")
+    with session.settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "2"}):
+        for start in range(0, 40, 5):
+            land([payload(start + i, *NORMAL) for i in range(5)])
+        first = runner.run_once(spark, cfg)
+        land([payload(100, *NORMAL), payload(101, "POS_PURCHASE", None, "US", "USD")])
+        second = runner.run_once(spark, cfg)
+    assert first.violations["bronze"]["total"] == first.violations["silver"]["total"] == 40
+    assert second.violations["silver"]["total"] == 2
+    assert second.violations["silver"]["valid_amount"] == 1
+    place = cfg.place(config.SILVER)
+    assert counters.violations(spark, place, "silver")["total"] == 42
+    assert counters.last_batch(spark, place) >= 5
+
+    files.delete(spark, f"{place.counters}/1")
+    with pytest.raises(RuntimeError, match="no counters"):
+        counters.violations(spark, place, "silver")
+
+
+def test_late_count_is_complete_beyond_the_report_limit(spark, tmp_path):
+    place = Place(f"{tmp_path}/checkpoint", f"{tmp_path}/counters")
+    land = f"{tmp_path}/in"
+    with (
+        session.settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "2"}),
+        counters.recorded(spark, {"late_count": place}),
+    ):
+        for n in range(6):
+            rows = [("a", f"x{n}", 10_000 * n, "US"), ("a", f"y{n}", 10_000 * n - 30_000, "US")]
+            silver_rows(spark, rows).write.mode("append").parquet(land)
+            stream = spark.readStream.schema(schemas.SILVER).parquet(land)
+            writer = windows.hourly_spend(stream).writeStream.format("noop")
+            writer = writer.option("checkpointLocation", place.checkpoint).queryName("late_count")
+            runner.finish(writer.trigger(availableNow=True).start())
+    assert counters.late_rows(spark, place) == 5
+
+
+def test_a_refresh_lasts(spark, pipeline):
+    cfg, land = pipeline
+    cfg = replace(cfg, database="txnlake_refresh")
+    land(flag_texts())
+    runner.run_once(spark, cfg)
+    fresh = runner.run_once(spark, cfg, full_refresh=True)
+    land([payload(300, *NORMAL)])
+    later = runner.run_once(spark, cfg)
+    assert later.config.generation == fresh.config.generation != cfg.generation
+    silver_table = spark.table("txnlake_refresh.silver_transactions")
+    assert silver_table.count() == len(FLAG_ROWS) + 1
+    assert later.violations["bronze"]["total"] == 1
 
-    class Query:
-        recentProgress = [Progress(0), Progress(2)]
 
-    with pytest.raises(RuntimeError):
-        layers.observed_violations([Query()], "silver")
+def test_summary_and_checks_are_taken_once(spark, pipeline):
+    cfg, land = pipeline
+    land([*flag_texts(), "broken"])
+    result = runner.run_once(spark, cfg)
+    assert result.summary["bronze_rows"] == len(FLAG_ROWS) + 1
+    assert result.summary["silver_rows"] == len(FLAG_ROWS)
+    assert result.summary["quarantine_rows"] == 1
+    land([payload(400 + i, *NORMAL) for i in range(9)])
+    runner.run_once(spark, cfg)
+    values = {r.check_name: r.value for r in result.checks.collect()}
+    assert values["bronze_not_empty"] == len(FLAG_ROWS) + 1
+
+
+def test_a_failed_run_leaves_its_counters(spark, pipeline):
+    cfg, land = pipeline
+    land([flag_texts()[2], flag_texts()[3]])
+    with pytest.raises(validate.ValidationError) as failed:
+        runner.run_once(spark, cfg)
+    assert failed.value.result.violations["bronze"]["total"] == 2
+    assert failed.value.result.summary["fraud_pct"] == 100.0
+
+
+def test_gold_renews_changed_dates_only(spark, pipeline):
+    cfg, land = pipeline
+    cfg = replace(cfg, database="txnlake_gold")
+    land([payload(i, *NORMAL, timestamp=f"2024-03-0{1 + i % 3}T10:00:00.000Z") for i in range(9)])
+    first = runner.run_once(spark, cfg)
+    land([payload(50, *NORMAL, timestamp="2024-03-02T10:00:00.000Z"),
+          payload(51, *NORMAL, timestamp="not a time")])
+    rows = layers.read_table(spark, cfg, config.SILVER)
+    last = runner.run_once(spark, cfg)
+    rows = layers.read_table(spark, cfg, config.SILVER)
+    old = spark.read.schema(schemas.GOLD).parquet(first.gold_path)
+    assert {str(d) for d in runner.changed_dates(rows, old)} == {"2024-03-02", "None"}
+    new = spark.read.schema(schemas.GOLD).parquet(last.gold_path)
+    twin = gold.merchant_analytics(rows).select(*new.columns)
+    assert new.exceptAll(twin).count() == twin.exceptAll(new).count() == 0
+    for _ in range(3):
+        runner.run_once(spark, cfg)
+    assert len(files.children(spark, cfg.table(config.GOLD))) == 2
+
+
+def test_clustered_copies(spark, pipeline):
+    cfg, land = pipeline
+    land(flag_texts())
+    runner.run_once(spark, cfg)
+    for name in (config.BRONZE, config.SILVER, config.ALERTS):
+        rows = layers.read_table(spark, cfg, name)
+        copy = spark.read.schema(rows.schema).parquet(runner.cluster(spark, cfg, name))
+        assert copy.exceptAll(rows).count() == rows.exceptAll(copy).count() == 0

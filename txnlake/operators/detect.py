@@ -48,11 +48,7 @@ def is_hop(max_gap_seconds: int) -> Column:
     return (F.col("country") != F.col("previous.country")) & near
 
 
-def geo_hop(
-    silver: DataFrame,
-    max_gap_seconds: int = MAX_GAP_SECONDS,
-    hot_rows: int = timeline.HOT_ROWS,
-) -> DataFrame:
+def geo_hop(silver: DataFrame, max_gap_seconds: int = MAX_GAP_SECONDS) -> DataFrame:
     """Transactions in another country than the account's transaction shortly before."""
     visits = silver.select("account_id", *HOP_CARRIED)
     ordered = timeline.with_previous(
@@ -61,7 +57,7 @@ def geo_hop(
         "event_timestamp",
         "transaction_id",
         HOP_CARRIED,
-        hot_rows,
+        max_gap_seconds,
     )
     return hop_report(ordered.filter(is_hop(max_gap_seconds)))
 
@@ -70,7 +66,6 @@ def velocity_spike(
     silver: DataFrame,
     seconds: int = VELOCITY_SECONDS,
     at_least: int = VELOCITY_COUNT,
-    hot_rows: int = timeline.HOT_ROWS,
 ) -> DataFrame:
     """Transactions that are at least the `at_least`-th of their account within `seconds`."""
     counted = timeline.with_trailing_sums(
@@ -79,21 +74,18 @@ def velocity_spike(
         "event_timestamp",
         seconds,
         {"txn_count": F.lit(1).cast("bigint")},
-        hot_rows,
     )
     return counted.filter(F.col("txn_count") >= at_least)
 
 
-def rolling_account_spend(
-    silver: DataFrame,
-    seconds: int = SPEND_SECONDS,
-    hot_rows: int = timeline.HOT_ROWS,
-) -> DataFrame:
+def rolling_account_spend(silver: DataFrame, seconds: int = SPEND_SECONDS) -> DataFrame:
     """Per transaction, count and amount of its account over the `seconds` up to it.
 
     Amounts are added as DECIMAL, so the sum does not depend on the order of the rows.  A missing
-    amount counts as a transaction and adds nothing.
+    amount counts as a transaction and adds nothing; so does one that no sum can hold (NaN,
+    infinite, or of 33 digits and more), which `unsummed` counts.
     """
+    exact = F.col("amount").try_cast("decimal(38,6)")
     summed = timeline.with_trailing_sums(
         silver.select("account_id", "transaction_id", "event_timestamp", "amount"),
         "account_id",
@@ -101,9 +93,9 @@ def rolling_account_spend(
         seconds,
         {
             "txn_count": F.lit(1).cast("bigint"),
-            "rolling_spend": F.col("amount").cast("decimal(38,6)"),
+            "rolling_spend": exact,
+            "unsummed": (F.col("amount").isNotNull() & exact.isNull()).cast("bigint"),
         },
-        hot_rows,
     )
     return summed.withColumn("rolling_spend", F.round("rolling_spend", 2).cast("double"))
 
@@ -111,10 +103,11 @@ def rolling_account_spend(
 def currency_rule_join(transactions: DataFrame, currencies: DataFrame) -> DataFrame:
     """The currency rule with a `country, currency` table in place of the literal map.
 
-    `currencies` has one row per country.  No broadcast hint: Spark broadcasts the table while it
-    is below its size threshold and joins by sort otherwise.
+    Of several rows for a country the alphabetically first currency counts, so a transaction
+    never multiplies.  No broadcast hint: Spark broadcasts the table while it is below its size
+    threshold and joins by sort otherwise.  `transactions` may be a stream.
     """
-    expected = currencies.select("country", F.col("currency").alias("expected_currency"))
+    expected = currencies.groupBy("country").agg(F.min("currency").alias("expected_currency"))
     suspicious = differs_from_expected(F.col("expected_currency"), F.col("currency"))
     return transactions.join(expected, "country", "left").select(
         "transaction_id",

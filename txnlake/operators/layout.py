@@ -22,6 +22,15 @@ SPREAD_BY = {
 }
 
 
+ROWS_PER_FILE = 2_000_000
+
+
+def write_clustered(df: DataFrame, table: str, path: str, rows_per_file: int = ROWS_PER_FILE):
+    """Write in clustered order, in files of bounded size whatever the number of partitions."""
+    writer = clustered(df, table).write.option("maxRecordsPerFile", rows_per_file)
+    writer.mode("errorifexists").parquet(path)
+
+
 def clustered(df: DataFrame, table: str, files: int | None = None) -> DataFrame:
     """Range-partition and sort for a write, so that Parquet statistics skip files and pages.
 

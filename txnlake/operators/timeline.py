@@ -1,46 +1,25 @@
 """Per-account order and trailing sums that hold up when one account has most of the rows.
 
-A plain window over an account sorts the whole account in one task.  That is what happens here
-for most accounts; the timeline of a hot account is cut into minutes, and work goes from short
-stretches of time to longer ones.  No window group of a hot account then grows with its rows: at
-millisecond times, a group holds the rows of one instant, two entries per instant of a minute, or
-two entries per minute of the account.  The result is that of the plain window.
-
-An account is hot above `hot_rows` rows, and above one part in `MAX_HOT_KEYS` of all rows: so
-there are fewer than `MAX_HOT_KEYS` hot accounts whatever the size of the table, and their list
-can be broadcast.  It comes from a partially aggregated count.
+A plain window over an account sorts the whole account in one task.  Here a timeline is always cut
+into stretches of the time that a row can look back, and a row's answer lies in its own stretch or
+the one before.  Window groups are (account, stretch), whatever the account has in all; the plan is
+the same at every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-MILLISECOND = 1_000  # microseconds
-MINUTE = 60_000_000
-
+SECOND = 1_000_000  # microseconds
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with too many rows for one task; fewer than `MAX_HOT_KEYS`."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    share = df.agg(F.floor(F.count(F.lit(1)) / MAX_HOT_KEYS))
-    hot = counts.filter((F.col("rows") > hot_rows) & (F.col("rows") > share.scalar()))
-    return hot.select(key)
 
-
-def _split_hot(df: DataFrame, key: str, time: str, hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of the ordinary keys and of the hot keys.
-
-    Rows without key or time have no place on a timeline and are in neither.
-    """
-    placed = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
-    hot = F.broadcast(hot_keys(placed, key, hot_rows))
-    return placed.join(hot, key, "left_anti"), placed.join(hot, key, "left_semi")
+def _placed(df: DataFrame, key: str, time: str, seconds: int) -> DataFrame:
+    """Rows that have a place on a timeline, with the number of their stretch."""
+    rows = df.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
+    return rows.withColumn("_stretch", F.floor(F.unix_micros(time) / (seconds * SECOND)))
 
 
 def with_previous(
@@ -49,41 +28,37 @@ def with_previous(
     time: str,
     tie_break: str,
     carried: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    seconds: int,
 ) -> DataFrame:
     """Add `previous`: the `carried` columns of the key's row before, in time and tie order.
 
-    NULL in a key's first row.  Rows without key or time are left out.
+    NULL where the row before lies further back than `seconds`, or there is none.  Rows without
+    key or time are left out.  Of each stretch only the last row goes on to the next one.
     """
-
-    def before(window):
-        # Column by column: a lag of a struct would ship every value twice.
-        values = F.struct(*[F.lag(name).over(window).alias(name) for name in carried])
-        return F.when(F.lag(time).over(window).isNotNull(), values)
-
-    ordinary, rest = _split_hot(df, key, time, hot_rows)
-    whole = Window.partitionBy(key).orderBy(time, tie_break)
-    answered = [ordinary.withColumn("previous", before(whole))]
-
-    # Within a stretch only its first row has no answer yet, and its last row is the answer for
-    # the first row of the next stretch; these two go on to the next longer stretch.
-    rest = rest.withColumn("_open", F.lit(True))
-    for length in (MILLISECOND, MINUTE):
-        stretch = F.floor(F.unix_micros(time) / length)
-        inside = Window.partitionBy(key, stretch).orderBy(time, tie_break)
-        seen = rest.withColumns(
-            {"previous": before(inside), "_last": F.lead(F.lit(True)).over(inside).isNull()}
-        )
-        first = F.col("previous").isNull()
-        answered.append(seen.filter(F.col("_open") & ~first))
-        rest = (
-            seen.filter((F.col("_open") & first) | F.col("_last"))
-            .withColumn("_open", F.col("_open") & first)
-            .drop("previous", "_last")
-        )
-    answered.append(rest.withColumn("previous", before(whole)).filter("_open"))
-    columns = [*df.columns, "previous"]
-    return reduce(DataFrame.unionByName, [rows.select(*columns) for rows in answered])
+    rows = _placed(df, key, time, seconds)
+    values = F.struct(*carried)
+    last = F.max_by(values, F.struct(time, tie_break)).alias("_carry")
+    carry = rows.groupBy(key, "_stretch").agg(last, F.max(time).alias("_carry_time"))
+    carry = carry.select(
+        key,
+        (F.col("_stretch") + 1).alias("_stretch"),
+        F.struct(F.col("_carry_time").alias("time"), F.col("_carry").alias("values")).alias("_carry"),
+    )
+    every = rows.withColumn("_own", F.lit(True)).unionByName(
+        carry.withColumn("_own", F.lit(False)), allowMissingColumns=True
+    )
+    # A row carried over comes before all rows of the stretch.
+    order = [F.col("_own"), F.col(time), F.col(tie_break)]
+    before = Window.partitionBy(key, "_stretch").orderBy(*order)
+    here = F.struct(F.col(time).alias("time"), values.alias("values"))
+    seen = F.lag(F.when(F.col("_own"), here).otherwise(F.col("_carry"))).over(before)
+    near = F.unix_micros(time) - F.unix_micros("_seen.time") <= seconds * SECOND
+    return (
+        every.withColumn("_seen", seen)
+        .filter("_own")
+        .withColumn("previous", F.when(near, F.col("_seen.values")))
+        .select(*df.columns, "previous")
+    )
 
 
 def with_trailing_sums(
@@ -92,7 +67,6 @@ def with_trailing_sums(
     time: str,
     seconds: int,
     measures: dict[str, Column],
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add sums of `measures` over the key's rows of the `seconds` up to and including each row.
 
@@ -100,68 +74,31 @@ def with_trailing_sums(
     exact (BIGINT or DECIMAL): a span is the sum of all rows so far less the sum of those that
     are too old.  Both only ever grow along the timeline, which costs one addition per row,
     where a frame that slides adds up its whole span for every row.
-    """
-    ordinary, hot = _split_hot(df, key, time, hot_rows)
-    values = {f"_m_{name}": F.coalesce(value, F.lit(0)) for name, value in measures.items()}
-    span = seconds * 1_000_000
-    in_key = Window.partitionBy(key).orderBy(F.unix_micros(time))
-    until_now = in_key.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    too_old = in_key.rangeBetween(Window.unboundedPreceding, -span - 1)
-    plain = ordinary.withColumns(values).withColumns(
-        {
-            name: F.sum(f"_m_{name}").over(until_now)
-            - F.coalesce(F.sum(f"_m_{name}").over(too_old), F.lit(0))
-            for name in measures
-        }
-    )
 
-    # Of hot keys, each instant gets its sums once, and its rows look them up.
-    timed = hot.withColumns({**values, "_at": F.unix_micros(time)})
-    instants = timed.groupBy(key, "_at").agg(
-        *[F.sum(f"_m_{name}").alias(f"_m_{name}") for name in measures]
-    )
-    summed = timed.drop(*values).join(
-        _sums_at_instants(instants, key, span, list(measures)), [key, "_at"]
-    )
-    columns = [*df.columns, *measures]
-    return plain.select(*columns).unionByName(summed.select(*columns))
-
-
-def _sums_at_instants(
-    instants: DataFrame, key: str, span: int, measures: Sequence[str]
-) -> DataFrame:
-    """The trailing sums at each instant of the hot keys.
-
-    An instant enters the running sum when it happens and leaves it, with the opposite sign, once
-    the span is over.  So a minute needs one number from the minutes before it, its balance.
+    A row also counts in the next stretch, as an instant of its own sums: rows are first added up by
+    instant, so what goes on is one row for each instant.
     """
-    entering = F.col("_sign") == 1
-    steps = (
-        instants.withColumn("_sign", F.explode(F.array(F.lit(1), F.lit(-1))))
-        .withColumn("_at", F.when(entering, F.col("_at")).otherwise(F.col("_at") + span + 1))
-        .withColumns(
-            {f"_m_{m}": F.when(entering, F.col(f"_m_{m}")).otherwise(-F.col(f"_m_{m}"))
-             for m in measures}
-        )
-        .withColumn("_minute", F.floor(F.col("_at") / MINUTE))
-    )
-    minutes = steps.groupBy(key, "_minute").agg(
-        *[F.sum(f"_m_{m}").alias(f"_m_{m}") for m in measures]
-    )
-    earlier = Window.partitionBy(key).orderBy("_minute").rowsBetween(Window.unboundedPreceding, -1)
-    balances = minutes.select(
-        key,
-        "_minute",
-        F.lit(None).cast("bigint").alias("_at"),
-        F.lit(0).alias("_sign"),
-        *[F.sum(f"_m_{m}").over(earlier).alias(f"_m_{m}") for m in measures],
-    )
-    so_far = (
-        Window.partitionBy(key, "_minute")
-        .orderBy(F.asc_nulls_first("_at"))
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = _placed(df, key, time, seconds).withColumn("_at", F.unix_micros(time))
+    values = {f"_m_{name}": F.coalesce(value, F.lit(0)) for name, value in measures.items()}
+    carry = (
+        rows.withColumns(values)
+        .groupBy(key, "_stretch", "_at")
+        .agg(*[F.sum(name).alias(name) for name in values])
+        .withColumn("_stretch", F.col("_stretch") + 1)
+        .withColumn("_own", F.lit(False))
     )
-    running = steps.unionByName(balances).withColumns(
-        {m: F.sum(f"_m_{m}").over(so_far) for m in measures}
+    own = rows.withColumns(values).withColumn("_own", F.lit(True))
+    in_stretch = Window.partitionBy(key, "_stretch").orderBy("_at")
+    until_now = in_stretch.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    too_old = in_stretch.rangeBetween(Window.unboundedPreceding, -seconds * SECOND - 1)
+    sums = {
+        name: F.sum(f"_m_{name}").over(until_now)
+        - F.coalesce(F.sum(f"_m_{name}").over(too_old), F.lit(0))
+        for name in measures
+    }
+    return (
+        own.unionByName(carry, allowMissingColumns=True)
+        .withColumns(sums)
+        .filter("_own")
+        .select(*df.columns, *measures)
     )
-    return running.filter(entering).select(key, "_at", *measures)

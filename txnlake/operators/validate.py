@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake.operators.gold import fraud_measures
@@ -68,9 +68,50 @@ def checks(
     )
 
 
-def enforce(checked: DataFrame) -> None:
-    """Raise on the checks that did not pass."""
-    failed = checked.filter(~F.col("passed")).collect()
+CHECK_SCHEMA = "check_name STRING, passed BOOLEAN, value DOUBLE, threshold DOUBLE"
+
+
+def checks_of(summary: Row, max_fraud_pct: float = MAX_FRAUD_PCT) -> list[tuple]:
+    """The rows of `checks`, from a run summary."""
+    rate = summary.fraud_pct
+    bronze, silver = summary.bronze_rows, summary.silver_rows
+    return [
+        ("bronze_not_empty", bronze > 0, float(bronze), 0.0),
+        ("silver_not_empty", silver > 0, float(silver), 0.0),
+        ("fraud_rate", rate is not None and rate <= max_fraud_pct, rate, float(max_fraud_pct)),
+    ]
+
+
+def run_summary(
+    bronze: DataFrame,
+    silver: DataFrame,
+    quarantine: DataFrame,
+    metrics: DataFrame,
+    alerts: DataFrame,
+) -> DataFrame:
+    """One row: rows of every table, and volumes and fraud rate of silver."""
+    counted = fraud_stats(silver).select(
+        F.col("total").alias("silver_rows"),
+        "fraud_cnt",
+        "total_vol_usd",
+        "fraud_vol_usd",
+        "fraud_pct",
+    )
+    others = {
+        "bronze_rows": bronze,
+        "quarantine_rows": quarantine,
+        "gold_rows": metrics,
+        "alert_rows": alerts,
+    }
+    for name, df in others.items():
+        counted = counted.withColumn(name, df.agg(F.count(F.lit(1))).scalar())
+    return counted
+
+
+def enforce(checked: list[tuple], result=None) -> None:
+    """Raise on the checks that did not pass; the error carries `result`."""
+    failed = [f"{name}: {value} against {limit}" for name, ok, value, limit in checked if not ok]
     if failed:
-        listed = "; ".join(f"{r.check_name}: {r.value} against {r.threshold}" for r in failed)
-        raise ValidationError(listed)
+        error = ValidationError("; ".join(failed))
+        error.result = result
+        raise error

@@ -9,9 +9,16 @@ from pyspark.sql import functions as F
 def sliding_volume(
     rows: DataFrame, keys: list[str], window: str = "5 minutes", slide: str = "1 minute"
 ) -> DataFrame:
-    """Count and volume per sliding window; on streams the watermark closes the windows."""
-    grouped = rows.groupBy(F.window("event_timestamp", window, slide), *keys).agg(
-        F.count(F.lit(1)).alias("txn_count"), F.round(F.sum("amount"), 2).alias("volume")
+    """Count and volume per sliding window, for streams: the watermark closes the windows.
+
+    Rows are added up in panes of one slide; a closed pane, not a row, enters each of its windows.
+    """
+    panes = rows.groupBy(F.window("event_timestamp", slide).alias("pane"), *keys).agg(
+        F.count(F.lit(1)).alias("txn_count"), F.sum("amount").alias("volume")
+    )
+    timed = panes.withColumn("at", F.window_time("pane")).drop("pane")
+    grouped = timed.groupBy(F.window("at", window, slide), *keys).agg(
+        F.sum("txn_count").alias("txn_count"), F.round(F.sum("volume"), 2).alias("volume")
     )
     return grouped.select(
         F.col("window.start").alias("window_start"),
@@ -72,6 +79,16 @@ def hourly_account_spend(silver: DataFrame) -> DataFrame:
     return hourly_spend(silver, ["account_id", "merchant_category"])
 
 
+def hourly_spend_by_account(silver: DataFrame) -> DataFrame:
+    """Spend per clock hour and account."""
+    return hourly_spend(silver, ["account_id"])
+
+
+def hourly_spend_by_category(silver: DataFrame) -> DataFrame:
+    """Spend per clock hour and category."""
+    return hourly_spend(silver, ["merchant_category"])
+
+
 def account_velocity(
     rows: DataFrame, window: str = "60 minutes", slide: str = "10 minutes", at_least: int = 3
 ) -> DataFrame:

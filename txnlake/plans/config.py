@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from txnlake.functions.rules import Rule
 from txnlake.operators.validate import MAX_FRAUD_PCT
 from txnlake.sources.kafka import FileSource, JsonFileSink, KafkaSink, KafkaSource
+from txnlake.streaming.counters import Place
 
 BRONZE = "bronze_transactions"
 SILVER = "silver_transactions"
@@ -57,6 +58,9 @@ class LakeConfig:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/{self.generation}/checkpoints/{name}"
 
+    def place(self, name: str) -> Place:
+        return Place(self.checkpoint(name), f"{self.root}/{self.generation}/counters/{name}")
+
     def sink(self) -> KafkaSink | JsonFileSink:
         return self.alert_sink or JsonFileSink(self.table(ALERT_SINK))
 

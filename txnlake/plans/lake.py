@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlake import schemas, session
+from txnlake.operators import layout
 from txnlake.operators.bronze import to_bronze
+from txnlake.operators.gold import merchant_analytics
 from txnlake.operators.silver import to_silver
 from txnlake.sources import events
 
 # A fixed ingestion time: compared results must not depend on the clock.
 INGESTED_AT = "2024-02-01 00:00:00"
 
-# Messages arrive in runs of this size on average, and in whole quarters of the time range.
-ARRIVAL_ROWS = 5_000_000
+# Rows arrive in so many runs, each an equal part of the time range.
 QUARTERS = 4
 
 _built: dict[tuple[str, str, str], str] = {}
@@ -74,22 +75,35 @@ def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, _once(spark, sf_dir, "silver", build), schemas.SILVER)
 
 
-def arrival_bounds(spark: SparkSession, sf_dir: str) -> list[tuple[datetime, datetime]]:
-    """Consecutive time ranges that cover all events: what arrives before each run."""
-    rows, first, last = events.extent(spark, sf_dir)
-    per_quarter = -(-rows // (QUARTERS * ARRIVAL_ROWS))
-    quarter = (last - first) // QUARTERS
-    step = quarter // per_quarter
-    cuts = [first + q * quarter + i * step for q in range(QUARTERS) for i in range(per_quarter)]
-    cuts.append(last + timedelta(microseconds=1))
-    return list(zip(cuts[:-1], cuts[1:], strict=True))
+def stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metric view, written on first use from the silver table."""
+
+    def build(path):
+        metrics = merchant_analytics(stored_silver(spark, sf_dir))
+        layout.write_clustered(metrics, "gold_merchant_analytics", path)
+
+    return _read(spark, _once(spark, sf_dir, "gold", build), schemas.GOLD)
+
+
+def arrival_bounds(spark: SparkSession, sf_dir: str) -> list[datetime]:
+    """The times that cut the events into quarters; none where no event has a time."""
+    _, first, last = events.extent(spark, sf_dir)
+    if first is None:
+        return []
+    return [first + q * ((last - first) // QUARTERS) for q in range(1, QUARTERS)]
 
 
 def message_arrivals(spark: SparkSession, sf_dir: str, path: str) -> Iterator[int]:
-    """Append the messages to `path` range by range; yields after each range."""
+    """Append the messages to `path` quarter by quarter; yields after each.
+
+    Events without a time come with the last quarter.  There is always a last quarter, so `path`
+    exists in the end even where there are no events.
+    """
     session.use_utc(spark)
-    for number, (since, until) in enumerate(arrival_bounds(spark, sf_dir)):
-        events.messages(spark, sf_dir, since, until).write.mode("append").parquet(path)
+    cuts = [None, *arrival_bounds(spark, sf_dir), None]
+    for number, (since, until) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        rows = events.messages(spark, sf_dir, since, until, untimed=until is None)
+        rows.write.mode("append").parquet(path)
         yield number
 
 
@@ -104,30 +118,53 @@ def landed_messages(spark: SparkSession, sf_dir: str) -> str:
 
 
 def silver_arrivals(
-    spark: SparkSession, sf_dir: str, path: str, delayed: str = "false"
+    spark: SparkSession,
+    sf_dir: str,
+    path: str,
+    delayed: str = "false",
+    overlap_seconds: int = 0,
 ) -> Iterator[int]:
-    """Append silver rows to `path` range by range, in time order; yields after each range.
+    """Append silver rows to `path` quarter by quarter, in time order; yields after each.
 
-    Rows of the first quarter that satisfy `delayed` arrive with the last range.
+    Rows of the first quarter that satisfy `delayed` arrive with the last one, and so do rows
+    without a time.  With an overlap, every second row of the seconds before a cut arrives after it.
+    The date folders that a quarter does not touch are not read.
     """
-    # Event times are cut to milliseconds, so a range starts at its first millisecond.
-    starts = [
-        since.replace(microsecond=since.microsecond // 1000 * 1000)
-        for since, _ in arrival_bounds(spark, sf_dir)
+    # Event times are cut to milliseconds, so a quarter starts at its first millisecond.
+    cuts = [
+        cut.replace(microsecond=cut.microsecond // 1000 * 1000)
+        for cut in arrival_bounds(spark, sf_dir)
     ]
-
-    def from_start(number):
-        start = F.lit(starts[number]).cast("timestamp_ntz").cast("timestamp")
-        return F.col("event_timestamp") >= start
-
-    in_first_quarter = ~from_start(len(starts) // QUARTERS)
-    is_late = in_first_quarter & F.coalesce(F.expr(delayed), F.lit(False))
+    at, day = F.col("event_timestamp"), F.col("transaction_date")
     rows = stored_silver(spark, sf_dir)
-    for number in range(len(starts)):
-        is_last = number + 1 == len(starts)
-        in_range = from_start(number)
-        if not is_last:
-            in_range = in_range & ~from_start(number + 1)
-        chosen = (in_range | is_late) if is_last else (in_range & ~is_late)
-        rows.filter(chosen).write.mode("append").parquet(path)
+    is_late = F.lit(False)
+    if cuts:
+        is_late = (at < _time(cuts[0])) & F.coalesce(F.expr(delayed), F.lit(False))
+    held_back = F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == 0
+    overlap = timedelta(seconds=overlap_seconds)
+
+    def after(cut):
+        """Rows that arrive after a cut."""
+        moved = held_back & (at >= _time(cut - overlap))
+        return (at >= _time(cut)) | moved if overlap_seconds else at >= _time(cut)
+
+    edges = [None, *cuts, None]
+    for number, (since, until) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+        chosen, days = F.lit(True), F.lit(True)
+        if since is not None:
+            chosen, days = chosen & after(since), days & (day >= (since - overlap).date())
+        if until is not None:
+            chosen, days = chosen & ~after(until), days & (day <= until.date())
+            part = rows.filter(days & chosen & ~is_late)
+        else:
+            part = rows.filter(days & chosen)
+            if cuts:
+                early = rows.filter((day <= cuts[0].date()) & is_late)
+                part = part.filter(~is_late).unionByName(early)
+                part = part.unionByName(rows.filter(at.isNull()))
+        part.write.mode("append").parquet(path)
         yield number
+
+
+def _time(moment: datetime):
+    return F.lit(moment).cast("timestamp_ntz").cast("timestamp")

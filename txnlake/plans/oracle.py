@@ -13,14 +13,14 @@ facts AS (
   FROM events
 ),
 places(place, city, lat, lon) AS (
-  VALUES ('US', 'New York', '40.7128', '-74.0060'), ('CA', 'Toronto', '43.6532', '-79.3832'),
-    ('GB', 'London', '51.5074', '-0.1278'), ('AU', 'Sydney', '-33.8688', '151.2093'),
-    ('JP', 'Tokyo', '35.6762', '139.6503')
+  VALUES ('US', 'Northport', '41.5123', '-73.2511'), ('CA', 'Lakeview', '45.1234', '-76.4321'),
+    ('GB', 'Westbridge', '52.3111', '-1.1222'), ('AU', 'Southbay', '-34.2333', '150.5444'),
+    ('JP', 'Eastfield', '36.4555', '138.9666')
 ),
 shops(shop_category, shop) AS (
-  VALUES ('GROCERY', 'Whole Foods'), ('ELECTRONICS', 'Apple Store'), ('RESTAURANT', 'McDonald''s'),
-    ('GAS_STATION', 'Shell'), ('TRAVEL', 'Delta Airlines'), ('HEALTHCARE', 'CVS Pharmacy'),
-    ('ENTERTAINMENT', 'Netflix'), ('RETAIL', 'Amazon')
+  VALUES ('GROCERY', 'Green Basket'), ('ELECTRONICS', 'Volt Corner'), ('RESTAURANT', 'Blue Spoon'),
+    ('GAS_STATION', 'Red Pump'), ('TRAVEL', 'Far Lines'), ('HEALTHCARE', 'Well Chemist'),
+    ('ENTERTAINMENT', 'Night Reel'), ('RETAIL', 'Main Store')
 ),
 currencies(of_country, expected) AS (
   VALUES ('US', 'USD'), ('CA', 'CAD'), ('GB', 'GBP'), ('AU', 'AUD'), ('DE', 'EUR'), ('JP', 'JPY')
@@ -31,14 +31,19 @@ messages AS (
     || '","card_number_masked":"4532-XXXX-XXXX-'
     || lpad(CAST(user_id % 10000 AS VARCHAR), 4, '0')
     || '","timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"'
-    || ',"amount":' || CAST(CAST(round(value * 50, 2) AS DECIMAL(18,2)) AS VARCHAR)
-    || ',"currency":"' || CASE WHEN event_id % 33 = 0 THEN 'USD' ELSE expected END
-    || '","transaction_type":"' || CASE event_type WHEN 'click' THEN 'POS_PURCHASE'
+    || CASE WHEN event_id % 89 = 0 THEN ''
+         ELSE ',"amount":' || CAST(CAST(round(value * 50, 2) AS DECIMAL(18,2)) AS VARCHAR) END
+    || CASE WHEN event_id % 79 = 0 THEN '' ELSE ',"currency":"' ||
+         CASE WHEN event_id % 73 = 0 THEN 'BRL' WHEN event_id % 33 = 0 THEN 'USD' ELSE expected END
+         || '"' END
+    || ',"transaction_type":"' || CASE event_type WHEN 'click' THEN 'POS_PURCHASE'
          WHEN 'view' THEN 'MOBILE_PAYMENT' WHEN 'purchase' THEN 'ONLINE_TRANSFER'
          WHEN 'signup' THEN 'DIRECT_DEPOSIT' WHEN 'error' THEN 'ATM_WITHDRAWAL' END
     || '","merchant":{"merchant_id":"m-' || (1000 + event_id % 9000) || '","name":"' || shop
-    || '","category":"' || category || '"},"location":{"city":"' || city || '","country":"'
-    || country || '","lat":' || lat || ',"lon":' || lon || '},"device_id":"dev-web-'
+    || '","category":"' || category || '"},"location":{"city":"' || city || '"'
+    || CASE WHEN event_id % 83 = 0 THEN '' ELSE ',"country":"' ||
+         CASE WHEN event_id % 73 = 0 THEN 'BR' ELSE country END || '"' END
+    || ',"lat":' || lat || ',"lon":' || lon || '},"device_id":"dev-web-'
     || (10000 + user_id) || '"}' AS text
   FROM facts JOIN places ON place = country JOIN shops ON shop_category = category
     JOIN currencies ON of_country = country
@@ -171,10 +176,12 @@ MESSAGE = """
 SELECT account_id AS key,
   '{"transaction_id":"' || transaction_id || '","account_id":"' || account_id
   || '","card_number_masked":"' || card_number_masked || '","timestamp":"'
-  || CAST(event_timestamp AS VARCHAR) || '","amount":' || CAST(amount AS VARCHAR)
-  || ',"currency":"' || currency || '","transaction_type":"' || transaction_type
+  || CAST(event_timestamp AS VARCHAR) || '"'
+  || coalesce(',"amount":' || CAST(amount AS VARCHAR), '')
+  || coalesce(',"currency":"' || currency || '"', '') || ',"transaction_type":"' || transaction_type
   || '","merchant_name":"' || merchant_name || '","merchant_category":"' || merchant_category
-  || '","city":"' || city || '","country":"' || country || '","fraud_reasons":"'
+  || '","city":"' || city || '"' || coalesce(',"country":"' || country || '"', '')
+  || ',"fraud_reasons":"'
   || fraud_reasons || '"}' AS value
 FROM silver WHERE is_fraud
 """
@@ -204,7 +211,9 @@ WHERE country <> previous_country AND gap <= 3600
 TRAILING = """
 SELECT account_id, transaction_id, event_timestamp, amount,
   CAST(count(*) OVER w AS BIGINT) AS txn_count,
-  round(sum(amount) OVER w, 2) AS rolling_spend
+  round(coalesce(sum(amount) OVER w, 0), 2) AS rolling_spend,
+  CAST(coalesce(sum(CASE WHEN isnan(amount) OR abs(amount) >= 1e32 THEN 1 ELSE 0 END) OVER w, 0)
+    AS BIGINT) AS unsummed
 FROM silver
 WINDOW w AS (PARTITION BY account_id ORDER BY event_timestamp
   RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)
@@ -306,7 +315,17 @@ def oracle_sql() -> dict[str, str]:
               fraud_reasons, event_timestamp
             FROM silver WHERE is_fraud
             ORDER BY event_timestamp DESC NULLS LAST, transaction_id LIMIT 25""",
+        "run_summary": f"""
+            SELECT total AS silver_rows, fraud_cnt, total_vol_usd, fraud_vol_usd, fraud_pct,
+              (SELECT CAST(count(*) AS BIGINT) FROM bronze) AS bronze_rows,
+              (SELECT CAST(count(*) AS BIGINT) FROM typed WHERE _rescued_data IS NOT NULL)
+                AS quarantine_rows,
+              (SELECT CAST(count(*) AS BIGINT) FROM gold) AS gold_rows,
+              (SELECT CAST(count(*) AS BIGINT) FROM silver WHERE is_fraud) AS alert_rows
+            FROM ({STATS}) AS stats""",
+        "layout_bronze": f"SELECT {BRONZE} FROM bronze",
         "layout_silver": SILVER_ROWS,
+        "layout_alerts": ALERT_ROWS,
         "geo_hop": HOPS,
         "velocity_spike": f"""
             SELECT account_id, transaction_id, event_timestamp, amount, txn_count
@@ -314,6 +333,10 @@ def oracle_sql() -> dict[str, str]:
         "rolling_account_spend": TRAILING,
         "sliding_category_volume": _sliding("merchant_category", 5, 1),
         "hourly_account_spend": HOURLY.format(rows="silver"),
+        "hourly_spend_by_account": HOURLY.format(rows="silver").replace(
+            "account_id, merchant_category", "account_id"),
+        "hourly_spend_by_category": HOURLY.format(rows="silver").replace(
+            "account_id, merchant_category", "merchant_category"),
         "currency_rule_join": """
             SELECT transaction_id, country, currency, expected AS expected_currency,
               is_suspicious_currency FROM silver""",
@@ -327,6 +350,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_gold_merchant": batch["gold_merchant_analytics"],
         "stream_dq": f"{DQ_BRONZE} UNION ALL {DQ_SILVER}",
         "stream_restart": batch["silver_fraud_flags"],
+        "stream_currency_join": batch["currency_rule_join"],
         "stream_geo_hop": batch["geo_hop"],
         "stream_sliding_volume": f"""
             SELECT * FROM ({_sliding("merchant_category", 5, 1)}) AS windows
@@ -337,7 +361,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_late_data": f"""
             SELECT * FROM ({HOURLY.format(rows=f'''(
               SELECT * FROM silver
-              WHERE NOT (country = 'JP' AND event_timestamp < {FIRST_QUARTER_END})
+              WHERE NOT coalesce(
+                country = 'JP' AND event_timestamp < {FIRST_QUARTER_END}, FALSE)
             ) AS in_time''')}) AS hours
             WHERE hour_start + INTERVAL 1 HOUR <= {WATERMARK}""",
     }

@@ -31,12 +31,31 @@ def _without_zone(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in zoned})
 
 
-def layout_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver written in clustered order and read back."""
-    path = session.scratch_dir(spark, "layout_silver")
+def _laid_out(name: str, rows: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """A stored layer written in clustered order and read back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = session.scratch_dir(spark, f"layout_{name}")
+        df = rows(spark, sf_dir)
+        layout.write_clustered(df, name, path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return run
+
+
+def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.fraud_alerts(lake.stored_silver(spark, sf_dir))
+
+
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lake.stored_silver(spark, sf_dir)
-    layout.clustered(rows, "silver_transactions").write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return validate.run_summary(
+        lake.stored_bronze(spark, sf_dir),
+        rows,
+        silver.quarantine(lake.stored_bronze(spark, sf_dir)),
+        lake.stored_gold(spark, sf_dir),
+        gold.fraud_alerts(rows),
+    )
 
 
 def post_validation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +63,7 @@ def post_validation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.table_counts(
         bronze_transactions=lake.stored_bronze(spark, sf_dir),
         silver_transactions=rows,
-        gold_merchant_analytics=gold.merchant_analytics(rows),
+        gold_merchant_analytics=lake.stored_gold(spark, sf_dir),
         gold_fraud_alerts=gold.fraud_alerts(rows),
     )
 
@@ -98,12 +117,17 @@ BATCH: dict[str, Query] = {
     "recent_alerts": lambda spark, sf_dir: reports.recent_alerts(
         gold.fraud_alerts(lake.stored_silver(spark, sf_dir))
     ),
-    "layout_silver": layout_silver,
+    "run_summary": run_summary,
+    "layout_bronze": _laid_out("bronze_transactions", lake.stored_bronze),
+    "layout_silver": _laid_out("silver_transactions", lake.stored_silver),
+    "layout_alerts": _laid_out("gold_fraud_alerts", _alerts),
     "geo_hop": _on_silver_table(detect.geo_hop),
     "velocity_spike": _on_silver_table(detect.velocity_spike),
     "rolling_account_spend": _on_silver_table(detect.rolling_account_spend),
     "sliding_category_volume": _on_silver_table(windows.sliding_category_volume),
     "hourly_account_spend": _on_silver_table(windows.hourly_account_spend),
+    "hourly_spend_by_account": _on_silver_table(windows.hourly_spend_by_account),
+    "hourly_spend_by_category": _on_silver_table(windows.hourly_spend_by_category),
     "currency_rule_join": currency_rule_join,
 }
 
@@ -120,6 +144,7 @@ STREAMS: dict[str, Query] = {
     "stream_sliding_volume": streams.stream_sliding_volume,
     "stream_velocity": streams.stream_velocity,
     "stream_late_data": streams.stream_late_data,
+    "stream_currency_join": streams.stream_currency_join,
 }
 
 

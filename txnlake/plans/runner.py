@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, replace
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from txnlake import schemas, session
+from txnlake import files, schemas, session
 from txnlake.operators import gold, layout, validate
 from txnlake.plans import config
 from txnlake.plans.config import LakeConfig
-from txnlake.streaming import layers
+from txnlake.streaming import counters, layers
+
+# Names the generation that a full refresh has made the valid one.
+GENERATION = "current_generation"
 
 
 @dataclass
@@ -23,6 +28,7 @@ class RunResult:
     gold_path: str
     checks: DataFrame
     violations: dict[str, dict[str, int]]
+    summary: dict
 
 
 def finish(*queries: StreamingQuery) -> list[StreamingQuery]:
@@ -33,13 +39,53 @@ def finish(*queries: StreamingQuery) -> list[StreamingQuery]:
 
 
 def refresh_gold(spark: SparkSession, cfg: LakeConfig) -> str:
-    """Recompute the metric view from silver into a new folder and give its path.
+    """Renew the metric view into a new folder and give its path.
 
-    Readers of the previous version are not disturbed; the catalog entry moves once it is whole.
+    Only dates whose number of silver rows has changed are computed again; silver only grows, so the
+    others stand as they are in the last version.  Readers of that version are not disturbed; the
+    catalog entry moves once the new one is whole.  Versions before the last two are deleted.
     """
-    path = f"{cfg.table(config.GOLD)}/version={uuid.uuid4().hex}"
-    metrics = gold.merchant_analytics(layers.read_table(spark, cfg, config.SILVER))
-    layout.clustered(metrics, config.GOLD).write.parquet(path)
+    folder = cfg.table(config.GOLD)
+    versions = files.children(spark, folder)
+    rows = layers.read_table(spark, cfg, config.SILVER)
+    path = f"{folder}/version={len(versions) and _number(versions[-1]) + 1:012d}"
+    if versions:
+        old = spark.read.schema(schemas.GOLD).parquet(versions[-1])
+        old = old.select(*schemas.names(schemas.GOLD))
+        dates = changed_dates(rows, old)
+        metrics = gold.merchant_analytics(rows.filter(_is_one_of("transaction_date", dates)))
+        metrics = metrics.unionByName(old.filter(~_is_one_of("transaction_date", dates)))
+    else:
+        metrics = gold.merchant_analytics(rows)
+    layout.write_clustered(metrics, config.GOLD, path)
+    for version in versions[:-1]:
+        files.delete(spark, version)
+    return path
+
+
+def _number(version: str) -> int:
+    return int(version.rsplit("=", 1)[1])
+
+
+def changed_dates(rows: DataFrame, old: DataFrame) -> list[date | None]:
+    """Dates that have another number of rows in silver than in the metrics: one entry a day."""
+    now = rows.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("n"))
+    before = old.groupBy("transaction_date").agg(F.sum("total_transactions").alias("m"))
+    same_day = now["transaction_date"].eqNullSafe(before["transaction_date"])
+    joined = now.join(before, same_day, "left").filter("m IS NULL OR n <> m")
+    return [row[0] for row in joined.select(now["transaction_date"]).collect()]
+
+
+def _is_one_of(column: str, values: list) -> Column:
+    known = [value for value in values if value is not None]
+    found = F.coalesce(F.col(column).isin(known), F.lit(False)) if known else F.lit(False)
+    return found | F.col(column).isNull() if None in values else found
+
+
+def cluster(spark: SparkSession, cfg: LakeConfig, name: str) -> str:
+    """Write a stored layer once more in clustered order, for readers that select by its columns."""
+    path = f"{cfg.root}/{cfg.generation}/clustered/{name}/version={uuid.uuid4().hex}"
+    layout.write_clustered(layers.read_table(spark, cfg, name), name, path)
     return path
 
 
@@ -61,43 +107,69 @@ def register(spark: SparkSession, cfg: LakeConfig, name: str, ddl: str, path: st
     spark.catalog.refreshTable(table)
 
 
+def current(spark: SparkSession, cfg: LakeConfig) -> LakeConfig:
+    """The configuration with the generation that the last full refresh has left."""
+    generation = files.read_text(spark, f"{cfg.root}/{GENERATION}")
+    return replace(cfg, generation=generation) if generation else cfg
+
+
 def run_once(spark: SparkSession, cfg: LakeConfig, full_refresh: bool = False) -> RunResult:
     """Take in what has arrived since the last run, through all layers, and check the result.
 
-    `full_refresh` reads everything again into a new generation of tables and checkpoints, whose
-    configuration is in the result.  Raises `ValidationError` when a check does not pass.
+    `full_refresh` reads everything again into a new generation of tables and checkpoints.  The
+    catalog and later runs move there once all its tables are whole; readers never see empty ones.
+    Raises `ValidationError` when a check does not pass; its `result` is what the run left.
     """
     if cfg.continuous:
         raise ValueError("run_once takes what is there; use start_all for a continuous run")
     session.use_utc(spark)
+    cfg = current(spark, cfg)
     if full_refresh:
         cfg = replace(cfg, generation=f"g{uuid.uuid4().hex[:12]}")
     validate.ensure_namespace(spark, cfg.database)
     streamed = (config.BRONZE, config.SILVER, config.QUARANTINE, config.ALERTS)
     for name in streamed:
-        register(spark, cfg, name, layers.SCHEMAS[name], cfg.table(name))
-
-    bronze = finish(layers.start_bronze(spark, cfg))
-    silver = finish(layers.start_silver(spark, cfg), layers.start_quarantine(spark, cfg))
-    alerts = finish(layers.start_alerts(spark, cfg), layers.start_alert_sink(spark, cfg))
+        if not spark.catalog.tableExists(f"{cfg.database}.{name}"):
+            register(spark, cfg, name, layers.SCHEMAS[name], cfg.table(name))
+
+    counted = {"bronze": config.BRONZE, "silver": config.SILVER, "gold": config.ALERTS}
+    places = {name: cfg.place(name) for name in counted.values()}
+    before = {name: counters.last_batch(spark, place) for name, place in places.items()}
+    with counters.recorded(spark, places):
+        finish(layers.start_bronze(spark, cfg))
+        finish(layers.start_silver(spark, cfg), layers.start_quarantine(spark, cfg))
+        finish(layers.start_alerts(spark, cfg), layers.start_alert_sink(spark, cfg))
     gold_path = refresh_gold(spark, cfg)
 
     for name in streamed:
-        spark.catalog.refreshTable(f"{cfg.database}.{name}")
+        register(spark, cfg, name, layers.SCHEMAS[name], cfg.table(name))
     register(spark, cfg, config.GOLD, schemas.GOLD, gold_path)
-
-    checks = validate.checks(
-        layers.read_table(spark, cfg, config.BRONZE),
-        layers.read_table(spark, cfg, config.SILVER),
-        cfg.max_fraud_pct,
-    )
-    validate.enforce(checks)
+    if full_refresh:
+        files.write_text(spark, f"{cfg.root}/{GENERATION}", cfg.generation)
+
+    tables = {name: layers.read_table(spark, cfg, name) for name in streamed}
+    tables[config.GOLD] = spark.read.schema(schemas.GOLD).parquet(gold_path)
+    summary = validate.run_summary(
+        tables[config.BRONZE],
+        tables[config.SILVER],
+        tables[config.QUARANTINE],
+        tables[config.GOLD],
+        tables[config.ALERTS],
+    ).first()
+    checked = validate.checks_of(summary, cfg.max_fraud_pct)
     violations = {
-        "bronze": layers.observed_violations(bronze, "bronze"),
-        "silver": layers.observed_violations(silver[:1], "silver"),
-        "gold": layers.observed_violations(alerts[:1], "gold"),
+        layer: counters.violations(spark, places[name], layer, before[name])
+        for layer, name in counted.items()
     }
-    return RunResult(cfg, gold_path, checks, violations)
+    result = RunResult(
+        cfg,
+        gold_path,
+        spark.createDataFrame(checked, validate.CHECK_SCHEMA),
+        violations,
+        summary.asDict(),
+    )
+    validate.enforce(checked, result)
+    return result
 
 
 def start_all(spark: SparkSession, cfg: LakeConfig) -> list[StreamingQuery]:
@@ -109,6 +181,7 @@ def start_all(spark: SparkSession, cfg: LakeConfig) -> list[StreamingQuery]:
     if not cfg.continuous:
         raise ValueError("set `continuous` to the interval between micro-batches")
     session.use_utc(spark)
+    cfg = current(spark, cfg)
     starts = (
         layers.start_bronze,
         layers.start_silver,

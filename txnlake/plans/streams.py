@@ -5,25 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 
-from txnlake import schemas, session
-from txnlake.operators import quality
+from txnlake import files, schemas, session
+from txnlake.functions.rules import COUNTRY_CURRENCY
+from txnlake.operators import detect, quality
 from txnlake.plans import config, lake
 from txnlake.plans.config import LakeConfig
 from txnlake.plans.runner import finish, refresh_gold
 from txnlake.sources.kafka import FileSource
-from txnlake.streaming import hops, layers, windows
+from txnlake.streaming import counters, hops, layers, windows
+from txnlake.streaming.counters import Place
 
-FILES_PER_BATCH = 2
+BATCHES = 8  # micro-batches that a landing is read in, about
 
 
 def pipeline_config(spark: SparkSession, landing: str, label: str) -> LakeConfig:
     """A pipeline of its own below the scratch folder, reading messages from `landing`."""
+    per_batch = max(1, -(-len(files.children(spark, landing)) // BATCHES))
     return LakeConfig(
         root=session.scratch_dir(spark, label),
-        source=FileSource(landing, max_files_per_trigger=FILES_PER_BATCH),
-        max_files_per_trigger=FILES_PER_BATCH * 8,
+        source=FileSource(landing, max_files_per_trigger=per_batch),
+        max_files_per_trigger=per_batch * 8,
         ingested_at=lake.ingested_at(),
     )
 
@@ -75,14 +77,19 @@ def stream_alert_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observed counters of the bronze and silver streams, summed over their batches."""
-    with session.settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "100000"}):
-        _, queries = _run(spark, sf_dir, "stream_dq", layers.start_bronze, layers.start_silver)
+    """Stored counters of the bronze and silver streams, summed over their batches."""
+    session.use_utc(spark)
+    cfg = pipeline_config(spark, lake.landed_messages(spark, sf_dir), "stream_dq")
+    places = {name: cfg.place(name) for name in (config.BRONZE, config.SILVER)}
+    with counters.recorded(spark, places):
+        finish(layers.start_bronze(spark, cfg))
+        finish(layers.start_silver(spark, cfg))
     rows = []
-    for query, layer, rules in zip(
-        queries, ("bronze", "silver"), (quality.BRONZE_RULES, quality.SILVER_RULES), strict=True
+    for name, layer, rules in (
+        (config.BRONZE, "bronze", quality.BRONZE_RULES),
+        (config.SILVER, "silver", quality.SILVER_RULES),
     ):
-        sums = layers.observed_violations([query], layer)
+        sums = counters.violations(spark, places[name], layer)
         rows += [(layer, r.name, r.action, sums["total"], sums[r.name]) for r in rules]
     columns = "layer STRING, rule STRING, action STRING, total BIGINT, violations BIGINT"
     return spark.createDataFrame(rows, columns)
@@ -117,31 +124,37 @@ def _stateful(
     label: str,
     transform: Callable[[DataFrame], DataFrame],
     delayed: str = "false",
-) -> tuple[DataFrame, list[StreamingQuery]]:
-    """Run a stateful query after each arrival of silver rows, on one checkpoint."""
+) -> tuple[DataFrame, Place]:
+    """Run a query after each arrival of silver rows, on one checkpoint, and record its counters."""
     session.use_utc(spark)
     root = session.scratch_dir(spark, label)
-    queries = []
-    with _state_partitions(spark):
+    place = Place(f"{root}/checkpoint", f"{root}/counters")
+    with _state_partitions(spark), counters.recorded(spark, {label: place}):
         for _ in lake.silver_arrivals(spark, sf_dir, f"{root}/silver", delayed):
             rows = spark.readStream.schema(schemas.SILVER).parquet(f"{root}/silver")
             result = transform(rows)
             query = (
                 result.writeStream.format("parquet")
+                .queryName(label)
                 .option("path", f"{root}/out")
-                .option("checkpointLocation", f"{root}/checkpoint")
+                .option("checkpointLocation", place.checkpoint)
                 .trigger(availableNow=True)
                 .start()
             )
-            queries += finish(query)
-    return spark.read.schema(result.schema).parquet(f"{root}/out"), queries
+            finish(query)
+    return spark.read.schema(result.schema).parquet(f"{root}/out"), place
 
 
 def stream_geo_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    buckets = spark.sparkContext.defaultParallelism * 8
-    return _stateful(
-        spark, sf_dir, "stream_geo_hop", lambda rows: hops.geo_hop(rows, buckets=buckets)
-    )[0]
+    """Hops after arrivals that overlap in time, within the watermark; waiting rows included."""
+    session.use_utc(spark)
+    root = session.scratch_dir(spark, "stream_geo_hop")
+    stream = hops.HopStream(f"{root}/hops")
+    overlap = hops.WATERMARK_SECONDS // 2
+    for _ in lake.silver_arrivals(spark, sf_dir, f"{root}/silver", overlap_seconds=overlap):
+        rows = spark.readStream.schema(schemas.SILVER).parquet(f"{root}/silver")
+        finish(stream.start(rows))
+    return stream.with_waiting(spark)
 
 
 def stream_sliding_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,16 +172,25 @@ DELAYED_FEED = "country = 'JP'"
 
 def late_data_run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
     """Hourly spend without the rows that came too late, and how many groups' rows were late."""
-    result, queries = _stateful(
+    result, place = _stateful(
         spark, sf_dir, "stream_late_data", windows.hourly_spend, DELAYED_FEED
     )
-    dropped = sum(
-        state.numRowsDroppedByWatermark
-        for query in queries
-        for progress in query.recentProgress
-        for state in progress.stateOperators
+    return result, counters.late_rows(spark, place)
+
+
+def stream_currency_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The currency rule as a join of the silver stream with a stored table of currencies."""
+    path = f"{session.scratch_dir(spark, 'currencies')}/table"
+    known = spark.createDataFrame(
+        list(COUNTRY_CURRENCY.items()), "country STRING, currency STRING"
     )
-    return result, dropped
+    known.write.parquet(path)
+
+    def transform(rows):
+        currencies = spark.read.schema(known.schema).parquet(path)
+        return detect.currency_rule_join(rows, currencies)
+
+    return _stateful(spark, sf_dir, "stream_currency_join", transform)[0]
 
 
 def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from txnlake.functions.rules import COUNTRY_CURRENCY
 
-# Fixed values of the derivation: kinds by event type, countries by user, the first merchant of
-# each category and the first city of each country.
+# Fixed values of the derivation: kinds by event type, countries by user, an invented merchant for
+# each category and an invented city for each country.
 TYPE_OF_EVENT = {
     "click": "POS_PURCHASE",
     "view": "MOBILE_PAYMENT",
@@ -20,23 +20,29 @@ TYPE_OF_EVENT = {
 }
 COUNTRY_OF_USER = ["US", "US", "US", "US", "CA", "GB", "AU", "JP"]
 MERCHANT_OF_CATEGORY = {
-    "GROCERY": "Whole Foods",
-    "ELECTRONICS": "Apple Store",
-    "RESTAURANT": "McDonald's",
-    "GAS_STATION": "Shell",
-    "TRAVEL": "Delta Airlines",
-    "HEALTHCARE": "CVS Pharmacy",
-    "ENTERTAINMENT": "Netflix",
-    "RETAIL": "Amazon",
+    "GROCERY": "Green Basket",
+    "ELECTRONICS": "Volt Corner",
+    "RESTAURANT": "Blue Spoon",
+    "GAS_STATION": "Red Pump",
+    "TRAVEL": "Far Lines",
+    "HEALTHCARE": "Well Chemist",
+    "ENTERTAINMENT": "Night Reel",
+    "RETAIL": "Main Store",
 }
 CITY_OF_COUNTRY = {
-    "US": ("New York", "40.7128", "-74.0060"),
-    "CA": ("Toronto", "43.6532", "-79.3832"),
-    "GB": ("London", "51.5074", "-0.1278"),
-    "AU": ("Sydney", "-33.8688", "151.2093"),
-    "JP": ("Tokyo", "35.6762", "139.6503"),
+    "US": ("Northport", "41.5123", "-73.2511"),
+    "CA": ("Lakeview", "45.1234", "-76.4321"),
+    "GB": ("Westbridge", "52.3111", "-1.1222"),
+    "AU": ("Southbay", "-34.2333", "150.5444"),
+    "JP": ("Eastfield", "36.4555", "138.9666"),
 }
 FOREIGN_EVERY = 33
+# Fields that some messages lack, and a country that no rule knows.
+NO_AMOUNT_EVERY = 89
+NO_COUNTRY_EVERY = 83
+NO_CURRENCY_EVERY = 79
+UNKNOWN_EVERY = 73
+UNKNOWN_COUNTRY, UNKNOWN_CURRENCY = "BR", "BRL"
 MALFORMED_EVERY = 97
 MALFORMED_LENGTH = 40
 TOPIC = "banking.transactions"
@@ -63,16 +69,22 @@ def messages(
     sf_dir: str,
     since: datetime | None = None,
     until: datetime | None = None,
+    untimed: bool = True,
 ) -> DataFrame:
-    """Events as keyed JSON messages; some texts are cut short and so do not parse.
+    """Events as keyed JSON messages; some texts are cut short and so do not parse, some lack a field.
 
     `since` and `until` (exclusive) select what arrives in one go; they reach the Parquet scan.
+    Events without a time are there with `untimed`.
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    chosen = F.lit(True)
     if since is not None:
-        events = events.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+        chosen = chosen & (F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
     if until is not None:
-        events = events.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
+        chosen = chosen & (F.col("ts") < F.lit(until).cast("timestamp_ntz"))
+    if since is not None or until is not None:
+        no_time = F.col("ts").isNull()
+        events = events.filter(chosen | no_time if untimed else chosen & ~no_time)
     event_id, user_id = F.col("event_id"), F.col("user_id")
     foreign = event_id % FOREIGN_EVERY == 0
     home = _nth(COUNTRY_OF_USER, user_id % len(COUNTRY_OF_USER))
@@ -90,6 +102,18 @@ def messages(
             "category": _nth(list(MERCHANT_OF_CATEGORY), slot),
         }
     )
+
+    def every(n: int) -> Column:
+        return event_id % n == 0
+
+    unknown = every(UNKNOWN_EVERY)
+    amount = F.round(F.col("value") * 50, 2).cast("decimal(18,2)")
+    currency = (
+        F.when(unknown, UNKNOWN_CURRENCY)
+        .when(foreign, "USD")
+        .otherwise(_lookup(COUNTRY_CURRENCY, F.col("country")))
+    )
+    country = F.when(unknown, UNKNOWN_COUNTRY).otherwise(F.col("country"))
     payload = F.struct(
         F.concat(F.lit("tx-"), event_id.cast("string")).alias("transaction_id"),
         F.concat(F.lit("acc-"), user_id.cast("string")).alias("account_id"),
@@ -97,10 +121,8 @@ def messages(
             F.lit("4532-XXXX-XXXX-"), F.lpad((user_id % 10000).cast("string"), 4, "0")
         ).alias("card_number_masked"),
         F.date_format("sent_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp"),
-        F.round(F.col("value") * 50, 2).cast("decimal(18,2)").alias("amount"),
-        F.when(foreign, "USD")
-        .otherwise(_lookup(COUNTRY_CURRENCY, F.col("country")))
-        .alias("currency"),
+        F.when(~every(NO_AMOUNT_EVERY), amount).alias("amount"),
+        F.when(~every(NO_CURRENCY_EVERY), currency).alias("currency"),
         _lookup(TYPE_OF_EVENT, F.col("event_type")).alias("transaction_type"),
         F.struct(
             F.concat(F.lit("m-"), (event_id % 9000 + 1000).cast("string")).alias("merchant_id"),
@@ -109,7 +131,7 @@ def messages(
         ).alias("merchant"),
         F.struct(
             places["city"].alias("city"),
-            F.col("country"),
+            F.when(~every(NO_COUNTRY_EVERY), country).alias("country"),
             places["lat"].cast("decimal(9,4)").alias("lat"),
             places["lon"].cast("decimal(9,4)").alias("lon"),
         ).alias("location"),

@@ -1,119 +1,132 @@
-"""Geographic hops on a stream: the last transaction of each active account is kept as state."""
+"""Geographic hops on a stream, by the batch operator on rows that the watermark has closed.
+
+A row waits until the watermark has passed it: then all rows before it are there, and its hop is
+decided once.  Each micro-batch reads the state that the one before left, a small table of waiting
+rows and of the last closed row of each account that can still hop, and writes its hops and the next
+state under its own number.  A batch that is repeated reads the same state and overwrites the same
+folders.
+"""
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
+from txnlake import files
+from txnlake.operators import timeline
 from txnlake.operators.detect import HOP_CARRIED, MAX_GAP_SECONDS, hop_report, is_hop
 
-# A call of the state function costs some 10 ms however few rows it gets, so accounts share state
-# entries.  Take a few entries per state partition, so that all partitions have work; like the
-# number of partitions, the number of entries stays as it is for the life of a checkpoint.
-BUCKETS = 64
-
-_TYPES = {
-    "account_id": "STRING",
-    "transaction_id": "STRING",
-    "at": "BIGINT",
-    "country": "STRING",
-    "latitude": "DOUBLE",
-    "longitude": "DOUBLE",
-}
-_STATE = ", ".join(f"{name} ARRAY<{kind}>" for name, kind in _TYPES.items())
-_PAIRS = ", ".join(
-    [f"{name} {kind}" for name, kind in _TYPES.items()]
-    + [f"p_{name} {kind}" for name, kind in _TYPES.items() if name != "account_id"]
+VISIT = ["account_id", *HOP_CARRIED]
+VISIT_SCHEMA = (
+    "account_id STRING, transaction_id STRING, event_timestamp TIMESTAMP, country STRING, "
+    "latitude DOUBLE, longitude DOUBLE"
 )
+HOP_SCHEMA = (
+    "account_id STRING, transaction_id STRING, event_timestamp TIMESTAMP, country STRING, "
+    "previous_transaction_id STRING, previous_timestamp TIMESTAMP, previous_country STRING, "
+    "gap_seconds DOUBLE, distance_km DOUBLE, speed_kmh DOUBLE"
+)
+# `closed` rows are behind the watermark; `mark` is the watermark, on every row.
+STATE_SCHEMA = f"{VISIT_SCHEMA}, closed BOOLEAN, mark TIMESTAMP"
+WATERMARK_SECONDS = 600
+
+
+@dataclass(frozen=True)
+class HopStream:
+    """Folders and limits of one stream of hops."""
+
+    root: str
+    max_gap_seconds: int = MAX_GAP_SECONDS
+    watermark_seconds: int = WATERMARK_SECONDS
+
+    def _state(self, number: int) -> str:
+        return f"{self.root}/state/version={number}"
+
+    def start(self, silver: DataFrame) -> StreamingQuery:
+        """Take in the rows of a silver stream that are there."""
+        rows = silver.select(*VISIT)
+        return (
+            rows.writeStream.foreachBatch(self.take)
+            .option("checkpointLocation", f"{self.root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    def take(self, batch: DataFrame, number: int) -> None:
+        """One micro-batch: hops of the rows it closes, and the state for the next one."""
+        spark = batch.sparkSession
+        before = self._read_state(spark, number - 1)
+        mark = before.agg(F.max("mark")).first()[0]
+        fresh = batch.filter("account_id IS NOT NULL AND event_timestamp IS NOT NULL")
+        if mark is not None:
+            fresh = fresh.filter(F.col("event_timestamp") >= F.lit(mark))
+        delay = F.make_dt_interval(secs=F.lit(self.watermark_seconds))
+        latest = fresh.agg((F.max("event_timestamp") - delay).alias("m")).first().m
+        mark = max((m for m in (mark, latest) if m is not None), default=None)
+
+        rows = before.drop("mark").unionByName(
+            fresh.select(*VISIT, F.lit(False).alias("closed"))
+        )
+        if mark is None:
+            waiting, ready = rows, rows.limit(0)
+        else:
+            is_ready = F.col("event_timestamp") < F.lit(mark)
+            waiting, ready = rows.filter(~is_ready), rows.filter(is_ready)
+        hops = self._hops(ready)
+        hops.write.mode("overwrite").parquet(f"{self.root}/hops/batch={number}")
+        state = waiting.unionByName(self._last(ready, mark)).withColumn(
+            "mark", F.lit(mark).cast("timestamp")
+        )
+        if mark is not None and state.isEmpty():
+            # The watermark outlives the rows.
+            empty = spark.createDataFrame([(None,) * 7 + (mark,)], STATE_SCHEMA)
+            state = empty.withColumn("closed", F.lit(True))
+        state.write.mode("overwrite").parquet(self._state(number))
+        files.delete(spark, self._state(number - 2))
+
+    def result(self, spark: SparkSession) -> DataFrame:
+        """The hops decided so far."""
+        folders = files.children(spark, f"{self.root}/hops")
+        if not folders:
+            return spark.createDataFrame([], HOP_SCHEMA)
+        return spark.read.schema(HOP_SCHEMA).parquet(*folders)
+
+    def with_waiting(self, spark: SparkSession) -> DataFrame:
+        """The hops decided so far, and those of waiting rows as if no other row could come."""
+        versions = files.children(spark, f"{self.root}/state")
+        numbers = [int(path.rsplit("=", 1)[1]) for path in versions]
+        if not numbers:
+            return self.result(spark)
+        state = self._read_state(spark, max(numbers)).drop("mark")
+        return self.result(spark).unionByName(self._hops(state))
+
+    def _read_state(self, spark: SparkSession, number: int) -> DataFrame:
+        if number < 0 or not files.exists(spark, self._state(number)):
+            return spark.createDataFrame([], STATE_SCHEMA)
+        return spark.read.schema(STATE_SCHEMA).parquet(self._state(number))
 
+    def _hops(self, rows: DataFrame) -> DataFrame:
+        """Hops of rows that are not closed yet; closed ones are there to be looked back at."""
+        ordered = timeline.with_previous(
+            rows,
+            "account_id",
+            "event_timestamp",
+            "transaction_id",
+            HOP_CARRIED,
+            self.max_gap_seconds,
+        )
+        return hop_report(ordered.filter(~F.col("closed")).filter(is_hop(self.max_gap_seconds)))
 
-def _pair_with_previous(max_gap_micros: int):
-    """State function: pairs each row with its account's row before, near in time but elsewhere.
-
-    The state of a bucket holds the last row of each account that can still hop.  Rows of one
-    micro-batch are put in order here.  A row that is older than its account's last row when it
-    arrives has lost its place: it is paired with nothing and does not become the last row.  A
-    call gets at most as many rows as the source's limit per trigger.
-    """
-    names = list(_TYPES)
-    columns = [*names, *[f"p_{name}" for name in names[1:]]]
-
-    def place(row):
-        return row[0], row[2], row[1] or ""
-
-    def update(key, batches, state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = {row[0]: row for row in zip(*state.get, strict=True)} if state.exists else {}
-        arrived = [
-            tuple(None if value != value else value for value in row)
-            for batch in batches
-            for row in zip(*[batch[name].tolist() for name in names], strict=True)
-        ]
-        pairs = []
-        for row in sorted(arrived, key=place):
-            before = last.get(row[0])
-            if before is not None:
-                if place(row) < place(before):
-                    continue
-                if row[2] - before[2] <= max_gap_micros and row[3] != before[3]:
-                    pairs.append(row + before[1:])
-            last[row[0]] = row
-
-        # An account that stays silent for longer than the gap cannot hop any more.
-        watermark = state.getCurrentWatermarkMs()
-        expiry = {
-            account: (row[2] + max_gap_micros) // 1000 + 1 for account, row in last.items()
-        }
-        alive = [row for account, row in last.items() if expiry[account] > watermark]
-        if alive:
-            state.update(tuple(list(values) for values in zip(*alive, strict=True)))
-            state.setTimeoutTimestamp(max(expiry.values()))
-        elif state.exists:
-            state.remove()
-        if pairs:
-            yield pd.DataFrame(pairs, columns=columns)
-
-    return update
-
-
-def geo_hop(
-    silver: DataFrame,
-    max_gap_seconds: int = MAX_GAP_SECONDS,
-    watermark: str = "10 minutes",
-    buckets: int = BUCKETS,
-) -> DataFrame:
-    """Same rows as the batch form where rows arrive in time order from batch to batch."""
-    visits = (
-        silver.select("account_id", *HOP_CARRIED)
-        .filter("account_id IS NOT NULL AND event_timestamp IS NOT NULL")
-        .withWatermark("event_timestamp", watermark)
-        .withColumn("at", F.unix_micros("event_timestamp"))
-        .withColumn("bucket", F.pmod(F.xxhash64("account_id"), F.lit(buckets)))
-    )
-    pairs = visits.groupBy("bucket").applyInPandasWithState(
-        _pair_with_previous(max_gap_seconds * 1_000_000),
-        _PAIRS,
-        _STATE,
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
-    )
-    hops = pairs.select(
-        "account_id",
-        "transaction_id",
-        F.timestamp_micros("at").alias("event_timestamp"),
-        "country",
-        "latitude",
-        "longitude",
-        F.struct(
-            F.col("p_transaction_id").alias("transaction_id"),
-            F.timestamp_micros("p_at").alias("event_timestamp"),
-            F.col("p_country").alias("country"),
-            F.col("p_latitude").alias("latitude"),
-            F.col("p_longitude").alias("longitude"),
-        ).alias("previous"),
-    )
-    return hop_report(hops.filter(is_hop(max_gap_seconds)))
+    def _last(self, ready: DataFrame, mark) -> DataFrame:
+        """Each account's last closed row, unless it lies too far back for a hop."""
+        values = F.struct(*VISIT)
+        last = F.max_by(values, F.struct("event_timestamp", "transaction_id")).alias("v")
+        kept = ready.filter("account_id IS NOT NULL").groupBy("account_id").agg(last)
+        kept = kept.select("v.*", F.lit(True).alias("closed"))
+        if mark is None:
+            return kept
+        reach = F.make_dt_interval(secs=F.lit(self.max_gap_seconds))
+        return kept.filter(F.col("event_timestamp") >= F.lit(mark) - reach)

@@ -73,22 +73,3 @@ def start_alerts(spark: SparkSession, cfg: LakeConfig) -> StreamingQuery:
 def start_alert_sink(spark: SparkSession, cfg: LakeConfig) -> StreamingQuery:
     messages = gold.alert_messages(stream_table(spark, cfg, config.SILVER))
     return _start(cfg.sink().writer(messages), cfg, config.ALERT_SINK)
-
-
-def observed_violations(queries: list[StreamingQuery], layer: str) -> dict[str, int]:
-    """Metric `dq_<layer>` summed over the micro-batches of finished queries.
-
-    Spark keeps a limited number of progress reports (`numRecentProgressUpdates`); a gap in the
-    batch numbers raises instead of giving a sum that lacks batches.
-    """
-    sums: dict[str, int] = {}
-    for query in queries:
-        reports = [p for p in query.recentProgress if p.observedMetrics]
-        seen = {p.batchId for p in reports}
-        if seen and len(seen) != max(seen) - min(seen) + 1:
-            raise RuntimeError("progress reports are missing; raise numRecentProgressUpdates")
-        latest = {p.batchId: p.observedMetrics[f"dq_{layer}"].asDict() for p in reports}
-        for counters in latest.values():
-            for name, count in counters.items():
-                sums[name] = sums.get(name, 0) + count
-    return sums
