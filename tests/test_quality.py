@@ -74,9 +74,9 @@ def test_checks_pass_and_fail(spark):
     checked = {row.check_name: row for row in validate.checks(bronze, rows).collect()}
     assert all(row.passed for row in checked.values())
     assert checked["fraud_rate"].value == 43.75
-    validate.enforce(validate.checks(bronze, rows))
+    validate.enforce(validate.checks(bronze, rows).collect())
     with pytest.raises(validate.ValidationError, match="fraud_rate: 43.75 against 40.0"):
-        validate.enforce(validate.checks(bronze, rows, max_fraud_pct=40))
+        validate.enforce(validate.checks(bronze, rows, max_fraud_pct=40).collect())
 
 
 def test_checks_on_no_rows(spark):
@@ -88,7 +88,7 @@ def test_checks_on_no_rows(spark):
     stats = validate.fraud_stats(rows).first()
     assert (stats.total, stats.total_vol_usd, stats.fraud_pct) == (0, None, None)
     with pytest.raises(validate.ValidationError):
-        validate.enforce(validate.checks(bronze, rows))
+        validate.enforce(validate.checks(bronze, rows).collect())
 
 
 def test_bronze_summary(spark):

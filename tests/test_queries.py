@@ -1,16 +1,19 @@
-"""Every registered query against its SQL counterpart."""
+"""Every query of the library against its SQL counterpart; add-ons have their own tests."""
 
 import pytest
 from compare import differences
 
 import __spark_entry__ as entry_points
+from txnlake.plans import oracle, queries
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = queries.queries()
+ORACLE = oracle.oracle_sql()
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
