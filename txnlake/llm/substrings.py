@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import RID, numbered, nulls_last
+from txnlake.llm.common import RID, numbered, nulls_last, stored
 
 RUN_WORDS = 25
 LONE_WORDS = 50
@@ -179,6 +179,9 @@ def dedup_substrings(
         .filter("n > 1")
         .select("h1", "h2", F.col(f"first.{RID}").alias("first_rid"))
     )
+    # Written, so that the join below is one of two plain shuffles: Spark then splits the
+    # partition of a run that very many documents share.
+    first = stored(first, "runs-first")
     elsewhere = F.coalesce(F.col(RID) != F.col("first_rid"), F.lit(False))
     gone = (
         spans.drop("doc_id")
