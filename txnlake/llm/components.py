@@ -9,7 +9,8 @@ from txnlake.llm.common import stored
 
 
 def _min_neighbour(links: DataFrame) -> DataFrame:
-    return links.groupBy("u").agg(F.min("v").alias("m"))
+    """Rows (u, m).  Written, so that Spark can split a hub's partition in the joins with it."""
+    return stored(links.groupBy("u").agg(F.min("v").alias("m")), "least")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
