@@ -138,6 +138,8 @@ def dedup_lines(
         RID, "line_no", F.posexplode("keys").alias("kind", "key")
     )
     shared = halves.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    # Written, as the groups below: a join of two plain shuffles can be split where a key is hot.
+    shared = stored(shared, "lines-shared")
     takers = (
         halves.join(shared, "key")
         .groupBy(RID, "line_no")
@@ -165,8 +167,9 @@ def dedup_lines(
     )
     variants = _variants(chosen)
     groups = variants.groupBy("key").agg(F.min("no").alias("least"), F.max("no").alias("most"))
+    groups = stored(groups.filter("least < most").select("key", "least"), "lines-groups")
     pairs = (
-        variants.join(groups.filter("least < most").select("key", "least"), "key")
+        variants.join(groups, "key")
         .filter("least < no")
         .select("no", "least")
         .distinct()
