@@ -33,7 +33,7 @@ BATCH = 32
 RATE = 0.5
 MIN_SCORE = 0.5
 UNKNOWN = "und"
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 SEED = 7
 
 
@@ -209,18 +209,18 @@ def fit(
     return train(sample, sorted({r.lang for r in sample}))
 
 
-def _judged(model: Model, batch: pa.RecordBatch):
-    """For row ranges of a batch (text, readable): number of the language and score."""
-    for a, b, data, offsets in _chunks(batch.column("text")):
+def _judged(model: Model, texts: pa.Array, readable: pa.Array):
+    """For row ranges: number of the language and score."""
+    for a, b, data, offsets in _chunks(texts):
         bucket, owner = subwords(data, offsets)
         total = np.empty((b - a, len(model.languages)))
         for i in range(len(model.languages)):
             total[:, i] = np.bincount(owner, model.scores[bucket, i], b - a)
         n = np.bincount(owner, minlength=b - a)
         chance = _softmax(total / np.maximum(n, 1)[:, None] + model.bias)
-        readable = np.asarray(batch.column("readable").slice(a, b - a))
-        best = np.where(readable, chance.argmax(axis=1), len(model.languages))
-        yield a, b, best, np.where(readable, chance.max(axis=1), 0.0)
+        own = np.asarray(readable.slice(a, b - a))
+        best = np.where(own, chance.argmax(axis=1), len(model.languages))
+        yield a, b, best, np.where(own, chance.max(axis=1), 0.0)
 
 
 def _readable(text: str) -> Column:
@@ -253,7 +253,7 @@ def predict(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*shared.value.languages, UNKNOWN], object)
         for batch in batches:
-            for a, b, best, score in _judged(shared.value, batch):
+            for a, b, best, score in _judged(shared.value, batch.column("text"), batch.column("readable")):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(RID).slice(a, b - a),
@@ -279,11 +279,12 @@ def known_rows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang
     if model is None:
         return docs.limit(0)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), _readable(text))
+    rows = docs.select(F.struct("*").alias("row"), _readable(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, best, score in _judged(shared.value, batch):
+            texts = pc.struct_field(batch.column("row"), [text])
+            for a, b, best, score in _judged(shared.value, texts, batch.column("readable")):
                 told = (best < len(shared.value.languages)) & (score >= MIN_SCORE)
                 own = batch.column("row").slice(a, b - a).filter(pa.array(told))
                 yield pa.RecordBatch.from_arrays([own], names=["row"])
