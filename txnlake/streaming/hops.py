@@ -9,6 +9,8 @@ folders.
 
 from __future__ import annotations
 
+import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +31,9 @@ HOP_SCHEMA = (
     "previous_transaction_id STRING, previous_timestamp TIMESTAMP, previous_country STRING, "
     "gap_seconds DOUBLE, distance_km DOUBLE, speed_kmh DOUBLE"
 )
-# `closed` rows are behind the watermark; `mark` is the watermark, on every row.
-STATE_SCHEMA = f"{VISIT_SCHEMA}, closed BOOLEAN, mark TIMESTAMP"
+# `closed` rows are behind the watermark, which lies in a small file beside the rows.
+STATE_SCHEMA = f"{VISIT_SCHEMA}, closed BOOLEAN"
+MARK = "_watermark"
 WATERMARK_SECONDS = 600
 
 
@@ -58,33 +61,39 @@ class HopStream:
     def take(self, batch: DataFrame, number: int) -> None:
         """One micro-batch: hops of the rows it closes, and the state for the next one."""
         spark = batch.sparkSession
-        before = self._read_state(spark, number - 1)
-        mark = before.agg(F.max("mark")).first()[0]
+        before, mark = self._read_state(spark, number - 1)
         fresh = batch.filter("account_id IS NOT NULL AND event_timestamp IS NOT NULL")
         if mark is not None:
-            fresh = fresh.filter(F.col("event_timestamp") >= F.lit(mark))
-        delay = F.make_dt_interval(secs=F.lit(self.watermark_seconds))
-        latest = fresh.agg((F.max("event_timestamp") - delay).alias("m")).first().m
-        mark = max((m for m in (mark, latest) if m is not None), default=None)
-
-        rows = before.drop("mark").unionByName(
-            fresh.select(*VISIT, F.lit(False).alias("closed"))
-        )
-        if mark is None:
-            waiting, ready = rows, rows.limit(0)
-        else:
-            is_ready = F.col("event_timestamp") < F.lit(mark)
-            waiting, ready = rows.filter(~is_ready), rows.filter(is_ready)
-        hops = self._hops(ready)
-        hops.write.mode("overwrite").parquet(f"{self.root}/hops/batch={number}")
-        state = waiting.unionByName(self._last(ready, mark)).withColumn(
-            "mark", F.lit(mark).cast("timestamp")
-        )
-        if mark is not None and state.isEmpty():
-            # The watermark outlives the rows.
-            empty = spark.createDataFrame([(None,) * 7 + (mark,)], STATE_SCHEMA)
-            state = empty.withColumn("closed", F.lit(True))
-        state.write.mode("overwrite").parquet(self._state(number))
+            fresh = fresh.filter(F.unix_micros("event_timestamp") >= mark)
+        # Three steps read the rows of the batch: without this each would go back to the source.
+        fresh = fresh.select(*VISIT, F.lit(False).alias("closed")).persist()
+        try:
+            latest = fresh.agg(F.max(F.unix_micros("event_timestamp"))).first()[0]
+            if latest is not None:
+                closing = latest - self.watermark_seconds * timeline.SECOND
+                mark = closing if mark is None else max(mark, closing)
+            rows = before.unionByName(fresh)
+            is_ready = F.lit(False)
+            if mark is not None:
+                is_ready = F.unix_micros("event_timestamp") < mark
+            ready = rows.filter(is_ready)
+            hops = self._hops(ready)
+            state = rows.filter(~is_ready).unionByName(self._last(ready, mark or 0))
+            # Neither needs the other, and each is mostly waiting for small stages.
+            with ThreadPoolExecutor(2) as both:
+                writes = [
+                    both.submit(df.write.mode("overwrite").parquet, path)
+                    for df, path in (
+                        (hops, f"{self.root}/hops/batch={number}"),
+                        (state, self._state(number)),
+                    )
+                ]
+                for write in writes:
+                    write.result()
+        finally:
+            fresh.unpersist()
+        # The state is whole once it has its watermark.
+        files.write_text(spark, f"{self._state(number)}/{MARK}", json.dumps(mark))
         files.delete(spark, self._state(number - 2))
 
     def result(self, spark: SparkSession) -> DataFrame:
@@ -100,13 +109,16 @@ class HopStream:
         numbers = [int(path.rsplit("=", 1)[1]) for path in versions]
         if not numbers:
             return self.result(spark)
-        state = self._read_state(spark, max(numbers)).drop("mark")
+        state, _ = self._read_state(spark, max(numbers))
         return self.result(spark).unionByName(self._hops(state))
 
-    def _read_state(self, spark: SparkSession, number: int) -> DataFrame:
-        if number < 0 or not files.exists(spark, self._state(number)):
-            return spark.createDataFrame([], STATE_SCHEMA)
-        return spark.read.schema(STATE_SCHEMA).parquet(self._state(number))
+    def _read_state(self, spark: SparkSession, number: int) -> tuple[DataFrame, int | None]:
+        """The rows that a batch has left and its watermark in microseconds."""
+        mark = files.read_text(spark, f"{self._state(number)}/{MARK}") if number >= 0 else None
+        if mark is None:
+            return spark.createDataFrame([], STATE_SCHEMA), None
+        rows = spark.read.schema(STATE_SCHEMA).parquet(self._state(number))
+        return rows.select(*VISIT, "closed"), json.loads(mark)
 
     def _hops(self, rows: DataFrame) -> DataFrame:
         """Hops of rows that are not closed yet; closed ones are there to be looked back at."""
@@ -120,13 +132,10 @@ class HopStream:
         )
         return hop_report(ordered.filter(~F.col("closed")).filter(is_hop(self.max_gap_seconds)))
 
-    def _last(self, ready: DataFrame, mark) -> DataFrame:
+    def _last(self, ready: DataFrame, mark: int) -> DataFrame:
         """Each account's last closed row, unless it lies too far back for a hop."""
         values = F.struct(*VISIT)
         last = F.max_by(values, F.struct("event_timestamp", "transaction_id")).alias("v")
-        kept = ready.filter("account_id IS NOT NULL").groupBy("account_id").agg(last)
-        kept = kept.select("v.*", F.lit(True).alias("closed"))
-        if mark is None:
-            return kept
-        reach = F.make_dt_interval(secs=F.lit(self.max_gap_seconds))
-        return kept.filter(F.col("event_timestamp") >= F.lit(mark) - reach)
+        kept = ready.groupBy("account_id").agg(last).select("v.*", F.lit(True).alias("closed"))
+        reach = mark - self.max_gap_seconds * timeline.SECOND
+        return kept.filter(F.unix_micros("event_timestamp") >= reach)
