@@ -9,6 +9,16 @@ from txnlake import session
 
 RID = "_rid"
 
+# Rows of one Arrow batch between Spark and Python.  Texts are long: Spark's default of 10,000 rows
+# would hold tens of MB at a time in every worker, and as much beside the heap of its executor.
+BATCH_ROWS = "1000"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """`df`; its session sends rows to Python in small batches from now on."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return df
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -21,7 +31,7 @@ def numbered(df: DataFrame, *columns: Column | str) -> DataFrame:
     place of the row in the scan: `df` has to be read from files, not be the output of a shuffle,
     so that a task that is run again, or a second scan, gives the same numbers.
     """
-    return df.select(*columns, F.monotonically_increasing_id().alias(RID))
+    return small_batches(df).select(*columns, F.monotonically_increasing_id().alias(RID))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

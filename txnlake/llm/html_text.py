@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import RID, numbered
+from txnlake.llm.common import RID, numbered, small_batches
 
 SAMPLE_PAGES = 400  # pages that the classifier is fitted to, at most
 SMOOTHNESS = 1.0
@@ -285,7 +285,7 @@ def main_text(html: str, weights: np.ndarray) -> str:
 def fit(pages: DataFrame, html: str = "html", page_id: str = "page_id") -> np.ndarray:
     """Weights of the cues.  The sample is the pages with the smallest hashes of their id."""
     prior = np.array(list(PRIOR.values()))
-    rows = pages.select(
+    rows = small_batches(pages).select(
         F.col(html).alias("html"), F.xxhash64(F.col(page_id), F.length(html)).alias("place")
     )
     least = rows.filter("html is not null").select("place").orderBy("place").limit(SAMPLE_PAGES)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnlake.llm.common import RID, byte_slices, numbered
+from txnlake.llm.common import RID, byte_slices, numbered, small_batches
 from txnlake.llm.words import buffers
 
 BUCKETS = 1 << 14
@@ -186,7 +186,7 @@ def fit(
     Of each language about PER_LANGUAGE rows are taken, by the hash of their id, whatever the size
     of the table.
     """
-    rows = docs.select(
+    rows = small_batches(docs).select(
         F.col(text).alias("text"),
         F.col(lang).alias("lang"),
         F.xxhash64(F.lit(SEED), F.col(doc_id)).alias("place"),
