@@ -53,6 +53,44 @@ def test_odd_pages():
     assert H.main_text(deep, PRIOR) == "Deep down there is a paragraph of some words."
 
 
+LONG = "This is a paragraph of the article that has more than ten words in it."
+
+
+def test_end_tags_may_be_missing():
+    for page in (
+        f"<html><head><title>T</title><body><article><p>{LONG}</article>",
+        f"<html><head><meta charset=utf-8><title>T</title><script>x</script><p>{LONG}",
+        f"<body><ul><li class=ad>Buy now<li class=nav>Home</ul><article><p>{LONG}",
+        f"<article><script>a()</script><p>{LONG}<script>b()",
+    ):
+        assert H.main_text(page, PRIOR) == LONG
+    items = f"<article><ul><li class=ad>Buy now<li>{LONG}<li class=share>Tell all<li>{LONG}</ul>"
+    assert H.main_text(items, PRIOR) == f"{LONG}\n{LONG}"
+    cells = "<article><table><tr><td>One<td>two<tr><th>Three</table><dl><dt>Four<dd>five</dl>"
+    assert H.main_text(f"{cells}<p>{LONG}", PRIOR).split("\n") == [
+        "One", "two", "Three", "Four", "five", LONG
+    ]
+
+
+def test_what_is_unseen_does_not_cut_a_block():
+    page = "<article><p>These words <script>a()</script>and these <style>b{}</style>are one block.</p>"
+    assert H.main_text(page, PRIOR) == "These words and these are one block."
+
+
+def test_names_of_articles_and_pages():
+    title = "A headline of some words"
+    for page in (
+        f"<article><header class='entry-header'><h1>{title}</h1></header><p>{LONG}</article>",
+        f"<div class='article-header'><h1>{title}</h1></div><div class=article-body><p>{LONG}</div>",
+        f"<div class='page has-sidebar'><article><h1>{title}</h1><p>{LONG}</article></div>",
+        f"<div id='menu-wrap'><main><article><h1>{title}</h1><p>{LONG}</article></main></div>",
+    ):
+        assert H.main_text(page, PRIOR) == f"{title}\n{LONG}"
+    for name in ("site-header", "article-footer", "post-comments", "content sidebar", "main-menu"):
+        page = f"<div class='{name}'><p>{LONG}</p></div><article><p>{title}</p></article>"
+        assert H.main_text(page, PRIOR) == title
+
+
 def test_the_cut_is_minimal():
     rng = random.Random(3)
     for _ in range(150):

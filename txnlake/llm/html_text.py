@@ -36,13 +36,32 @@ INLINE = set(
     "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
+# What stands within a block without cutting it.
+PHRASE = INLINE | UNSEEN - {"head", "title"}
 CLOSED_BY_BLOCK = {"p"}
+# Elements whose end tag may be missing: what ends an open one, unless an element of the last set
+# lies between.
+CELLS = {"td", "th"}
+IMPLIED_ENDS = {
+    "li": ({"li"}, {"ul", "ol", "menu"}),
+    "dt": ({"dt", "dd"}, {"dl"}),
+    "dd": ({"dt", "dd"}, {"dl"}),
+    "td": (CELLS, {"tr", "table"}),
+    "th": (CELLS, {"tr", "table"}),
+    "tr": ({"tr"}, {"table"}),
+    "option": ({"option"}, {"select"}),
+}
+# A head without an end tag ends where one of these does not begin.
+IN_HEAD = set("base basefont bgsound link meta noscript script style template title".split())
 BOILERPLATE_WORDS = (
-    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie "
-    "cookies consent disqus footer foot header masthead menu nav navbar navigation newsletter "
-    "notice pagination popup promo related respond share sharing sidebar side social sponsor "
-    "sponsored subscribe toolbar widget modal login signup reply replies topbar copyright"
+    "ad ads advert adverts advertisement advertising banner banners breadcrumb breadcrumbs comment "
+    "commentlist comments complementary consent contentinfo cookie cookies copyright discussion "
+    "disqus foot footer header login masthead menu menus modal nav navbar navigation newsletter "
+    "notice notices pagination popup promo promotion related replies reply respond responses share "
+    "sharing side sidebar signup social sponsor sponsored subscribe toolbar topbar widget widgets"
 ).split()
+HEADER_WORDS = {"header"}  # boilerplate, but for the header of an article
+STATE_WORDS = {"has", "no", "with", "without"}  # "has-sidebar" says what is elsewhere on the page
 CONTENT_WORDS = "article content main post story text entry body prose".split()
 
 # Cues and their prior weights.
@@ -85,15 +104,21 @@ BY_ELEMENT = {
 }
 
 
-def _name_bits(attributes: list[tuple[str, str | None]]) -> int:
+def _name_bits(attributes: list[tuple[str, str | None]], in_article: bool) -> int:
     bits = 0
     for key, value in attributes:
         if key in ("class", "id", "role") and value:
-            words = re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
-            if not _BOILERPLATE.isdisjoint(words):
-                bits |= BIT["boilerplate name"]
-            elif not _CONTENT.isdisjoint(words):
-                bits |= BIT["content name"]
+            for name in value.split():
+                spaced = re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()
+                words = set(re.split(r"[^a-z0-9]+", spaced))
+                if words & STATE_WORDS:
+                    continue
+                if in_article or words & _CONTENT:
+                    words -= HEADER_WORDS
+                if words & _BOILERPLATE:
+                    bits |= BIT["boilerplate name"]
+                elif words & _CONTENT:
+                    bits |= BIT["content name"]
         elif key in ("hidden", "aria-hidden") and value != "false":
             bits |= BIT["boilerplate name"]
     return bits
@@ -132,21 +157,34 @@ class _Blocks(HTMLParser):
                 bits |= BIT["mostly links"]
             if 10 * self.linked > 9 * len(text):
                 bits |= BIT["all links"]
-            blocks = tuple(n for t, _, n in self.stack if t not in INLINE)
+            blocks = tuple(n for t, _, n in self.stack if t not in PHRASE)
             self.blocks.append((text, bits, blocks))
         self.parts, self.linked = [], 0
 
-    def handle_starttag(self, tag, attrs):
-        if tag not in INLINE:
-            self.flush()
-            # A block ends an open paragraph.
+    def end_implied(self, tag: str) -> None:
+        """Leave the elements that the begin of `tag` ends."""
+        if self.stack and self.stack[-1][0] == "head" and tag not in IN_HEAD:
+            self.leave(len(self.stack) - 1)
+        if tag not in PHRASE:  # a block ends an open paragraph
             for i in range(len(self.stack) - 1, -1, -1):
                 if self.stack[i][0] in CLOSED_BY_BLOCK:
                     self.leave(i)
                     break
-                if self.stack[i][0] not in INLINE:
+                if self.stack[i][0] not in PHRASE:
                     break
-        elif tag == "br":
+        ended, within = IMPLIED_ENDS.get(tag, ((), ()))
+        for i in range(len(self.stack) - 1, -1, -1):
+            if not ended or self.stack[i][0] in within:
+                break
+            if self.stack[i][0] in ended:
+                self.leave(i)
+                break
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in PHRASE:
+            self.flush()
+        self.end_implied(tag)
+        if tag == "br":
             self.parts.append(" ")
         if tag in VOID:
             return
@@ -160,6 +198,8 @@ class _Blocks(HTMLParser):
             bits |= BIT["heading"]
         elif tag in ("li", "dt", "dd", "td", "th"):
             bits |= BIT["list item"]
+        if tag == "main":
+            bits &= ~BIT["boilerplate name"]  # the name is of something around the whole page
         if tag in BY_ELEMENT:
             bits |= BIT[BY_ELEMENT[tag]]
             if tag == "header" and bits & BIT["in article"]:
@@ -167,7 +207,7 @@ class _Blocks(HTMLParser):
         if tag in FORM:
             bits |= BIT["in form"]
         if attrs and tag not in ("html", "body", "article", "main"):
-            bits |= _name_bits(attrs)
+            bits |= _name_bits(attrs, bool(bits & BIT["in article"]))
         self.unseen += tag in UNSEEN
         self.links += tag == "a"
         self.stack.append((tag, bits, self.number))
@@ -179,7 +219,7 @@ class _Blocks(HTMLParser):
         del self.stack[depth:]
 
     def handle_endtag(self, tag):
-        if tag not in INLINE:
+        if tag not in PHRASE:
             self.flush()
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
