@@ -74,6 +74,25 @@ def test_links_and_components_in_spark(spark):
         assert found.get(signed[i], signed[i]) == signed[order[roots[place]]]
 
 
+@pytest.mark.parametrize("most", [2_000, 100_000])
+def test_large_groups_are_cut_by_longer_prefixes(spark, most):
+    rng = random.Random(most)
+    centre = rng.getrandbits(64)
+    fps = {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(5))) for _ in range(150)}
+    fps = list(dict.fromkeys([*fps, *near(rng, 80, 3)]))
+    signed = [int(np.uint64(f).view(np.int64)) for f in fps]
+    nodes = spark.createDataFrame([(f,) for f in signed], "fp long")
+    found = [(r.u, r.v) for r in links(nodes, 4, most).collect()]
+    root = {f: f for f in signed}
+    for a, b in found:
+        assert ((a ^ b) & (1 << 64) - 1).bit_count() <= 4
+        old, new = max(root[a], root[b]), min(root[a], root[b])
+        root = {f: new if r == old else r for f, r in root.items()}
+    order = sorted(range(len(fps)), key=lambda i: signed[i])
+    roots = brute_roots([fps[i] for i in order], 4)
+    assert [root[signed[i]] for i in order] == [signed[order[r]] for r in roots]
+
+
 def test_long_paths_and_stars(spark):
     path = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1200)]
     edges = spark.createDataFrame([(b, a) for a, b in path] + [(5, 5)], "u long, v long")

@@ -5,7 +5,8 @@ fingerprint therefore emits all its variants within half the radius, and equal v
 shuffle carries them factored: variants of the first bits are rows of the shuffle, one for each
 prefix within half the radius, and the task that gets a prefix makes the variants of the other
 bits with what is left of the radius.  That moves 56 rows for a fingerprint instead of 2,081 at 64 bits
-and radius 4, and a task holds one prefix group at a time.
+and radius 4, and a task holds one prefix group at a time.  A group that would make too many variants,
+as near copies without end do, is shuffled once more by a longer prefix.
 
 Fingerprints that share a variant are all within the radius of each other, so a star of links stands
 for the group; each task reduces its links to a forest.  Only distinct fingerprints take part; equal
@@ -33,6 +34,9 @@ SEED = 42
 BITS = 64
 LEAST_PREFIX = 10
 PREFIX_ROWS = 1024  # distinct fingerprints for each prefix value, on average
+MORE_BITS = 6  # of prefix, for a group that is too large
+GROUP_VARIANTS = 50_000_000  # made by the task of one group; on average it is some millions
+ROW_VARIANTS = 64  # a row counts as so many at least, which bounds the rows of a group
 BLOCK_VARIANTS = 2_000_000
 
 
@@ -145,27 +149,32 @@ def links_of_group(fps: np.ndarray, left: np.ndarray, bits: int, radius: int):
     return kept
 
 
-def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Pairs (u, v) of fingerprints within the radius, for distinct rows (fp).
-
-    Not every pair, but enough to connect all that such pairs connect.
-    """
-    if radius % 2:
-        raise ValueError("the radius has to be even: its halves meet in the middle")
-    reach = radius // 2
-    n = nodes.count()
-    prefix = max(LEAST_PREFIX, math.ceil(math.log2(max(n, 1) / PREFIX_ROWS))) if n else LEAST_PREFIX
-    rest = BITS - prefix
+def _lengthened(rows: DataFrame, used: int, step: int, reach: int) -> DataFrame:
+    """Rows (prefix, fp, left): prefixes of `used` bits get `step` more, with all their variants."""
     masks = F.array(
-        *[F.struct(F.lit(m).cast("long").alias("m"), F.lit(reach - k).alias("left"))
-          for m, k in ball(prefix, reach)]
+        *[F.struct(F.lit(m).cast("long").alias("m"), F.lit(k).alias("k"))
+          for m, k in ball(step, reach)]
     )
-    spread = nodes.select("fp", F.explode(masks).alias("x")).select(
-        F.shiftrightunsigned("fp", rest).bitwiseXOR(F.col("x.m")).alias("prefix"),
+    fitting = F.filter(masks, lambda x: x["k"] <= F.col("left"))
+    own = F.shiftrightunsigned("fp", BITS - used - step).bitwiseAND(F.lit((1 << step) - 1))
+    return rows.select("prefix", "fp", "left", F.explode(fitting).alias("x")).select(
+        F.shiftleft("prefix", step).bitwiseOR(own.bitwiseXOR(F.col("x.m"))).alias("prefix"),
         "fp",
-        F.col("x.left").alias("left"),
+        (F.col("left") - F.col("x.k")).alias("left"),
     )
 
+
+def _large_prefixes(rows: DataFrame, rest: int, reach: int, most: int) -> DataFrame:
+    """The prefixes whose groups would make more than `most` variants of the other bits."""
+    sizes = [sum(math.comb(rest, k) for k in range(r + 1)) for r in range(reach + 1)]
+    costs = F.array(*[F.lit(max(size, ROW_VARIANTS)).cast("long") for size in sizes])
+    cost = F.sum(F.element_at(costs, F.col("left") + 1)).alias("cost")
+    return rows.groupBy("prefix").agg(cost).filter(F.col("cost") > most).select("prefix")
+
+
+def _linked(rows: DataFrame, rest: int, radius: int) -> DataFrame:
+    """Links (u, v) within the groups of equal prefix."""
+
     def run(group: pa.Table) -> pa.Table:
         fps = group.column("fp").to_numpy().view(np.uint64)
         left = group.column("left").to_numpy().astype(np.int64)
@@ -173,7 +182,36 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
         ends = fps.view(np.int64)[pairs]
         return pa.table({"u": ends.min(axis=1), "v": ends.max(axis=1)})
 
-    return spread.groupBy("prefix").applyInArrow(run, "u long, v long").distinct()
+    return rows.groupBy("prefix").applyInArrow(run, "u long, v long")
+
+
+def links(
+    nodes: DataFrame, radius: int = RADIUS, group_variants: int = GROUP_VARIANTS
+) -> DataFrame:
+    """Pairs (u, v) of fingerprints within the radius, for distinct rows (fp).
+
+    Not every pair, but enough to connect all that such pairs connect.  `group_variants` bounds the
+    work of one group; the pairs connect the same whatever it is.
+    """
+    if radius % 2:
+        raise ValueError("the radius has to be even: its halves meet in the middle")
+    reach = radius // 2
+    n = nodes.count()
+    step = max(LEAST_PREFIX, math.ceil(math.log2(max(n, 1) / PREFIX_ROWS))) if n else LEAST_PREFIX
+    rows = nodes.select(F.lit(0).cast("long").alias("prefix"), "fp", F.lit(reach).alias("left"))
+    used, found = 0, None
+    while True:
+        rows, used = _lengthened(rows, used, step, reach), used + step
+        rest = BITS - used
+        large = stored(_large_prefixes(rows, rest, reach, group_variants), "large-prefixes")
+        # A group of equal whole variants has no more rows than the ball has variants.
+        last = rest == 0 or large.isEmpty()
+        own = _linked(rows if last else rows.join(large, "prefix", "left_anti"), rest, radius)
+        found = own if found is None else found.unionByName(own)
+        if last:
+            return found.distinct()
+        rows = stored(rows.join(large, "prefix", "left_semi"), "large-groups")
+        step = min(MORE_BITS, rest)
 
 
 def simhash(
