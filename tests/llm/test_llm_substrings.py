@@ -89,6 +89,37 @@ def test_cases(spark, tmp_path):
     assert found[12].text == "Intro here.   And an end."
 
 
+def test_passages_spliced_into_sentences(spark, tmp_path):
+    rng = random.Random(4)
+
+    def words(n):
+        return sentence(rng, n)[:-1]
+
+    rows = []
+    # Words of the whole sentences between a glued head and a glued tail; over 50 words in all.
+    for k, sizes in enumerate([(7, 8), (30,), (25,), (4, 4, 4), (11, 13)]):
+        middle = " ".join(sentence(rng, n) for n in sizes)
+        head, tail = words(24), words(24)
+        for doc_id in (k, 10 + k):
+            start, end = f"{sentence(rng, 9)} {words(5)}", f"{words(5)}. {sentence(rng, 9)}"
+            rows.append((doc_id, f"{start} {head}. {middle} {tail} {end}"))
+    found = check(spark, tmp_path, rows)
+    assert {i for i in found if found[i].n_removed} == {10, 11, 12, 13, 14}
+    assert [found[10 + k].n_removed for k in range(5)] == [2, 1, 1, 3, 2]
+
+
+def test_every_stretch_of_enough_words_is_covered():
+    rng = random.Random(5)
+    for _ in range(300):
+        plain = [" ".join("x" * rng.choice([1, 3, 6, 11, 24, 25])) for _ in range(rng.randrange(1, 8))]
+        covered = set()
+        for a, b in runs(plain, RUN_WORDS, LONE_WORDS):
+            covered |= set(range(a, b + 1))
+        n = sum(len(s.split()) for s in plain)
+        if n >= (LONE_WORDS if len(plain) == 1 else RUN_WORDS):
+            assert covered == set(range(len(plain)))
+
+
 def test_empty_table(spark, tmp_path):
     assert dedup_substrings(documents(spark, tmp_path, [])).count() == 0
 

@@ -4,8 +4,10 @@ Every run of consecutive sentences that is just long enough is hashed and joined
 run that occurred before, in an earlier document or earlier in its own, loses its sentences.  From
 each sentence two runs are taken, one onwards and one backwards, each up to the first sentence with
 which it has RUN_WORDS words, and of two sentences at least, or one of LONE_WORDS words.  So any
-shared passage of whole sentences with twice RUN_WORDS words, in two sentences or more, or of one
-sentence with LONE_WORDS words, is covered from end to end.
+shared stretch of whole sentences with RUN_WORDS words, in two sentences or more, or of one sentence
+with LONE_WORDS words, is covered from end to end.  Both are far below the 50 words of a passage
+that matters: where its first and last sentences are glued to other text, the whole sentences in
+between have to be enough.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 
 from txnlake.llm.common import RID, numbered, nulls_last, stored
 
-RUN_WORDS = 25
-LONE_WORDS = 50
+RUN_WORDS = 12
+LONE_WORDS = 25
 SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n\s*")
 
 
