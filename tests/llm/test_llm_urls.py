@@ -5,7 +5,15 @@ import pytest
 from helpers import saved
 
 from txnlake.llm.queries import queries
-from txnlake.llm.url_rules import RULES, judge, match, mine, tokens_of
+from txnlake.llm.url_rules import (
+    RULES,
+    document_of,
+    judge,
+    match,
+    mine,
+    tokens_of,
+    with_document,
+)
 
 PAGES = "page_id long, url string, html string, host string, tokens string"
 LABELS = "page_id long, blocked boolean"
@@ -133,3 +141,43 @@ def test_all_pages(spark, sf_dir):
         host, path, rule, verdict = brute_rule(urls[r.page_id])
         assert (r.host, r.path, r.rule) == (host, path, rule)
         assert r.verdict == (verdict or ("block" if r.mined else "allow"))
+
+
+def test_document_of_a_page(spark):
+    urls = {
+        "http://a.b/en/12": 12, "http://a.b/en/12.html?x=3#4": 12, "http://a.b/en/12/?page=5": 12,
+        "http://a.b/7/x": None, "http://a.b/en/x12": None, "http://12": None, "/en/12": None,
+        f"http://a.b/{'9' * 30}": None, "http://a.b/7/8": 8, "": None, None: None,
+    }
+    found = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert {r.url: r.d for r in found.select("url", document_of(found.url).alias("d")).collect()} == urls
+
+
+def test_pages_have_the_language_of_their_document(spark, sf_dir):
+    """The key of the registered query joins each page to the document that it was made from."""
+    folder = sf_dir.replace("0.001", "0.1")
+    pages, docs = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("pages", "documents"))
+    joined = with_document(pages).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(joined) == pages.count()
+    assert all(f"/{r.lang}/" in r.url for r in joined)
+
+
+def test_pages_learn_from_their_own_documents(spark, tmp_path):
+    pages, labels = [], []
+    for i in range(200):
+        bad = i % 5 == 0
+        # Page numbers run against document numbers, and two pages show each document.
+        for page_id in (199 - i, 1000 + i):
+            host = "casino" if bad else f"good{i % 4}"
+            pages.append((page_id, f"http://{host}.shop/en/{i}.html", None, "h", "t"))
+        labels.append((i, 0 if i % 10 == 0 else 1, 1 if i % 10 == 5 else 0))
+    (tmp_path / "sf").mkdir()
+    for name, rows, schema in (
+        ("pages", pages, PAGES), ("labels", labels, "doc_id long, quality int, toxic int"),
+    ):
+        saved(spark, tmp_path, rows, schema).write.parquet(f"{tmp_path}/sf/{name}.parquet")
+    found = queries()["op4_url_rules"](spark, f"{tmp_path}/sf").collect()
+    assert len(found) == 400
+    for r in found:
+        casino = r.host == "casino.shop"
+        assert (r.verdict, r.mined) == (("block", ["host:casino"]) if casino else ("allow", None))

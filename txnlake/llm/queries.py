@@ -54,7 +54,8 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = (table(spark, sf_dir, name) for name in ("pages", "labels"))
-    return url_rules.judge(pages, url_rules.labels_of_documents(labels))
+    labels = url_rules.labels_of_documents(labels)
+    return url_rules.judge(url_rules.with_document(pages), labels, key="doc_id")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

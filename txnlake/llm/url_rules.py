@@ -57,6 +57,12 @@ def fixed_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]
     return name, verdict
 
 
+def document_of(url: Column) -> Column:
+    """The number that ends the path, before a file type or `/`: that of the document; else null."""
+    number = F.regexp_extract(path_of(url), r"/([0-9]+)(?:\.[^/.]*)?/?$", 1)
+    return number.try_cast("long")
+
+
 def tokens_of(url: Column) -> Column:
     """The set of tokens: host labels, path words without plain numbers, query keys, file type."""
     rest = _after_scheme(url)
@@ -158,27 +164,29 @@ def judge(
     min_confidence: float = MIN_CONFIDENCE,
     min_lift: float = MIN_LIFT,
     min_count: int = MIN_COUNT,
+    key: str = "page_id",
 ) -> DataFrame:
     """One row for each page: page_id, host, path, rule, verdict, mined, confidence.
 
-    `labels` has (page_id, blocked).  The fixed rules decide first; other pages are blocked when a
-    mined rule fits, which `mined` then shows with its `confidence`, and allowed when none does.  A
-    null URL or one without `://` has empty host and path and no tokens, and is allowed.  A page
-    id that occurs in several rows gets a row for each; labels of one page are blocked when any of
-    them is; null ids and null labels teach nothing.  Empty tables give an empty result or no
-    rules.  Other columns are not read.
+    `labels` has (page_id, blocked), or another `key` that both tables have.  The fixed rules
+    decide first; other pages are blocked when a mined rule fits, which `mined` then shows with its
+    `confidence`, and allowed when none does.  A null URL or one without `://` has empty host and
+    path and no tokens, and is allowed.  A page id that occurs in several rows gets a row for each;
+    labels of one key are blocked when any of them is; null keys and null labels teach nothing.
+    Empty tables give an empty result or no rules.  Other columns are not read.
     """
     url = F.coalesce(F.col("url"), F.lit(""))
-    rows = numbered(pages, "page_id", "url").select(
-        RID, "page_id", host_of(url).alias("host"), path_of(url).alias("path"),
+    rows = numbered(pages, "page_id", "url", F.col(key).alias("of")).select(
+        RID, "page_id", "of", host_of(url).alias("host"), path_of(url).alias("path"),
         tokens_of(url).alias("tokens"),
     )
     known = (
-        labels.filter(F.col("page_id").isNotNull() & F.col("blocked").isNotNull())
-        .groupBy("page_id")
+        labels.filter(F.col(key).isNotNull() & F.col("blocked").isNotNull())
+        .groupBy(F.col(key).alias("of"))
         .agg(F.max("blocked").alias("blocked"))
     )
-    labelled = rows.select("page_id", "tokens").join(known, "page_id")
+    # Written, so that the join below is one of two plain shuffles and can be split at a hot key.
+    labelled = rows.select("of", "tokens").join(stored(known, "url-labels"), "of").drop("of")
     mined = stored(mine(labelled, min_support, min_confidence, min_lift, min_count), "url-mined")
     # Many pages share a token set: match each set once.
     keyed = rows.withColumn("key", F.xxhash64(F.array_sort("tokens")))
@@ -203,6 +211,11 @@ def judge(
 
 
 def labels_of_documents(labels: DataFrame) -> DataFrame:
-    """Labels of a page: those given for the document of the same number."""
+    """Rows (doc_id, blocked): documents of low quality or toxic are blocked."""
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
-    return labels.select(F.col("doc_id").alias("page_id"), bad.alias("blocked"))
+    return labels.select("doc_id", bad.alias("blocked"))
+
+
+def with_document(pages: DataFrame) -> DataFrame:
+    """Pages and the number of the document that each was made from, by its URL, as doc_id."""
+    return pages.withColumn("doc_id", document_of(F.col("url")))
