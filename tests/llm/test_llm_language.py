@@ -1,5 +1,6 @@
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,46 @@ def test_learns_from_allowed_rows_only(spark, tmp_path):
     assert language.fit(only_held) is None
 
 
+def learned(monkeypatch, docs, each, largest):
+    """The rows that the model would be trained on."""
+    taken = []
+    monkeypatch.setattr(language, "PER_LANGUAGE", each)
+    monkeypatch.setattr(language, "LARGEST_SAMPLE", largest)
+    monkeypatch.setattr(language, "train", lambda rows, names: taken.append((rows, names)))
+    language.fit(docs)
+    (rows, names), = taken
+    return rows, names
+
+
+SAMPLED = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_every_language_stays_in_the_sample(spark, tmp_path, monkeypatch):
+    # A table in order of language, with more rows drawn than the sample may have.
+    rows = [(i, f"some text {i}", f"l{i // 400:02}", "s", 1) for i in range(8000)]
+    rows.append((9002, "the only text", "rare", "s", 1))
+    assert zlib.crc32(b"9002") % 4 != 2
+    docs = saved(spark, tmp_path, rows, SAMPLED, files=1)
+    for each, largest, wanted in ((60, 10**6, 60), (60, 420, 20), (60, 21, 1), (60, 5, 1)):
+        taken, names = learned(monkeypatch, docs, each, largest)
+        assert names == sorted({r[2] for r in rows})
+        count = Counter(r.lang for r in taken)
+        assert count.pop("rare") == 1
+        assert set(count.values()) == {wanted}
+        assert {r.lang for r in taken if r.fold != 0} == set(names)
+
+
+def test_repeated_ids_and_rows_do_not_fill_the_sample(spark, tmp_path, monkeypatch):
+    free = [i for i in range(1, 2000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, f"some text {i}", "a", "s", 1) for i in free[:900]]
+    rows += [(free[0], f"text {i} of a hot id", "b", "s", 1) for i in range(900)]
+    rows += [(free[0], "one row many times", "c", "s", 1)] * 5000
+    rows += [(i, f"some text {i}", "c", "s", 1) for i in free[:30]]
+    docs = saved(spark, tmp_path, rows, SAMPLED)
+    taken, _ = learned(monkeypatch, docs, 40, 1000)
+    assert Counter(r.lang for r in taken) == {"a": 40, "b": 40, "c": 31}
+
+
 def test_cases(spark, tmp_path):
     texts = [
         *["der hund und die katze sind nicht im haus"] * 20,

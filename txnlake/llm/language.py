@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,8 +26,8 @@ from txnlake.llm.words import buffers
 
 BUCKETS = 1 << 14
 DIMENSIONS = 16
-PER_LANGUAGE = 600  # rows of the training sample, expected number for each language
-LARGEST_SAMPLE = 20_000  # rows of the training sample at most, all languages together
+PER_LANGUAGE = 600  # rows of the training sample at most, for each language
+LARGEST_SAMPLE = 20_000  # all languages together, but one row for each language at least
 EPOCHS = 30
 BATCH = 32
 RATE = 0.5
@@ -183,32 +183,48 @@ def fit(
 ) -> Model | None:
     """A model from the rows whose id allows it; None where no such row has a language.
 
-    Of each language about PER_LANGUAGE rows are taken, by the hash of their id, whatever the size
-    of the table.
+    Of each language min(PER_LANGUAGE, LARGEST_SAMPLE / languages) rows are taken, those with the
+    smallest hashes of id and text, whatever the size and order of the table; all rows of a language
+    that has fewer.  Rows alike in id and text count once.
     """
     rows = small_batches(docs).select(
         F.col(text).alias("text"),
         F.col(lang).alias("lang"),
-        F.xxhash64(F.lit(SEED), F.col(doc_id)).alias("place"),
+        F.xxhash64(F.lit(SEED), F.col(doc_id), F.col(text)).alias("place"),
         learnable(F.col(doc_id)).alias("usable"),
     ).filter("usable and lang is not null and text is not null")
-    share = {
-        r.lang: PER_LANGUAGE / r["count"] for r in rows.groupBy("lang").count().collect()
-    }  # one entry for each language
-    if not share:
-        return None
-    chance = F.lit(0.0)
-    for name, value in share.items():
-        chance = F.when(F.col("lang") == name, F.lit(min(1.0, value))).otherwise(chance)
-    drawn = F.shiftrightunsigned("place", 11) / F.lit(float(1 << 53)) < chance
-    sample = rows.filter(drawn).withColumn("fold", F.pmod("place", F.lit(5)).cast("int"))
-    sample = _counted(sample.limit(LARGEST_SAMPLE)).collect()
+    sample = _counted(_sampled(rows.drop("usable"))).collect()
     sample = sorted(sample, key=lambda r: (r.place, r.lang, r.bucket, r.n))
     if not sample:
         return None
     return train(sample, sorted({r.lang for r in sample}))
 
 
+def _sampled(rows: DataFrame) -> DataFrame:
+    """The rows (lang, place, fold, text) of the sample, from rows (lang, place, text).
+
+    More than enough rows are drawn by their hash, so that only these have to be ranked.
+    """
+    rows = rows.withColumn("at", F.shiftrightunsigned("place", 11))
+    seen = (
+        rows.groupBy("lang")
+        .agg(F.approx_count_distinct("place").alias("n"), F.min("at").alias("least"))
+        .collect()
+    )  # one entry for each language
+    each = max(1, min(PER_LANGUAGE, LARGEST_SAMPLE // max(1, len(seen))))
+    enough = 1.5 * each + 50  # the number of rows is known to a few hundredths
+    cuts = [
+        (r.lang, max(r.least, int(min(1.0, enough / max(1, r.n)) * (1 << 53)))) for r in seen
+    ]
+    cuts = rows.sparkSession.createDataFrame(cuts, "lang string, cut long")
+    drawn = rows.join(F.broadcast(cuts), "lang").filter("at <= cut")
+    order = Window.partitionBy("lang").orderBy("at", "place")
+    ranked = drawn.dropDuplicates(["lang", "place"]).withColumn("rank", F.row_number().over(order))
+    # The first row of a language is never held back: each language is learned.
+    fold = F.when(F.col("rank") == 1, 1).otherwise(F.pmod("place", F.lit(5))).cast("int")
+    return ranked.filter(F.col("rank") <= each).select("place", "lang", fold.alias("fold"), "text")
+
+
 def _judged(model: Model, texts: pa.Array, readable: pa.Array):
     """For row ranges: number of the language and score."""
     for a, b, data, offsets in _chunks(texts):
