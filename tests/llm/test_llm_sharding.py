@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from helpers import saved
 
+from txnlake.llm import sharding
 from txnlake.llm.sharding import interleave
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, slot string"
@@ -78,5 +79,32 @@ def test_shuffled_within_a_source_by_the_seed(spark, tmp_path):
     assert moved > 300
 
 
+def test_sources_of_few_rows_spread_over_all_shards(spark, tmp_path):
+    rows = [(i, "x", "en", f"d{i}" if i % 2 else "head", 1, "h", "s") for i in range(4800)]
+    rows += [(5000 + i, "x", "en", f"pair{i // 2}", 1, "h", "s") for i in range(4800)]
+    found = interleave(saved(spark, tmp_path, rows, SCHEMA)).collect()
+    check_laws(found)
+    for kind, share in (("d", 100), ("p", 200), ("h", 100)):
+        counts = Counter(r.shard for r in found if r.source[0] == kind)
+        assert all(share / 2 < counts[s] < share * 3 / 2 for s in range(24)), (kind, counts)
+
+
+def test_rows_of_a_hot_id_are_spread_and_others_keep_their_place(spark, tmp_path, monkeypatch):
+    rows = [(7 if i % 2 else i, str(i), "en", "a", 1, "h", "s") for i in range(2400)]
+    docs = saved(spark, tmp_path, rows, SCHEMA)
+
+    def shards():
+        return Counter(r.shard for r in interleave(docs).collect() if r.doc_id == 7)
+
+    assert len(shards()) <= 13
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 1000)
+    assert sorted(shards()) == list(range(24)) and max(shards().values()) < 80
+
+    few = saved(spark, tmp_path, [(i, "x", "en", "a", 1, "h", "s") for i in range(500)], SCHEMA, 2)
+    again = saved(spark, tmp_path, few.orderBy(few.doc_id.desc()).collect(), SCHEMA, 5)
+    one, other = ({(r.doc_id, r.shard, r.slot) for r in interleave(d).collect()} for d in (few, again))
+    assert one == other
+
+
 def test_law_on_all_documents(spark, sf_dir):
     check_laws(interleave(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect())

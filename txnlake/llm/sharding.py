@@ -1,10 +1,11 @@
 """Sharding by proportional stratified interleaving.
 
 Rows are put in seeded random order within their source and get the fraction of the source that
-lies before them.  Sorted by that fraction, every stretch of the table has the mixture of the whole,
-so equal cuts give shards of equal row counts and equal mixture.  Both rankings count in buckets
-of a uniform value: a rank is the rows of earlier buckets plus the place within the bucket, so no
-source, however large, is sorted in one task.
+lies before them, moved on by a part of a row that a hash of the source chooses, so that sources of
+one or two rows spread as well.  Sorted by that fraction, every stretch of the table has the mixture
+of the whole, so equal cuts give shards of equal row counts and equal mixture.  Both rankings count
+in buckets of a uniform value: a rank is the rows of earlier buckets plus the place within the
+bucket, so no source, however large or small, is sorted in one task with many others.
 """
 
 from __future__ import annotations
@@ -37,10 +38,11 @@ def interleave(
     """One row for each row: doc_id, source, size, text_crc32, law, shard, slot, grown_shard.
 
     The law is `rows`: row counts of shards differ by one at most.  For each source, so do its rows
-    in a shard from its share, by at most two.  The size is the bytes of the text, none for null,
-    plus 8.  A null source is a source of its own; a row without an id is shuffled by its place in
-    the scan.  Rows that are alike in every value are interchangeable.  An empty table gives an
-    empty result.  Other columns are not read.
+    in a shard from its share, by at most two where sources are few; sources of a row or two are
+    spread by chance.  The size is the bytes of the text, none for null, plus 8.  A null source is a
+    source of its own; a row without an id, or whose id more than BUCKET_ROWS rows have, is shuffled
+    by its place in the scan.  Rows that are alike in every value are interchangeable.  An empty
+    table gives an empty result.  Other columns are not read.
     """
     blank = F.coalesce(F.col("raw"), F.lit(""))
     slim = stored(
@@ -56,7 +58,7 @@ def interleave(
             F.coalesce("source", F.lit("")).alias("src"),
             (F.octet_length(blank) + F.lit(8)).cast("long").alias("size"),
             F.crc32(blank.cast("binary")).alias("text_crc32"),
-            F.xxhash64(F.lit(seed), F.coalesce("doc_id", RID)).alias("h"),
+            RID,
         ),
         "shard-rows",
     )
@@ -64,7 +66,18 @@ def interleave(
     buckets = max(BUCKETS, -(-total // BUCKET_ROWS))
     ties = ["h", "doc_id", "text_crc32", "size"]
 
-    hashed = slim.withColumn("b", _bucket_of_hash(buckets))
+    # At most one id for each BUCKET_ROWS rows.
+    hot = slim.groupBy("doc_id").agg(F.count(F.lit(1)).alias("of_id"))
+    hot = hot.filter(F.col("doc_id").isNotNull() & (F.col("of_id") > BUCKET_ROWS))
+    h = F.when(
+        F.col("of_id").isNull(), F.xxhash64(F.lit(seed), F.coalesce("doc_id", RID))
+    ).otherwise(F.xxhash64(F.lit(seed), "doc_id", RID))
+    hashed = (
+        slim.join(F.broadcast(hot), "doc_id", "left")
+        .withColumn("h", h)
+        .drop("of_id", RID)
+        .withColumn("b", _bucket_of_hash(buckets))
+    )
     place = ["no_source", "src", "b"]
     of_source = Window.partitionBy("no_source", "src")
     before = of_source.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
@@ -78,7 +91,8 @@ def interleave(
         )
     )
     rank = F.col("start") + F.row_number().over(Window.partitionBy(*place).orderBy(*ties)) - 1
-    fraction = (F.col("rank") + F.lit(0.5)) / F.col("n_source")
+    moved = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "no_source", "src"), 11)
+    fraction = (F.col("rank") + moved / F.lit(float(1 << 53))) / F.col("n_source")
     ranked = stored(
         hashed.join(starts, place)
         .withColumn("rank", rank)
