@@ -112,6 +112,22 @@ def test_mined_rules_decide_where_no_fixed_one_does(spark, tmp_path):
     assert all(verdicts[i, f"good{i % 4}.shop"].verdict == "allow" for i in range(200) if i % 10)
 
 
+def test_rules_are_found_where_most_pages_are_blocked(spark, tmp_path):
+    rows, labels = [], []
+    for i in range(300):
+        bad = i < 240  # a lift of 1.25 at most
+        host = "casino" if i < 210 else f"good{i % 2}"
+        rows.append((i, f"http://{host}.shop/en/{i}", None, "h", "t"))
+        labels.append((i, bad))
+    pages = saved(spark, tmp_path, rows, PAGES)
+    found = judge(pages, saved(spark, tmp_path, labels, LABELS)).collect()
+    assert {r.page_id for r in found if r.verdict == "block"} == set(range(210))
+    assert {tuple(r.mined) for r in found if r.mined} == {("host:casino",)}
+    # Where all are blocked, no token tells more than the whole does.
+    every = saved(spark, tmp_path, [(i, True) for i in range(300)], LABELS)
+    assert {r.verdict for r in judge(pages, every).collect()} == {"allow"}
+
+
 def test_tokens(spark):
     url = "https://M.Shop.example.com/en/item-12/page.html?utm_source=x&b=1#top"
     got = spark.createDataFrame([(url,), ("x",), (None,)], "url string").select(tokens_of_col()).collect()

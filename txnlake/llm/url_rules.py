@@ -25,7 +25,7 @@ LABEL = "label=block"
 MIN_SUPPORT = 0.001  # of the labelled pages
 MIN_COUNT = 20  # labelled pages that a rule has to be seen on, however few there are
 MIN_CONFIDENCE = 0.6
-MIN_LIFT = 1.5
+MIN_LIFT = 1.5  # of the share of blocked pages, or by which the share of the others has to fall
 ALL_A_TO_Z = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -90,7 +90,8 @@ def mine(
 ) -> DataFrame:
     """Rules from rows (tokens, blocked): rule_id, tokens, confidence, support, lift.
 
-    Rows without a label or without tokens teach nothing; no labelled rows give no rules.
+    Where most rows are blocked no rule can reach the lift; there it is enough when the share of rows
+    that are not blocked is `min_lift` times smaller than in the whole.  Rows without a label or without tokens teach nothing; no labelled rows give no rules.
     """
     baskets = labelled.filter(F.col("blocked").isNotNull() & (F.size("tokens") > 0)).select(
         F.when(F.col("blocked"), F.concat("tokens", F.array(F.lit(LABEL))))
@@ -107,11 +108,13 @@ def mine(
     model = FPGrowth(
         itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence
     ).fit(baskets)
+    base = F.col("confidence") / F.col("lift")
+    fewer = (F.col("lift") > 1) & ((1 - F.col("confidence")) * min_lift <= 1 - base)
     found = (
         model.associationRules.filter(
             (F.size("consequent") == 1)
             & (F.col("consequent")[0] == LABEL)
-            & (F.col("lift") >= min_lift)
+            & ((F.col("lift") >= min_lift) | fewer)
         )
         .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support", "lift")
         .withColumn("rule_id", F.xxhash64("tokens"))
