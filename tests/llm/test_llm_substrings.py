@@ -120,6 +120,23 @@ def test_every_stretch_of_enough_words_is_covered():
             assert covered == set(range(len(plain)))
 
 
+def test_scripts_without_blanks(spark, tmp_path):
+    def letters(first, n):
+        return "".join(chr(first + (i * 37) % 45) for i in range(n))
+
+    han, kana, thai = letters(0x4E00, 30), letters(0x3041, 9), letters(0x0E01, 44)
+    shared = [f"{han}。", f"{kana}。{kana[::-1]}！", f"{thai}\n{thai[::-1]}\n", "हम घर जा रहे हैं अब। " * 2 + "x।"]
+    rows = []
+    for k, passage in enumerate(shared):
+        for doc_id in (k, 10 + k):
+            rows.append((doc_id, f"{letters(0x5000 + 99 * doc_id, 8)}。{passage}"))
+    docs = documents(spark, tmp_path, rows, ", n string, span string", ("n", "s"))
+    found = {r.doc_id: r for r in dedup_substrings(docs).collect()}
+    assert {i for i in found if found[i].n_removed and i >= 10} == {10, 11, 12, 13}
+    assert [found[10 + k].n_sentences - found[10 + k].n_removed for k in range(4)] == [1, 1, 1, 1]
+    assert [found[k].n_removed for k in range(3)] == [0, 0, 0]
+
+
 def test_empty_table(spark, tmp_path):
     assert dedup_substrings(documents(spark, tmp_path, [])).count() == 0
 

@@ -25,7 +25,13 @@ from txnlake.llm.common import RID, numbered, nulls_last, stored
 
 RUN_WORDS = 12
 LONE_WORDS = 25
-SENTENCE_END = re.compile(r"(?<=[.!?])\s+|\n\s*")
+SENTENCE_END = re.compile(r"(?<=[.!?])\s+|(?<=[。！？｡।؟۔])\s*|\n\s*")
+# Scripts without blanks between words: a word is one character, or four of an alphabet.
+SINGLE = "\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff"
+FOURS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+MARKS = "\u3000-\u303f\uff00-\uff65"
+NO_BLANKS = re.compile(f"[{SINGLE}{FOURS}]")
+UNITS = re.compile(f"[{SINGLE}]|[{FOURS}]{{1,4}}|[^\\s{SINGLE}{FOURS}{MARKS}]+")
 
 
 def sentences(text: str) -> tuple[list[str], list[int]]:
@@ -43,10 +49,16 @@ def sentences(text: str) -> tuple[list[str], list[int]]:
     return out, [*starts, len(text)]
 
 
+def n_words(sentence: str) -> int:
+    if sentence.isascii() or not NO_BLANKS.search(sentence):
+        return sentence.count(" ") + 1
+    return len(UNITS.findall(sentence))
+
+
 def runs(plain: list[str], run_words: int, lone_words: int) -> list[tuple[int, int]]:
     """(first, last) sentence of all runs, sorted."""
     n = len(plain)
-    sizes = np.fromiter((s.count(" ") + 1 for s in plain), np.int64, n)
+    sizes = np.fromiter((n_words(s) for s in plain), np.int64, n)
     ends = np.cumsum(sizes)
     starts = ends - sizes
     at = np.arange(n)
@@ -155,8 +167,8 @@ def dedup_substrings(
     """One row for each row of `docs`: doc_id, n_sentences, n_removed, text (what is left), _rid.
 
     The first place of a run is the one with the smallest doc_id (null last), then the first row,
-    then the first sentence.  Sentences end at `.`, `!` or `?` before white space and at line
-    breaks; they are equal when identical with white space made single.  A null text stays null, an
+    then the first sentence.  Sentences end at `.`, `!` or `?` before white space, at the full
+    stops of other scripts and at line breaks; they are equal when identical with white space made single.  A null text stays null, an
     empty text and a text without repeats stay as they are; a text may end up empty.  Repeated rows
     count as documents of their own, so the later one loses its runs.  An empty table gives an empty
     result.  Other columns are not read.  Runs are compared by 128-bit hashes.
