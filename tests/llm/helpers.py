@@ -17,13 +17,13 @@ def saved(spark, folder, rows, schema, files=3):
     return spark.read.schema(schema).parquet(path)
 
 
-def documents(spark, folder, texts, extra="", values=()):
+def documents(spark, folder, texts, extra="", values=(), files=3):
     """Texts, or (doc_id, text) pairs, as a table of documents; `extra` columns of fixed values."""
     rows = []
     for i, item in enumerate(texts):
         doc_id, text = item if isinstance(item, tuple) else (i, item)
         rows.append((doc_id, text, "en", f"src{i % 3}", len(text or ""), *values))
-    return saved(spark, folder, rows, DOCS + extra)
+    return saved(spark, folder, rows, DOCS + extra, files)
 
 
 def bag(rows):

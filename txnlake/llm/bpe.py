@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import RID, byte_slices, numbered
+from txnlake.llm.common import RID, RID_TYPE, byte_slices, numbered
 
 BLOCK_BYTES = 4 << 20
 REMEMBERED = 200_000  # words
@@ -230,7 +230,7 @@ def encode(
                         names=[RID, "doc_id", "ids"],
                     )
 
-    out = rows.mapInArrow(run, f"{RID} long, doc_id {kind}, ids array<int>")
+    out = rows.mapInArrow(run, f"{RID} {RID_TYPE}, doc_id {kind}, ids array<int>")
     return out.select("doc_id", "ids", RID)
 
 
@@ -257,7 +257,7 @@ def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
                 )
 
     return rows.select("doc_id", "ids", RID).mapInArrow(
-        run, f"doc_id {kind}, ids array<int>, {RID} long, decoded binary"
+        run, f"doc_id {kind}, ids array<int>, {RID} {RID_TYPE}, decoded binary"
     )
 
 

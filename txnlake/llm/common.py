@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from txnlake import session
 
 RID = "_rid"
+RID_TYPE = "struct<file: long, row: long>"
 
 # Rows of one Arrow batch between Spark and Python.  Texts are long: Spark's default of 10,000 rows
 # would hold tens of MB at a time in every worker, and as much beside the heap of its executor.
@@ -25,13 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def numbered(df: DataFrame, *columns: Column | str) -> DataFrame:
-    """The given columns and a number for each row.
+    """The given columns and a number for each row: a hash of its file's path, and its place there.
 
-    Ids may be null or repeated, so operators tell rows apart by this number.  It comes from the
-    place of the row in the scan: `df` has to be read from files, not be the output of a shuffle,
-    so that a task that is run again, or a second scan, gives the same numbers.
+    Ids may be null or repeated, so operators tell rows apart by this number.  `df` has to be read
+    from files, not be the output of a shuffle or a union (that raises).  However the files are cut
+    into tasks, now, when a task is run again or in a second scan, a row has the same number.
     """
-    return small_batches(df).select(*columns, F.monotonically_increasing_id().alias(RID))
+    place = df.metadataColumn("_metadata")
+    number = F.struct(
+        F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("row")
+    )
+    return small_batches(df).select(*columns, number.alias(RID))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

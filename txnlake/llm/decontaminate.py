@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import RID, byte_slices, numbered, rows_of, stored
+from txnlake.llm.common import RID, RID_TYPE, byte_slices, numbered, rows_of, stored
 from txnlake.llm.words import buffers, words_of
 
 WINDOW = 10
@@ -158,7 +158,7 @@ def _probes(rows: DataFrame, bits, lengths: list[int], window: int) -> DataFrame
                 )
 
     probe = "array<struct<h: long, pos: int, lead: int, around: string>>"
-    return rows.select(RID, "text").mapInArrow(run, f"{RID} long, n_words long, probes {probe}")
+    return rows.select(RID, "text").mapInArrow(run, f"{RID} {RID_TYPE}, n_words long, probes {probe}")
 
 
 def decontaminate(

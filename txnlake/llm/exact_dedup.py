@@ -36,7 +36,7 @@ def _groups(rows: DataFrame, salts: int) -> DataFrame:
     rank = F.struct(
         (-F.col("n_chars")).alias("shorter"), *nulls_last("id"), F.col(RID)
     )
-    salted = rows.groupBy("digest", "norm", F.pmod(F.col(RID), F.lit(salts)).alias("salt")).agg(
+    salted = rows.groupBy("digest", "norm", F.pmod(F.xxhash64(RID), F.lit(salts)).alias("salt")).agg(
         F.min(rank).alias("best"), F.count(F.lit(1)).alias("n")
     )
     return (

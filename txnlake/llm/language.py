@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnlake.llm.common import RID, byte_slices, numbered, small_batches
+from txnlake.llm.common import RID, RID_TYPE, byte_slices, numbered, small_batches
 from txnlake.llm.words import buffers
 
 BUCKETS = 1 << 14
@@ -281,7 +281,7 @@ def predict(
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"{RID} long, doc_id {kind}, lang_pred string, score double")
+    out = rows.mapInArrow(run, f"{RID} {RID_TYPE}, doc_id {kind}, lang_pred string, score double")
     rejected = (F.col("lang_pred") == UNKNOWN) | (F.col("score") < MIN_SCORE)
     return out.select("doc_id", "lang_pred", "score", rejected.alias("rejected"), RID)
 

@@ -69,9 +69,11 @@ def interleave(
     # At most one id for each BUCKET_ROWS rows.
     hot = slim.groupBy("doc_id").agg(F.count(F.lit(1)).alias("of_id"))
     hot = hot.filter(F.col("doc_id").isNotNull() & (F.col("of_id") > BUCKET_ROWS))
-    h = F.when(
-        F.col("of_id").isNull(), F.xxhash64(F.lit(seed), F.coalesce("doc_id", RID))
-    ).otherwise(F.xxhash64(F.lit(seed), "doc_id", RID))
+    h = (
+        F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), RID))
+        .when(F.col("of_id").isNull(), F.xxhash64(F.lit(seed), "doc_id"))
+        .otherwise(F.xxhash64(F.lit(seed), "doc_id", RID))
+    )
     hashed = (
         slim.join(F.broadcast(hot), "doc_id", "left")
         .withColumn("h", h)

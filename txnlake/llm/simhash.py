@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import RID, numbered, nulls_last, rows_of, stored
+from txnlake.llm.common import RID, RID_TYPE, numbered, nulls_last, rows_of, stored
 from txnlake.llm.components import components
 
 SHINGLE = 4
@@ -76,7 +76,7 @@ def fingerprints(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 names=[RID, "doc_id", "fp"],
             )
 
-    return rows.mapInArrow(run, f"{RID} long, doc_id {kind}, fp long")
+    return rows.mapInArrow(run, f"{RID} {RID_TYPE}, doc_id {kind}, fp long")
 
 
 def ball(bits: int, radius: int) -> list[tuple[int, int]]:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnlake.llm.common import RID, numbered, nulls_last, stored
+from txnlake.llm.common import RID, RID_TYPE, numbered, nulls_last, stored
 
 RUN_WORDS = 12
 LONE_WORDS = 25
@@ -114,7 +114,7 @@ def _hashed(rows: DataFrame, run_words: int, lone_words: int) -> DataFrame:
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     one_run = "struct<h1: long, h2: long, a: int, b: int, own: boolean>"
-    return rows.mapInArrow(run, f"{RID} long, doc_id {kind}, runs array<{one_run}>")
+    return rows.mapInArrow(run, f"{RID} {RID_TYPE}, doc_id {kind}, runs array<{one_run}>")
 
 
 def _cut(rows: DataFrame, kind: str) -> DataFrame:
@@ -153,7 +153,7 @@ def _cut(rows: DataFrame, kind: str) -> DataFrame:
 
     return rows.select(RID, "doc_id", "text", "spans").mapInArrow(
         run,
-        f"{RID} long, doc_id {kind}, n_sentences long, n_removed long, text string",
+        f"{RID} {RID_TYPE}, doc_id {kind}, n_sentences long, n_removed long, text string",
     )
 
 
