@@ -83,3 +83,13 @@ def test_empty_table(spark, tmp_path):
 def test_all_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert check(spark, docs) == docs.count()
+
+
+def test_decoding_stored_ids_gives_the_same_bytes(spark, tmp_path):
+    texts = [(1, None), (2, "two  é\n"), (3, "x"), (3, "y " * 5000)]
+    docs = documents(spark, tmp_path, texts)
+    ranks = bpe.read_ranks(public_tokenizers.path(TOKENIZER))
+    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    apart = bpe.decode(ids, ranks).select("doc_id", "ids", "decoded").collect()
+    assert sorted(apart) == sorted(encoded(spark, docs).drop("_rid").collect())
+    assert sorted(bytes(r.decoded).decode() for r in apart) == sorted(t or "" for _, t in texts)

@@ -199,9 +199,14 @@ def encode(
     pattern: str,
     text: str = "text",
     doc_id: str = "doc_id",
+    decoded: bool = False,
 ) -> DataFrame:
     """One row for each row of `docs`: doc_id, ids (array of int), _rid.
 
+    With `decoded` also the bytes that the ids decode to, made in the same task: `decode` does the
+    same for stored ids, but after `encode` it would be a second Python worker with a second copy of
+    the vocabulary beside the first.
+
     Every match of the pattern is encoded by itself, as ordinary text: no special tokens.  Null
     and empty texts have no ids.  Repeated rows are treated alike; an empty table gives an empty
     result; other columns are not read.  `ranks` is a vocabulary, broadcast to the tasks.
@@ -220,18 +225,30 @@ def encode(
                 ids, starts = encoder.encode(texts)
                 for x, y in byte_slices(np.diff(starts).tolist(), OUT_TOKENS):
                     own = pa.array(ids[starts[x] : starts[y]], pa.int32())
-                    ends = pa.array(starts[x : y + 1] - starts[x], pa.int32())
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column(RID).slice(a + x, y - x),
-                            batch.column("doc_id").slice(a + x, y - x),
-                            pa.ListArray.from_arrays(ends, own),
-                        ],
-                        names=[RID, "doc_id", "ids"],
-                    )
-
-    out = rows.mapInArrow(run, f"{RID} {RID_TYPE}, doc_id {kind}, ids array<int>")
-    return out.select("doc_id", "ids", RID)
+                    ends = starts[x : y + 1] - starts[x]
+                    columns = {
+                        RID: batch.column(RID).slice(a + x, y - x),
+                        "doc_id": batch.column("doc_id").slice(a + x, y - x),
+                        "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), own),
+                    }
+                    if decoded:
+                        columns["decoded"] = _decoded(shared.value, ids[starts[x] : starts[y]], ends)
+                    yield pa.RecordBatch.from_pydict(columns)
+        # What is kept for the next batch would stay with the worker through later stages.
+        pa.default_memory_pool().release_unused()
+
+    schema = f"{RID} {RID_TYPE}, doc_id {kind}, ids array<int>"
+    out = rows.mapInArrow(run, f"{schema}, decoded binary" if decoded else schema)
+    return out.select("doc_id", "ids", *(["decoded"] if decoded else []), RID)
+
+
+def _decoded(merges: Merges, ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Bytes of each text, for the ids of texts that begin at `starts`."""
+    ends = np.r_[0, np.cumsum(merges.lengths[ids])][starts].astype(np.int32)
+    data = decode_ids(merges, ids)
+    return pa.Array.from_buffers(
+        pa.binary(), len(starts) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)]
+    )
 
 
 def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -245,12 +262,7 @@ def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
             starts = np.asarray(column.offsets, np.int64)
             for a, b in byte_slices(np.diff(starts).tolist(), OUT_TOKENS):
                 ids = np.asarray(column.values)[starts[a] : starts[b]]
-                sizes = np.r_[0, np.cumsum(shared.value.lengths[ids])]
-                ends = sizes[starts[a : b + 1] - starts[a]].astype(np.int32)
-                data = decode_ids(shared.value, ids)
-                texts = pa.Array.from_buffers(
-                    pa.binary(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(data)]
-                )
+                texts = _decoded(shared.value, ids, starts[a : b + 1] - starts[a])
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(a, b - a) for c in ("doc_id", "ids", RID)), texts],
                     names=["doc_id", "ids", RID, "decoded"],

@@ -67,7 +67,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Ids and decoded bytes of all texts by the public vocabulary."""
     ranks = bpe.read_ranks(public_tokenizers.path(TOKENIZER))
-    return bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
