@@ -14,11 +14,13 @@ from txnlake.llm import (
     exact_dedup,
     html_text,
     language,
+    license_scan,
     lines,
     sharding,
     simhash,
     substrings,
     url_rules,
+    whitening,
 )
 from txnlake.llm.common import RID, numbered, table
 
@@ -94,9 +96,31 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    starts = F.transform("phrases", lambda p: p["start"])
+    base = F.array_distinct(F.transform("phrases", lambda p: p["label"]))
+    own = F.transform("spans", lambda s: s["label"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, own)), ",").alias("labels"),
+        "score",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_decontamination, op2_substring_dedup, op3_language, op4_url_rules, op5_line_dedup,
         op6_bpe, op7_simhash, op8_exact_dedup, op9_sharding, op10_html_text,
+        op11_whitening, op12_license_scan,
     )
     return {query.__name__: query for query in found}

@@ -112,3 +112,23 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
     hashes = mixed((sums[ends] - sums[starts]) * down[starts])
     return Words(low, starts, ends, np.searchsorted(starts, offsets), hashes)
+
+
+def cuts_between_words(data: np.ndarray, limit: int) -> list[int]:
+    """Places that cut a text into pieces of about `limit` bytes, never within a word.
+
+    A piece is longer only where a word is.
+    """
+    at, places = 0, [0]
+    while at + limit < len(data):
+        at += limit
+        while at < len(data):
+            outside = np.flatnonzero(~IS_WORD[data[at : at + limit]])
+            if len(outside):
+                at += int(outside[0])
+                break
+            at = min(at + limit, len(data))
+        places.append(at)
+    if places[-1] < len(data):
+        places.append(len(data))
+    return places
