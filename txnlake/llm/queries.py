@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from txnlake.llm import (
     bpe,
+    conversation_trie,
     decontaminate,
     exact_dedup,
     html_text,
@@ -117,10 +118,20 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation begins with up to eight turns of the one whose id ends in 0 or 5 before it."""
+    conv = F.col("conv")
+    return conversation_trie.prefix_trie(
+        table(spark, sf_dir, "conversations"),
+        donor=conv - conv % 5,
+        taken=F.crc32(conv.cast("string").cast("binary")) % 9,
+    ).drop("n_nodes")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_decontamination, op2_substring_dedup, op3_language, op4_url_rules, op5_line_dedup,
         op6_bpe, op7_simhash, op8_exact_dedup, op9_sharding, op10_html_text,
-        op11_whitening, op12_license_scan,
+        op11_whitening, op12_license_scan, op13_conversation_trie,
     )
     return {query.__name__: query for query in found}
