@@ -1,0 +1,201 @@
+"""Tables of published batches: whole, once, folded, and clustered as they are folded."""
+
+import json
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from rows import flag_texts, messages, payload
+
+from txnlake import files, schemas
+from txnlake.operators import gold, layout, silver
+from txnlake.operators.bronze import to_bronze
+from txnlake.plans import config, lake, runner
+from txnlake.plans.config import LakeConfig
+from txnlake.sources.kafka import FileSource, JsonFileSink, once
+from txnlake.streaming import batches, layers
+from txnlake.streaming.batches import BatchTable, added, number_of, since
+
+NORMAL = ("POS_PURCHASE", 42.5, "US", "USD")
+PARTS = {"rows": "n LONG"}
+
+
+def writer(spark, numbers):
+    def write(folder):
+        spark.createDataFrame([(n,) for n in numbers], "n LONG").write.parquet(f"{folder}/rows")
+        return {"dq": {"total": len(numbers)}}
+
+    return write
+
+
+def values(spark, table):
+    return sorted(r.n for r in table.read(spark, "rows").collect())
+
+
+def test_counters_are_summed_and_subtracted():
+    one, two = {"a": {"x": 1, "y": 2}}, {"a": {"x": 5}, "b": {"z": None}}
+    assert added(one, two) == {"a": {"x": 6, "y": 2}, "b": {"z": 0}}
+    assert since(added(one, two), one) == {"a": {"x": 5, "y": 0}, "b": {"z": 0}}
+
+
+def test_a_repeated_batch_does_nothing(spark, tmp_path):
+    table = BatchTable(str(tmp_path), PARTS)
+    assert values(spark, table) == [] and table.totals(spark) == {}
+    assert table.publish(spark, 0, writer(spark, [1, 2]))
+    assert not table.publish(spark, 0, writer(spark, [1, 2]))
+    assert values(spark, table) == [1, 2] and table.totals(spark) == {"dq": {"total": 2}}
+
+
+def test_a_batch_that_fails_leaves_nothing(spark, tmp_path):
+    table = BatchTable(str(tmp_path), PARTS)
+
+    def broken(folder):
+        writer(spark, [1])(folder)
+        raise OSError("gone")
+
+    with pytest.raises(OSError):
+        table.take(spark, 0, broken)
+    assert values(spark, table) == []
+    table.take(spark, 0, writer(spark, [1]))
+    assert values(spark, table) == [1]
+
+
+@pytest.mark.parametrize("read", [None, 5, 1000])
+def test_batches_are_folded_and_expire(spark, tmp_path, monkeypatch, read):
+    monkeypatch.setattr(batches, "FAN", 3)
+    follower = str(tmp_path / "follower")
+    if read is not None:
+        files.write_text(spark, follower, str(read))
+    table = BatchTable(str(tmp_path / "t"), PARTS, (follower,))
+    for number in range(20):
+        table.take(spark, number, writer(spark, [2 * number, 2 * number + 1]))
+        assert values(spark, table) == list(range(2 * number + 2))
+    assert table.totals(spark) == {"dq": {"total": 40}}
+    live = [folder.removeprefix(str(tmp_path / "t/")) for folder in table.live(spark)]
+    assert [name.split("/")[1] for name in live] == ["level=2"] * 2 + ["level=0"] * 2
+    left = [number_of(path + "/x") for path in files.children(spark, f"{table.path}/level=0")]
+    # Batches that the follower has not read whole stay, and so does the last fold's round.
+    first = 0 if read is None else min(read, 15)
+    assert left == list(range(first, 20))
+
+
+def test_a_fold_that_was_prevented_is_made_up_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(batches, "FAN", 2)
+    table = BatchTable(str(tmp_path), PARTS)
+    table.take(spark, 0, writer(spark, [0]))
+    table.publish(spark, 1, writer(spark, [1]))  # and then a crash
+    table.take(spark, 1, writer(spark, [1]))
+    assert "level=1" in table.live(spark)[0] and values(spark, table) == [0, 1]
+
+
+def test_one_parse_for_silver_and_quarantine(spark, tmp_path):
+    texts = [*flag_texts(), "broken", None, payload(3, *NORMAL, _rescued_data="x")]
+    path = str(tmp_path / "bronze")
+    to_bronze(messages(spark, texts), lake.ingested_at()).write.parquet(path)
+    bronze = spark.read.schema(schemas.BRONZE).parquet(path)
+    for policy, parsers in (("drop", 1), ("keep", 2)):
+        both = silver.split(bronze, policy)
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json") + plan.count("get_json_object") == parsers
+        kept = both.filter("kept").select(*schemas.names(schemas.SILVER))
+        gone = both.filter("not kept").select(*schemas.names(schemas.QUARANTINE))
+        assert sorted(map(str, kept.collect())) == sorted(
+            map(str, silver.to_silver(bronze, policy).collect())
+        )
+        assert sorted(map(str, gone.collect())) == sorted(
+            map(str, silver.quarantine(bronze, policy).collect())
+        )
+        assert both.filter("kept and raw_value is not null").count() == 0
+
+
+def test_partial_sums_merge_to_the_view(spark, sf_dir):
+    rows = lake.stored_silver(spark, sf_dir)
+    part = F.pmod(F.hash("transaction_id"), F.lit(3))
+    sums = [gold.partials(rows.filter(part == k)) for k in range(3)]
+    together = sums[0].unionByName(sums[1]).unionByName(sums[2])
+    twin = gold.merchant_analytics(rows)
+    for view in (gold.merged(together), gold.merged(gold.added(together))):
+        assert view.exceptAll(twin).count() == twin.exceptAll(view).count() == 0
+    together.createOrReplaceTempView("partial_sums")
+    view = spark.sql(gold.merged_sql("partial_sums"))
+    assert view.exceptAll(twin).count() == twin.exceptAll(view).count() == 0
+
+
+def test_a_lake_of_many_runs_stays_small(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(batches, "FAN", 2)
+    landing = str(tmp_path / "landing")
+    cfg = LakeConfig(str(tmp_path / "lake"), FileSource(landing), "txnlake_many",
+                     ingested_at=lake.ingested_at())
+    for run in range(6):
+        texts = [payload(100 * run + i, *NORMAL) for i in range(4)]
+        messages(spark, [*texts, "broken"]).coalesce(1).write.mode("append").parquet(landing)
+        result = runner.run_once(spark, cfg)
+        assert result.violations["silver"] == {
+            "total": 5, "valid_transaction_id": 1, "valid_account_id": 1, "valid_amount": 1,
+            "valid_timestamp": 1, "parseable_json": 1,
+        }
+    for name in (config.BRONZE, config.SILVER):
+        assert len(cfg.batches(name).live(spark)) == 2  # 0 to 3 and 4 to 5
+        stored = files.children(spark, f"{cfg.table(name)}/level=0")
+        assert len(stored) <= 3
+    for name, rows in ((config.BRONZE, 30), (config.SILVER, 24), (config.QUARANTINE, 6)):
+        assert layers.read_table(spark, cfg, name).count() == rows
+        assert spark.table(f"txnlake_many.{name}").count() == rows
+    gold_table = spark.table("txnlake_many.gold_merchant_analytics")
+    assert gold_table.agg(F.sum("total_transactions")).first()[0] == 24
+
+
+def test_folds_are_clustered(spark, tmp_path, monkeypatch):
+    """An account's rows come from a few of the files of a fold."""
+    monkeypatch.setattr(batches, "FAN", 4)
+    table = BatchTable(str(tmp_path), {"rows": schemas.ALERTS})
+    start = datetime(2024, 3, 1)
+    names = schemas.names(schemas.ALERTS)
+
+    def write(number):
+        def run(folder):
+            rows = [
+                tuple({"transaction_id": f"t{i}", "fraud_reasons": f"reason {i % 50:02d}",
+                       "event_timestamp": start + timedelta(hours=100 * number + i)}.get(n)
+                      for n in names)
+                for i in range(500)
+            ]
+            spark.createDataFrame(rows, schemas.ALERTS).write.parquet(f"{folder}/rows")
+            return {}
+
+        return run
+
+    def order(rows, part):
+        return layout.clustered(rows, config.ALERTS, files=8)
+
+    for number in range(4):
+        table.take(spark, number, write(number), order)
+    assert len(table.live(spark)) == 1
+    rows = table.read(spark, "rows").withColumn("file", F.input_file_name())
+    spread = rows.groupBy("fraud_reasons").agg(F.count_distinct("file").alias("n"))
+    assert rows.select("file").distinct().count() == 8
+    assert spread.agg(F.max("n")).first()[0] <= 2
+
+
+def test_an_alert_batch_sent_twice_comes_once(spark, tmp_path):
+    rows = silver.to_silver(to_bronze(messages(spark, flag_texts())))
+    sink = JsonFileSink(str(tmp_path / "sent"))
+    alerts = gold.alert_messages(rows)
+    sink.send(alerts, 0)
+    sink.send(alerts, 0)
+    assert sink.read(spark).count() == alerts.count()
+    # A topic keeps both: readers drop the second.
+    stamped = sink.read(spark).withColumn("timestamp", F.lit(datetime(2024, 3, 1)))
+    for part in ("a", "b"):
+        stamped.write.parquet(str(tmp_path / f"topic/{part}"))
+    stream = spark.readStream.schema(stamped.schema).parquet(str(tmp_path / "topic/*"))
+    query = (
+        once(stream)
+        .writeStream.format("memory")
+        .queryName("alerts_once")
+        .trigger(availableNow=True)
+        .start()
+    )
+    runner.finish(query)
+    ids = [json.loads(r.value)["transaction_id"] for r in spark.table("alerts_once").collect()]
+    assert len(set(ids)) == len(ids) == alerts.count()

@@ -29,6 +29,14 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(there, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder or file, in one step; raises where the target is there already."""
+    system, there = _at(spark, target)
+    system.mkdirs(there.getParent())
+    if system.exists(there) or not system.rename(_at(spark, source)[1], there):
+        raise FileExistsError(target)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file in one step: readers see the old text or the new."""
     system, there = _at(spark, f"{path}.new")

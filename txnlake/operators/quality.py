@@ -44,10 +44,14 @@ SILVER_RULES = [
 GOLD_RULES = [Expectation("is_valid_fraud_flag", "is_fraud = TRUE")]
 
 
+def counters(rules: list[Expectation]) -> list[Column]:
+    """Aggregates: rows, and violations of each rule."""
+    return [F.count(F.lit(1)).alias("total"), *[rule.violations() for rule in rules]]
+
+
 def observe(df: DataFrame, layer: str, rules: list[Expectation]) -> DataFrame:
     """Count rows and violations while the rows pass through; read them as metric `dq_<layer>`."""
-    counters = [F.count(F.lit(1)).alias("total"), *[rule.violations() for rule in rules]]
-    return df.observe(f"dq_{layer}", *counters)
+    return df.observe(f"dq_{layer}", *counters(rules))
 
 
 def drop_failing(df: DataFrame, rules: list[Expectation]) -> DataFrame:
@@ -65,7 +69,7 @@ def apply_expectations(df: DataFrame, layer: str, rules: list[Expectation]) -> D
 
 def metrics(df: DataFrame, layer: str, rules: list[Expectation]) -> DataFrame:
     """One row per rule: `layer, rule, action, total, violations`, from one aggregate."""
-    counted = df.agg(F.count(F.lit(1)).alias("total"), *[rule.violations() for rule in rules])
+    counted = df.agg(*counters(rules))
     per_rule = F.array(
         *[
             F.struct(

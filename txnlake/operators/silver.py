@@ -10,6 +10,9 @@ from txnlake.functions.rules import Rule, flag
 from txnlake.operators import quality
 
 RESCUED = "_rescued_data"
+KEPT = "kept"
+# What only a message that is not kept carries on, beside the columns that both have.
+RAW_ONLY = [n for n in schemas.names(schemas.QUARANTINE) if n not in schemas.names(schemas.SILVER)]
 
 
 def _with_payload(bronze: DataFrame, corrupt_policy: str) -> DataFrame:
@@ -34,8 +37,11 @@ def _with_payload(bronze: DataFrame, corrupt_policy: str) -> DataFrame:
     raise ValueError(f"corrupt_policy must be 'drop' or 'keep', not {corrupt_policy!r}")
 
 
-def parse(bronze: DataFrame, corrupt_policy: str = "drop") -> DataFrame:
-    """Parse and flatten every message, readable or not, without fraud flags."""
+def parse(bronze: DataFrame, corrupt_policy: str = "drop", carried: tuple = ()) -> DataFrame:
+    """Parse and flatten every message, readable or not, without fraud flags.
+
+    `carried` are columns of bronze that go along.
+    """
     event_time = F.try_to_timestamp(F.col("timestamp"))
     return _with_payload(bronze, corrupt_policy).select(
         "transaction_id",
@@ -60,6 +66,7 @@ def parse(bronze: DataFrame, corrupt_policy: str = "drop") -> DataFrame:
         "kafka_timestamp",
         "ingestion_timestamp",
         RESCUED,
+        *carried,
     )
 
 
@@ -83,6 +90,23 @@ def to_silver(
     return quality.drop_failing(rows, quality.SILVER_RULES)
 
 
+def split(
+    bronze: DataFrame, corrupt_policy: str = "drop", rules: list[Rule] | None = None
+) -> DataFrame:
+    """Silver and quarantine in one pass: silver's columns, those of quarantine beside, and `kept`.
+
+    Each message is parsed once.  The raw columns are NULL in rows that silver keeps.
+    """
+    rows = flag(parse(bronze, corrupt_policy, tuple(RAW_ONLY)), rules)
+    kept = F.lit(True)
+    for rule in quality.SILVER_RULES:
+        if rule.action == "drop":
+            kept = kept & rule.holds()
+    rows = rows.withColumn(KEPT, kept)
+    raw = [F.when(~F.col(KEPT), F.col(name)).alias(name) for name in RAW_ONLY]
+    return rows.select(*schemas.names(schemas.SILVER), *raw, KEPT)
+
+
 def quarantine(bronze: DataFrame, corrupt_policy: str = "drop") -> DataFrame:
     """The messages silver drops, unchanged, with the text that could not be read."""
     rejected = _with_payload(bronze, corrupt_policy).filter(F.col(RESCUED).isNotNull())

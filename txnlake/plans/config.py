@@ -6,10 +6,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 
+from txnlake import schemas
 from txnlake.functions.rules import Rule
+from txnlake.operators.gold import PARTIALS
 from txnlake.operators.validate import MAX_FRAUD_PCT
 from txnlake.sources.kafka import FileSource, JsonFileSink, KafkaSink, KafkaSource
-from txnlake.streaming.counters import Place
+from txnlake.streaming.batches import BatchTable
 
 BRONZE = "bronze_transactions"
 SILVER = "silver_transactions"
@@ -26,6 +28,19 @@ COMMENTS = {
     GOLD: "Hourly volume and fraud metrics by category and country.",
     ALERTS: "Transactions flagged as fraud.",
 }
+# Parts of each streamed table, and which part a layer is.
+PARTS = {
+    BRONZE: {"rows": schemas.BRONZE},
+    SILVER: {
+        "kept=true": schemas.SILVER,
+        "kept=false": schemas.QUARANTINE,
+        "partials": PARTIALS,
+    },
+    ALERTS: {"rows": schemas.ALERTS},
+}
+PART_OF = {BRONZE: "rows", SILVER: "kept=true", QUARANTINE: "kept=false", ALERTS: "rows"}
+# Streams that read a table; what they have not read yet is kept.
+FOLLOWERS = {BRONZE: (SILVER,), SILVER: (ALERTS, ALERT_SINK), ALERTS: ()}
 QUALITY = {BRONZE: "bronze", SILVER: "silver", QUARANTINE: "silver", GOLD: "gold", ALERTS: "gold"}
 
 
@@ -50,7 +65,7 @@ class LakeConfig:
     max_files_per_trigger: int | None = None
     ingested_at: Column | None = None
     generation: str = "g0"
-    table_options: dict[str, str] = field(default_factory=dict)
+    table_options: dict[str, str] = field(default_factory=dict)  # of the Parquet writer
 
     def table(self, name: str) -> str:
         return f"{self.root}/{self.generation}/tables/{name}"
@@ -58,8 +73,16 @@ class LakeConfig:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/{self.generation}/checkpoints/{name}"
 
-    def place(self, name: str) -> Place:
-        return Place(self.checkpoint(name), f"{self.root}/{self.generation}/counters/{name}")
+    def progress(self, name: str) -> str:
+        """The file in which a stream keeps which batches of the table before it has read."""
+        return f"{self.root}/{self.generation}/progress/{name}"
+
+    def batches(self, name: str) -> BatchTable:
+        """A streamed table; quarantine lies beside silver, as one pass over bronze makes both."""
+        if name == QUARANTINE:
+            name = SILVER
+        follow = tuple(self.progress(follower) for follower in FOLLOWERS[name])
+        return BatchTable(self.table(name), PARTS[name], follow)
 
     def sink(self) -> KafkaSink | JsonFileSink:
         return self.alert_sink or JsonFileSink(self.table(ALERT_SINK))

@@ -4,20 +4,21 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, replace
-from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from txnlake import files, schemas, session
 from txnlake.operators import gold, layout, validate
 from txnlake.plans import config
 from txnlake.plans.config import LakeConfig
-from txnlake.streaming import counters, layers
+from txnlake.streaming import layers
+from txnlake.streaming.batches import since
 
 # Names the generation that a full refresh has made the valid one.
 GENERATION = "current_generation"
+# The layers with rules, and the tables that have their counters.
+COUNTED = {"bronze": config.BRONZE, "silver": config.SILVER, "gold": config.ALERTS}
 
 
 @dataclass
@@ -25,7 +26,6 @@ class RunResult:
     """What a run left behind."""
 
     config: LakeConfig
-    gold_path: str
     checks: DataFrame
     violations: dict[str, dict[str, int]]
     summary: dict
@@ -38,50 +38,6 @@ def finish(*queries: StreamingQuery) -> list[StreamingQuery]:
     return list(queries)
 
 
-def refresh_gold(spark: SparkSession, cfg: LakeConfig) -> str:
-    """Renew the metric view into a new folder and give its path.
-
-    Only dates whose number of silver rows has changed are computed again; silver only grows, so the
-    others stand as they are in the last version.  Readers of that version are not disturbed; the
-    catalog entry moves once the new one is whole.  Versions before the last two are deleted.
-    """
-    folder = cfg.table(config.GOLD)
-    versions = files.children(spark, folder)
-    rows = layers.read_table(spark, cfg, config.SILVER)
-    path = f"{folder}/version={len(versions) and _number(versions[-1]) + 1:012d}"
-    if versions:
-        old = spark.read.schema(schemas.GOLD).parquet(versions[-1])
-        old = old.select(*schemas.names(schemas.GOLD))
-        dates = changed_dates(rows, old)
-        metrics = gold.merchant_analytics(rows.filter(_is_one_of("transaction_date", dates)))
-        metrics = metrics.unionByName(old.filter(~_is_one_of("transaction_date", dates)))
-    else:
-        metrics = gold.merchant_analytics(rows)
-    layout.write_clustered(metrics, config.GOLD, path)
-    for version in versions[:-1]:
-        files.delete(spark, version)
-    return path
-
-
-def _number(version: str) -> int:
-    return int(version.rsplit("=", 1)[1])
-
-
-def changed_dates(rows: DataFrame, old: DataFrame) -> list[date | None]:
-    """Dates that have another number of rows in silver than in the metrics: one entry a day."""
-    now = rows.groupBy("transaction_date").agg(F.count(F.lit(1)).alias("n"))
-    before = old.groupBy("transaction_date").agg(F.sum("total_transactions").alias("m"))
-    same_day = now["transaction_date"].eqNullSafe(before["transaction_date"])
-    joined = now.join(before, same_day, "left").filter("m IS NULL OR n <> m")
-    return [row[0] for row in joined.select(now["transaction_date"]).collect()]
-
-
-def _is_one_of(column: str, values: list) -> Column:
-    known = [value for value in values if value is not None]
-    found = F.coalesce(F.col(column).isin(known), F.lit(False)) if known else F.lit(False)
-    return found | F.col(column).isNull() if None in values else found
-
-
 def cluster(spark: SparkSession, cfg: LakeConfig, name: str) -> str:
     """Write a stored layer once more in clustered order, for readers that select by its columns."""
     path = f"{cfg.root}/{cfg.generation}/clustered/{name}/version={uuid.uuid4().hex}"
@@ -89,22 +45,29 @@ def cluster(spark: SparkSession, cfg: LakeConfig, name: str) -> str:
     return path
 
 
-def register(spark: SparkSession, cfg: LakeConfig, name: str, ddl: str, path: str) -> None:
-    """Point the catalog at a table's folder, with its comment and quality tag.
+def register(spark: SparkSession, cfg: LakeConfig, name: str) -> None:
+    """Point the catalog's view of a table at the folders that are live now.
 
-    An entry that exists is moved, never dropped, so readers always find the table.  Register a
-    stream's table before its first row: with folders in place Spark would infer the columns.
+    The view is replaced in one step, so readers always find it; before the first row it is empty.
+    The metric view merges the partial sums as it is read.
     """
-    table = f"{cfg.database}.{name}"
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    is_gold = name == config.GOLD
+    ddl = schemas.GOLD if is_gold else layers.SCHEMAS[name]
+    table = cfg.batches(config.SILVER if is_gold else name)
+    folders = table.folders(spark, "partials" if is_gold else config.PART_OF[name])
+    if folders:
+        inside = ",".join(folder.removeprefix(table.path + "/") for folder in folders)
+        relation = f"parquet.`{table.path}/{{{inside}}}`"
+        columns = ", ".join(schemas.names(ddl))
+        text = gold.merged_sql(relation) if is_gold else f"SELECT {columns} FROM {relation}"
     else:
-        spark.sql(
-            f"CREATE TABLE {table} ({ddl}) USING parquet LOCATION '{path}' "
-            f"COMMENT '{config.COMMENTS[name]}' "
-            f"TBLPROPERTIES ('quality' = '{config.QUALITY[name]}')"
-        )
-    spark.catalog.refreshTable(table)
+        fields = spark.createDataFrame([], ddl).schema.fields
+        empty = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in fields)
+        text = f"SELECT {empty} WHERE false"
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {cfg.database}.{name} COMMENT '{config.COMMENTS[name]}' "
+        f"TBLPROPERTIES ('quality' = '{config.QUALITY[name]}') AS {text}"
+    )
 
 
 def current(spark: SparkSession, cfg: LakeConfig) -> LakeConfig:
@@ -127,28 +90,21 @@ def run_once(spark: SparkSession, cfg: LakeConfig, full_refresh: bool = False) -
     if full_refresh:
         cfg = replace(cfg, generation=f"g{uuid.uuid4().hex[:12]}")
     validate.ensure_namespace(spark, cfg.database)
-    streamed = (config.BRONZE, config.SILVER, config.QUARANTINE, config.ALERTS)
-    for name in streamed:
+    for name in config.COMMENTS:
         if not spark.catalog.tableExists(f"{cfg.database}.{name}"):
-            register(spark, cfg, name, layers.SCHEMAS[name], cfg.table(name))
-
-    counted = {"bronze": config.BRONZE, "silver": config.SILVER, "gold": config.ALERTS}
-    places = {name: cfg.place(name) for name in counted.values()}
-    before = {name: counters.last_batch(spark, place) for name, place in places.items()}
-    with counters.recorded(spark, places):
-        finish(layers.start_bronze(spark, cfg))
-        finish(layers.start_silver(spark, cfg), layers.start_quarantine(spark, cfg))
-        finish(layers.start_alerts(spark, cfg), layers.start_alert_sink(spark, cfg))
-    gold_path = refresh_gold(spark, cfg)
-
-    for name in streamed:
-        register(spark, cfg, name, layers.SCHEMAS[name], cfg.table(name))
-    register(spark, cfg, config.GOLD, schemas.GOLD, gold_path)
+            register(spark, cfg, name)
+
+    before = counted(spark, cfg)
+    finish(layers.start_bronze(spark, cfg))
+    finish(layers.start_silver(spark, cfg))
+    finish(layers.start_alerts(spark, cfg), layers.start_alert_sink(spark, cfg))
+    for name in config.COMMENTS:
+        register(spark, cfg, name)
     if full_refresh:
         files.write_text(spark, f"{cfg.root}/{GENERATION}", cfg.generation)
 
-    tables = {name: layers.read_table(spark, cfg, name) for name in streamed}
-    tables[config.GOLD] = spark.read.schema(schemas.GOLD).parquet(gold_path)
+    tables = {name: layers.read_table(spark, cfg, name) for name in config.PART_OF}
+    tables[config.GOLD] = layers.read_gold(spark, cfg)
     summary = validate.run_summary(
         tables[config.BRONZE],
         tables[config.SILVER],
@@ -157,26 +113,27 @@ def run_once(spark: SparkSession, cfg: LakeConfig, full_refresh: bool = False) -
         tables[config.ALERTS],
     ).first()
     checked = validate.checks_of(summary, cfg.max_fraud_pct)
-    violations = {
-        layer: counters.violations(spark, places[name], layer, before[name])
-        for layer, name in counted.items()
-    }
+    now = counted(spark, cfg)
     result = RunResult(
         cfg,
-        gold_path,
         spark.createDataFrame(checked, validate.CHECK_SCHEMA),
-        violations,
+        {layer: since(now[layer], before[layer]).get(f"dq_{layer}", {}) for layer in COUNTED},
         summary.asDict(),
     )
     validate.enforce(checked, result)
     return result
 
 
+def counted(spark: SparkSession, cfg: LakeConfig) -> dict[str, dict]:
+    """Counters of the rules of each layer over all batches that its table has."""
+    return {layer: cfg.batches(name).totals(spark) for layer, name in COUNTED.items()}
+
+
 def start_all(spark: SparkSession, cfg: LakeConfig) -> list[StreamingQuery]:
     """Start every layer as a continuous query; each follows the table before it.
 
-    Tables a query reads must exist, so run `run_once` first.  The metric view stays a batch job:
-    call `refresh_gold` as often as it should be renewed.
+    Counters and partial sums come with every batch: `counted` and `layers.read_gold` show them at
+    any time, `register` moves the catalog's views on.
     """
     if not cfg.continuous:
         raise ValueError("set `continuous` to the interval between micro-batches")
@@ -185,7 +142,6 @@ def start_all(spark: SparkSession, cfg: LakeConfig) -> list[StreamingQuery]:
     starts = (
         layers.start_bronze,
         layers.start_silver,
-        layers.start_quarantine,
         layers.start_alerts,
         layers.start_alert_sink,
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +12,7 @@ from txnlake.functions.rules import COUNTRY_CURRENCY
 from txnlake.operators import detect, quality
 from txnlake.plans import config, lake
 from txnlake.plans.config import LakeConfig
-from txnlake.plans.runner import finish, refresh_gold
+from txnlake.plans.runner import counted, finish
 from txnlake.sources.kafka import FileSource
 from txnlake.streaming import counters, hops, layers, windows
 from txnlake.streaming.counters import Place
@@ -48,7 +49,7 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg, _ = _run(spark, sf_dir, "stream_quarantine", layers.start_bronze, layers.start_quarantine)
+    cfg, _ = _run(spark, sf_dir, "stream_quarantine", layers.start_bronze, layers.start_silver)
     return layers.read_table(spark, cfg, config.QUARANTINE)
 
 
@@ -73,24 +74,24 @@ def stream_alert_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
         layers.start_silver,
         layers.start_alert_sink,
     )
-    return spark.read.schema(schemas.ALERT_MESSAGES).json(cfg.table(config.ALERT_SINK))
+    return cfg.sink().read(spark)
 
 
 def stream_dq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored counters of the bronze and silver streams, summed over their batches."""
+    """Counters of the bronze and silver batches of one continuous stretch."""
     session.use_utc(spark)
     cfg = pipeline_config(spark, lake.landed_messages(spark, sf_dir), "stream_dq")
-    places = {name: cfg.place(name) for name in (config.BRONZE, config.SILVER)}
-    with counters.recorded(spark, places):
-        finish(layers.start_bronze(spark, cfg))
-        finish(layers.start_silver(spark, cfg))
-    rows = []
-    for name, layer, rules in (
-        (config.BRONZE, "bronze", quality.BRONZE_RULES),
-        (config.SILVER, "silver", quality.SILVER_RULES),
-    ):
-        sums = counters.violations(spark, places[name], layer)
-        rows += [(layer, r.name, r.action, sums["total"], sums[r.name]) for r in rules]
+    cfg = replace(cfg, continuous="0 seconds")
+    for start in (layers.start_bronze, layers.start_silver):
+        query = start(spark, cfg)
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    sums, rows = counted(spark, cfg), []
+    for layer, rules in (("bronze", quality.BRONZE_RULES), ("silver", quality.SILVER_RULES)):
+        own = sums[layer][f"dq_{layer}"]
+        rows += [(layer, r.name, r.action, own["total"], own[r.name]) for r in rules]
     columns = "layer STRING, rule STRING, action STRING, total BIGINT, violations BIGINT"
     return spark.createDataFrame(rows, columns)
 
@@ -107,9 +108,9 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_gold_merchant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The metric view recomputed from the silver table that a stream has written."""
+    """The metric view, merged from the partial sums that the silver stream has left."""
     cfg, _ = _run(spark, sf_dir, "stream_gold", layers.start_bronze, layers.start_silver)
-    return spark.read.schema(schemas.GOLD).parquet(refresh_gold(spark, cfg))
+    return layers.read_gold(spark, cfg)
 
 
 def _state_partitions(spark: SparkSession):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql import functions as F
 
 from txnlake import schemas
 
@@ -62,9 +62,15 @@ class FileSource:
         return reader.parquet(self.path)
 
 
+BATCH_HEADER = "batch"
+
+
 @dataclass(frozen=True)
 class KafkaSink:
-    """An outbound topic.  Delivery is at least once: consumers drop repeats by `transaction_id`."""
+    """An outbound topic.  Delivery is at least once; the header `batch` has the micro-batch.
+
+    Where a batch is sent again its messages come twice with the same number; `once` drops them.
+    """
 
     servers: str
     # Fixed value: topic name.
@@ -78,15 +84,34 @@ class KafkaSink:
             **self.extra,
         }
 
-    def writer(self, messages: DataFrame) -> DataStreamWriter:
-        return messages.writeStream.format("kafka").options(**self.options())
+    def send(self, messages: DataFrame, number: int) -> None:
+        header = F.struct(
+            F.lit(BATCH_HEADER).alias("key"), F.lit(str(number)).cast("binary").alias("value")
+        )
+        sent = messages.withColumn("headers", F.array(header))
+        sent.write.format("kafka").options(**self.options()).save()
 
 
 @dataclass(frozen=True)
 class JsonFileSink:
-    """JSON lines of `key` and `value`, for runs without a broker."""
+    """JSON lines of `key` and `value`, for runs without a broker: a folder for each micro-batch."""
 
     path: str
 
-    def writer(self, messages: DataFrame) -> DataStreamWriter:
-        return messages.writeStream.format("json").option("path", self.path)
+    def send(self, messages: DataFrame, number: int) -> None:
+        # A batch that is sent again replaces its own messages.
+        messages.write.mode("overwrite").json(f"{self.path}/{BATCH_HEADER}={number:012d}")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        rows = spark.read.schema(schemas.ALERT_MESSAGES).json(self.path)
+        return rows.select(*schemas.names(schemas.ALERT_MESSAGES))
+
+
+def once(messages: DataFrame, time: str = "timestamp", within: str = "1 hour") -> DataFrame:
+    """A stream of alert messages, each alert once: repeats come within that time of event time.
+
+    `messages` has `value`, the JSON of the alert, and a timestamp column.
+    """
+    key = F.get_json_object(F.col("value").cast("string"), "$.transaction_id")
+    marked = messages.withColumn("_alert", key).withWatermark(time, within)
+    return marked.dropDuplicatesWithinWatermark(["_alert"]).drop("_alert")

@@ -1,4 +1,4 @@
-"""Counters of every micro-batch, kept in a table folder of their own.
+"""Late rows of every micro-batch of a stateful query, kept in a folder of their own.
 
 Spark keeps a limited number of progress reports.  Here each report is written out as it comes, one
 small file for each batch, and sums are taken over the files.  A batch that is repeated overwrites
@@ -38,12 +38,11 @@ class _Writer(StreamingQueryListener):
         place = self.places.get(report.name)
         if place is None:
             return
-        found = {name: row.asDict() for name, row in report.observedMetrics.items()}
         late = sum(state.numRowsDroppedByWatermark for state in report.stateOperators)
         path = f"{place.counters}/{report.batchId}"
-        # A report without metrics (an idle trigger) does not replace one that has them.
-        if found or late or not files.exists(self.spark, path):
-            files.write_text(self.spark, path, json.dumps({"observed": found, "late": late}))
+        # A report without late rows (an idle trigger) does not replace one that has them.
+        if late or not files.exists(self.spark, path):
+            files.write_text(self.spark, path, json.dumps({"late": late}))
 
     def onQueryStarted(self, event):
         pass
@@ -59,14 +58,15 @@ class _Writer(StreamingQueryListener):
 def recorded(spark: SparkSession, places: dict[str, Place]) -> Iterator[None]:
     """Record the queries of these names for the length of a `with` block."""
     writer = _Writer(spark, places)
+    before = {name: last_batch(spark, place) for name, place in places.items()}
     spark.streams.addListener(writer)
     try:
         yield
         # Reports come a little after the queries end.
         until = time.monotonic() + WAIT_SECONDS
-        while any(missing(spark, place) for place in places.values()):
+        while any(missing(spark, place, before[name]) for name, place in places.items()):
             if time.monotonic() > until:
-                break
+                raise TimeoutError(f"no counters of the last batches of {sorted(places)}")
             time.sleep(0.05)
     finally:
         spark.streams.removeListener(writer)
@@ -82,17 +82,17 @@ def last_batch(spark: SparkSession, place: Place) -> int:
     return max(_numbers(spark, f"{place.checkpoint}/commits"), default=-1)
 
 
-def missing(spark: SparkSession, place: Place) -> set[int]:
-    """Batches up to the last committed one without counters.
+def missing(spark: SparkSession, place: Place, after: int = -1) -> set[int]:
+    """Batches after a given one, up to the last committed one, without counters.
 
     Spark clears old entries of a checkpoint, so their numbers are counted, not listed.
     """
-    wanted = set(range(last_batch(spark, place) + 1))
+    wanted = set(range(after + 1, last_batch(spark, place) + 1))
     return wanted - _numbers(spark, place.counters)
 
 
 def _reports(spark: SparkSession, place: Place, after: int) -> list[dict]:
-    gone = {number for number in missing(spark, place) if number > after}
+    gone = missing(spark, place, after)
     if gone:
         raise RuntimeError(f"no counters of batches {sorted(gone)[:5]} in {place.counters}")
     numbers = sorted(n for n in _numbers(spark, place.counters) if n > after)
@@ -100,15 +100,6 @@ def _reports(spark: SparkSession, place: Place, after: int) -> list[dict]:
     return [json.loads(text) for text in texts]
 
 
-def violations(spark: SparkSession, place: Place, layer: str, after: int = -1) -> dict[str, int]:
-    """Metric `dq_<layer>` summed over the batches after a given one; raises where any is missing."""
-    sums: dict[str, int] = {}
-    for report in _reports(spark, place, after):
-        for name, count in report["observed"].get(f"dq_{layer}", {}).items():
-            sums[name] = sums.get(name, 0) + count
-    return sums
-
-
 def late_rows(spark: SparkSession, place: Place, after: int = -1) -> int:
     """Rows that came after the watermark, summed over the batches after a given one."""
     return sum(report["late"] for report in _reports(spark, place, after))
