@@ -124,3 +124,43 @@ def test_without_labels_or_rows(spark, tmp_path):
     assert language.known_rows(docs).count() == 0
     empty = documents(spark, tmp_path, [])
     assert language.predict(empty, language.fit(empty)).count() == 0
+
+
+def plain_subwords(text, buckets=language.BUCKETS):
+    """Buckets of one text, byte by byte."""
+    letters = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in text.lower().encode())
+    padded, mask, found = b" " + letters + b"  ", (1 << 32) - 1, []
+
+    def bucket(h):
+        h ^= h >> 15
+        return (h * 0x2C1B3C6D & mask) >> (32 - buckets.bit_length() + 1)
+
+    for i in range(1, len(letters) + 1):
+        if padded[i] == 0x20:
+            continue
+        a, b, c, d = *padded[i - 1 : i + 2], (padded + b" ")[i + 2]
+        three = (a * 0x01000193 & mask) ^ (b * 0x9E3779B1 & mask) ^ (c * 0x85EBCA6B & mask)
+        found.append(bucket(three))
+        if c != 0x20:
+            found.append(bucket((three + 0x27D4EB2F & mask) ^ (d * 0xC2B2AE35 & mask)))
+    return found
+
+
+def test_scores_against_a_plain_computation(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    names = ["aa", "bb", "cc"]
+    scores = rng.normal(0, 3, (language.BUCKETS, 3)).astype(np.float32)
+    model = language.Model(names, scores, rng.normal(0, 1, 3).astype(np.float32))
+    texts = ["the cat sat", "a", "ÉTÉ été 12", "x" * 500, "12 !!", "", None, "über alles, und so"]
+    docs = documents(spark, tmp_path, texts)
+    for r in language.predict(docs, model).collect():
+        text = texts[r.doc_id]
+        if not re.search(r"[^\W\d_]", text or ""):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        mean = np.mean([scores[b].astype(float) for b in plain_subwords(text)], axis=0)
+        chance = np.exp(mean + model.bias)
+        chance /= chance.sum()
+        assert r.lang_pred == names[int(chance.argmax())]
+        assert abs(r.score - chance.max()) < 1e-9
+        assert r.rejected == (chance.max() < language.MIN_SCORE)

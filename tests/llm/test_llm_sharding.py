@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from helpers import saved
+from pyspark.sql import functions as F
 
 from txnlake.llm import sharding
 from txnlake.llm.sharding import interleave
@@ -108,3 +109,29 @@ def test_rows_of_a_hot_id_are_spread_and_others_keep_their_place(spark, tmp_path
 
 def test_law_on_all_documents(spark, sf_dir):
     check_laws(interleave(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect())
+
+
+def test_against_a_plain_ranking(spark, tmp_path):
+    """One sort within each source, one over all fractions, and equal cuts."""
+    shares = [("hot", 34), (None, 40), ("", 47), ("tail", 48), ("rest", 100)]
+    docs = table(spark, tmp_path, 1100, shares)
+    seed, shards = sharding.SEED, 24
+    hashed = docs.select(
+        "doc_id", "source", "text", F.xxhash64(F.lit(seed), "doc_id").alias("hash"),
+        F.xxhash64(F.lit(seed), F.col("source").isNull(), F.coalesce("source", F.lit(""))).alias("of"),
+    ).collect()
+    groups = defaultdict(list)
+    for r in hashed:
+        groups[r.source is None, r.source or "", r.of].append(r)
+    line = []
+    for (is_null, source, of), rows in groups.items():
+        moved = ((of & (1 << 64) - 1) >> 11) / 2.0**53
+        for rank, r in enumerate(sorted(rows, key=lambda r: r.hash)):
+            line.append(((rank + moved) / len(rows), is_null, source, r.hash, r.doc_id))
+    line.sort()
+    total = len(line)
+    wanted = {}
+    for at, row in enumerate(line):
+        shard = at * shards // total
+        wanted[row[-1]] = (shard, at - (shard * total + shards - 1) // shards)
+    assert {r.doc_id: (r.shard, r.slot) for r in interleave(docs).collect()} == wanted

@@ -104,9 +104,77 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha2
 """
 
 
+# crc32 of the digits of an id, bit by bit, as SQL has no function for it.
+CRC32 = """xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT,
+            list_transform(string_split(c::VARCHAR, ''), lambda ch: ord(ch)::BIGINT)),
+        lambda crc, b: list_reduce(
+            list_prepend(xor(crc, b), range(8)),
+            lambda v, k: xor(v >> 1, 3988292384::BIGINT * (v & 1))
+        )
+    ))"""
+
+CONVERSATION_TRIE = f"""
+WITH turns AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+convs AS (
+    SELECT c, c - c % 5 AS donor, {CRC32} % 9 AS h FROM (SELECT DISTINCT c FROM turns)
+),
+spliced AS (
+    SELECT v.c, 0 AS part, i, role, text FROM convs v JOIN turns t ON t.c = v.donor AND i <= h
+    UNION ALL
+    SELECT v.c, 1, i, role, text FROM convs v JOIN turns t ON t.c = v.c AND i > h
+),
+rebuilt AS (
+    SELECT c, text, sha256(sha256(role) || sha256(text)) AS own,
+        row_number() OVER (PARTITION BY c ORDER BY part, i) AS d
+    FROM spliced
+),
+prefixes AS (
+    SELECT c, d, strlen(text) AS bytes,
+        sha256(string_agg(own, '') OVER (PARTITION BY c ORDER BY d)) AS k
+    FROM rebuilt
+    UNION ALL
+    SELECT c, 0, 0, '' FROM convs
+),
+ends AS (
+    SELECT d, k, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids
+    FROM (SELECT *, max(d) OVER (PARTITION BY c) AS last FROM prefixes) WHERE d = last
+    GROUP BY d, k
+),
+nodes AS (
+    SELECT d, k, min(c) AS c, count(*) AS n_convs, min(bytes) AS bytes FROM prefixes GROUP BY d, k
+),
+parents AS (
+    SELECT n.d, n.k, p.k AS up FROM nodes n JOIN prefixes p ON p.c = n.c AND p.d = n.d - 1
+),
+children AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM parents GROUP BY ALL),
+subtrees AS (
+    SELECT p.d, p.k, count(*) FILTER (WHERE f.n_children IS NULL) AS n_leaves,
+        sum((n.n_convs - 1) * n.bytes) AS saved
+    FROM nodes n LEFT JOIN children f ON f.d = n.d AND f.k = n.k
+        JOIN prefixes p ON p.c = n.c AND p.d <= n.d
+    GROUP BY p.d, p.k
+)
+SELECT n.c AS conv_id, n.d AS depth, m.c AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+    coalesce(f.n_children, 0)::BIGINT AS n_children, t.n_leaves::BIGINT AS n_leaves,
+    t.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n
+JOIN subtrees t ON t.d = n.d AND t.k = n.k
+LEFT JOIN parents p ON p.d = n.d AND p.k = n.k
+LEFT JOIN nodes m ON m.d = n.d - 1 AND m.k = p.up
+LEFT JOIN children f ON f.d = n.d AND f.k = n.k
+LEFT JOIN ends e ON e.d = n.d AND e.k = n.k
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": DECONTAMINATION,
         "op5_line_dedup": LINE_DEDUP,
         "op8_exact_dedup": EXACT_DEDUP,
+        "op13_conversation_trie": CONVERSATION_TRIE,
     }
