@@ -306,6 +306,10 @@ def test_a_repeated_batch_gives_the_same_hops(spark, tmp_path):
     for _ in range(3):
         stream.take(second, 1)
         assert {r.transaction_id for r in stream.result(spark).collect()} == {"tx-2", "tx-3"}
+    # A state that has no watermark yet is not looked at.
+    waiting = sorted(map(str, stream.with_waiting(spark).collect()))
+    spark.createDataFrame([], hops.STATE_SCHEMA).write.parquet(f"{tmp_path}/hops/state/version=2")
+    assert sorted(map(str, stream.with_waiting(spark).collect())) == waiting
 
 
 def test_random_hops_in_random_arrivals(spark, tmp_path):

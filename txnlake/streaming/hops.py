@@ -106,7 +106,9 @@ class HopStream:
     def with_waiting(self, spark: SparkSession) -> DataFrame:
         """The hops decided so far, and those of waiting rows as if no other row could come."""
         versions = files.children(spark, f"{self.root}/state")
-        numbers = [int(path.rsplit("=", 1)[1]) for path in versions]
+        # A version without its watermark is still being written.
+        whole = [path for path in versions if files.exists(spark, f"{path}/{MARK}")]
+        numbers = [int(path.rsplit("=", 1)[1]) for path in whole]
         if not numbers:
             return self.result(spark)
         state, _ = self._read_state(spark, max(numbers))
