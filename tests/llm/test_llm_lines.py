@@ -108,3 +108,15 @@ def test_one_edit(spark):
     rows = spark.createDataFrame(pairs, "a array<string>, b array<string>")
     for r in rows.select("a", "b", within_one_edit(F.col("a"), F.col("b")).alias("near")).collect():
         assert r.near == one_edit(r.a, r.b), r
+
+
+def test_lines_of_200000_words(spark, tmp_path):
+    line = [f"w{i}" for i in range(200_000)]
+    other, shorter = line[:], line[:]
+    other[150_000] = "other"
+    del shorter[700]
+    far = other[:]
+    far[3] = far[100_000] = "far"
+    docs = documents(spark, tmp_path, [" ".join(w) for w in (line, other, shorter, far)])
+    found = {r.doc_id: (r.n_lines, r.n_kept) for r in dedup_lines(docs).collect()}
+    assert found == {0: (1, 1), 1: (1, 0), 2: (1, 0), 3: (1, 1)}

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from txnlake.llm.common import RID, numbered, nulls_last, stored
 
 MIN_WORDS = 8
+BLOCK = 256  # words of a long line that are hashed at a time; no effect on the result
 WHITE_SPACE = r"[\x20\x09\x0B-\x0D]+"
 
 
@@ -47,13 +48,52 @@ def _half_keys(n: Column) -> Column:
     return F.array(front(n), rear(n), front(n + 1), rear(n + 1))
 
 
-def _running(words: Column) -> Column:
-    """Hashes of the first 0, 1, 2, ... words."""
-    return F.aggregate(
-        words,
-        F.array(F.lit(0).cast("long")),
-        lambda all_, w: F.concat(all_, F.array(F.xxhash64(F.element_at(all_, -1), w))),
+def _running(words: Column, side: int = 1) -> Column:
+    """Hashes of the first 0, 1, 2, ... words, each of the one before and the next word.
+
+    With `side` -1 of the last words, from the end on.  Every step copies the hashes it adds to, so
+    a long line is hashed in blocks of words: first the hash that each block starts from, then the
+    hashes within each block.  `words` has to be a column, not made anew at every use.
+    """
+
+    def one_more(hashes: Column, word: Column) -> Column:
+        return F.concat(hashes, F.array(F.xxhash64(F.element_at(hashes, -1), word)))
+
+    def places(block: Column) -> Column:
+        return F.sequence(block * BLOCK + 1, F.least(block * BLOCK + BLOCK, F.size(words)))
+
+    zero = F.lit(0).cast("long")
+    blocks = F.sequence(F.lit(0), F.floor((F.size(words) - 1) / BLOCK).cast("int"))
+    starts = F.aggregate(
+        blocks,
+        F.array(zero),
+        lambda all_, block: F.concat(
+            all_,
+            F.array(
+                F.aggregate(
+                    places(block),
+                    F.element_at(all_, -1),
+                    lambda last, at: F.xxhash64(last, F.element_at(words, at * side)),
+                )
+            ),
+        ),
+    )
+
+    def within(block: Column, start: Column) -> Column:
+        hashes = F.aggregate(
+            places(block),
+            F.array(start),
+            lambda all_, at: one_more(all_, F.element_at(words, at * side)),
+        )
+        return F.slice(hashes, 2, BLOCK)
+
+    paired = F.arrays_zip(blocks.alias("block"), F.slice(starts, 1, F.size(blocks)).alias("start"))
+    long_line = F.concat(
+        F.array(zero),
+        F.flatten(F.transform(paired, lambda b: within(b["block"], b["start"]))),
     )
+    short_line = F.aggregate(words if side > 0 else F.reverse(words), F.array(zero), one_more)
+    return F.when(F.size(words) <= BLOCK, short_line).otherwise(long_line)
 
 
 def _variants(lines: DataFrame) -> DataFrame:
@@ -86,7 +126,7 @@ def _variants(lines: DataFrame) -> DataFrame:
         "matched",
         F.size("w").alias("n"),
         _running(F.col("w")).alias("ahead"),
-        _running(F.reverse("w")).alias("behind"),
+        _running(F.col("w"), -1).alias("behind"),
     )
     return hashed.select(F.explode(keys).alias("key"), "no")
 
