@@ -94,6 +94,36 @@ def test_rules_and_matches_against_brute_force(spark, tmp_path):
         assert best.get(i) == (pytest.approx(max(fits)) if fits else None)
 
 
+def test_pages_with_30_common_query_keys(spark, tmp_path):
+    """Keys on blocked pages only; keys that always come together; keys on allowed pages."""
+    sure = [f"query:s{i:02}" for i in range(30)]
+    often = [f"query:o{i:02}" for i in range(30)]
+    fine = [f"query:f{i:02}" for i in range(30)]
+    rows = [(["host:a", *sure[: 30 - i % 2]], True) for i in range(40)]
+    rows += [(["host:b", *often, f"path:{i % 3}"], i % 3 < 2 or i > 50) for i in range(60)]
+    rows += [(["host:c", *fine[i % 2 :]], False) for i in range(100)]
+    table = saved(spark, tmp_path, rows, "tokens array<string>, blocked boolean")
+    found = {tuple(r.tokens): r.confidence for r in mine(table, 0.02, 0.6, 1.2, 15).collect()}
+    together = {("host:b",), *((key,) for key in often)}
+    certain = {("host:a",), ("path:0",), ("path:1",), *((key,) for key in sure)}
+    assert set(found) == together | certain
+    assert all(found[key] == 1.0 for key in certain)
+    assert all(found[key] == pytest.approx(43 / 60) for key in together)
+
+
+def test_rules_of_tokens_that_come_together_against_brute_force(spark, tmp_path):
+    rows = []
+    for i in range(200):
+        tokens = {f"host:h{i % 5}", f"path:p{i % 3}", f"path:q{i % 3}", f"query:k{i % 4}"}
+        if i % 5 == 1:
+            tokens |= {"host:x", "host:y"}
+        rows.append((sorted(tokens), (i % 5 == 1 and i % 3 == 2 and i % 8 != 1) or i % 23 == 0))
+    table = saved(spark, tmp_path, rows, "tokens array<string>, blocked boolean")
+    wanted = brute_mine(rows, 0.02, 0.6, 1.5)
+    found = {tuple(r.tokens): r.confidence for r in mine(table, 0.02, 0.6, 1.5, 1).collect()}
+    assert found == pytest.approx(wanted)
+    assert ("host:x", "path:q2") in found or ("host:h1", "path:p2") in found
+
 def test_mined_rules_decide_where_no_fixed_one_does(spark, tmp_path):
     rows, labels = [], []
     for i in range(200):

@@ -8,6 +8,8 @@ filed under one of its tokens and keeps those whose tokens it has all.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,8 @@ MIN_SUPPORT = 0.001  # of the labelled pages
 MIN_COUNT = 20  # labelled pages that a rule has to be seen on, however few there are
 MIN_CONFIDENCE = 0.6
 MIN_LIFT = 1.5  # of the share of blocked pages, or by which the share of the others has to fall
+RULE_COLUMNS = ["rule_id", "tokens", "confidence", "support", "lift"]
+RULE_SCHEMA = "rule_id long, tokens array<string>, confidence double, support double, lift double"
 ALL_A_TO_Z = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -91,36 +95,120 @@ def mine(
     """Rules from rows (tokens, blocked): rule_id, tokens, confidence, support, lift.
 
     Where most rows are blocked no rule can reach the lift; there it is enough when the share of rows
-    that are not blocked is `min_lift` times smaller than in the whole.  Rows without a label or without tokens teach nothing; no labelled rows give no rules.
+    that are not blocked is `min_lift` times smaller than in the whole.  Rows without a label or
+    without tokens teach nothing; no labelled rows give no rules.
+
+    FP-growth finds all sets of tokens, 2^k of k tokens that come together.  Three kinds of tokens
+    are thus taken out of the baskets before, which changes no rule: tokens on too few blocked pages;
+    tokens that are on blocked pages only, as a rule of more tokens says no more than the token
+    alone; and all but one of the tokens that are on the same pages, whose rules are spelt out for
+    the others afterwards.
+    """
+    known = labelled.filter(F.col("blocked").isNotNull() & (F.size("tokens") > 0)).select(
+        F.array_sort(F.array_distinct("tokens")).alias("tokens"), "blocked"
+    )
+    known = stored(known, "url-baskets")
+    n, n_blocked = known.agg(F.count(F.lit(1)), F.count_if("blocked")).first()
+    if n < min_count or not n_blocked:
+        return known.sparkSession.createDataFrame([], RULE_SCHEMA)
+    share = max(min_support, min_count / n)
+    base = n_blocked / n
+    lift = F.col("confidence") / base
+    fewer = (lift > 1) & ((1 - F.col("confidence")) * min_lift <= 1 - base)
+    tells = (F.col("confidence") >= min_confidence) & ((lift >= min_lift) | fewer)
+    tokens = stored(_token_counts(known, math.ceil(share * n)), "url-tokens")
+    sure = tokens.filter("blocked = n").select(
+        F.array("token").alias("tokens"),
+        F.lit(1.0).alias("confidence"),
+        (F.col("blocked") / n).alias("support"),
+    )
+    groups = stored(_groups(tokens.filter("blocked < n")), "url-groups")
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(
+        stored(_baskets(known, groups), "url-items")
+    )
+    found = model.associationRules.filter(
+        (F.size("consequent") == 1) & (F.col("consequent")[0] == LABEL) & tells
+    ).select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
+    found = _without_redundant(stored(_with_id(found), "url-rules"))
+    rules = _spelt_out(found, groups).unionByName(sure.filter(tells))
+    return _with_id(rules.withColumn("lift", lift)).select(*RULE_COLUMNS)
+
+
+def _with_id(rules: DataFrame) -> DataFrame:
+    return rules.withColumn("rule_id", F.xxhash64("tokens"))
+
+
+def _token_counts(known: DataFrame, least: int) -> DataFrame:
+    """Tokens on at least so many blocked pages: token, n, blocked, same.
+
+    No other token is in a rule.  `same` is equal for tokens that are on the same pages.
     """
-    baskets = labelled.filter(F.col("blocked").isNotNull() & (F.size("tokens") > 0)).select(
-        F.when(F.col("blocked"), F.concat("tokens", F.array(F.lit(LABEL))))
-        .otherwise(F.col("tokens"))
-        .alias("items")
-    )
-    schema = (
-        "rule_id long, tokens array<string>, confidence double, support double, lift double"
-    )
-    baskets = stored(baskets, "url-baskets")
-    n = baskets.count()
-    if n < min_count:
-        return baskets.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(
-        itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence
-    ).fit(baskets)
-    base = F.col("confidence") / F.col("lift")
-    fewer = (F.col("lift") > 1) & ((1 - F.col("confidence")) * min_lift <= 1 - base)
-    found = (
-        model.associationRules.filter(
-            (F.size("consequent") == 1)
-            & (F.col("consequent")[0] == LABEL)
-            & ((F.col("lift") >= min_lift) | fewer)
+    sets = known.groupBy("tokens").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("blocked").alias("blocked")
+    )
+    hashed = sets.select(
+        F.explode("tokens").alias("token"),
+        "n",
+        "blocked",
+        F.xxhash64("tokens").alias("h1"),
+        F.xxhash64(F.lit(1), "tokens").alias("h2"),
+    )
+    return (
+        hashed.groupBy("token")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("blocked").alias("blocked"),
+            F.struct(F.bit_xor("h1"), F.bit_xor("h2"), F.sum("n"), F.sum("blocked")).alias("same"),
         )
-        .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support", "lift")
-        .withColumn("rule_id", F.xxhash64("tokens"))
-        .select("rule_id", "tokens", "confidence", "support", "lift")
+        .filter(F.col("blocked") >= least)
+    )
+
+
+def _groups(tokens: DataFrame) -> DataFrame:
+    """Tokens that are on the same pages as one: item (the first of them), members."""
+    return tokens.groupBy("same").agg(
+        F.min("token").alias("item"), F.array_sort(F.collect_list("token")).alias("members")
+    ).select("item", "members")
+
+
+def _baskets(known: DataFrame, groups: DataFrame) -> DataFrame:
+    """A row (items) for each labelled page: its tokens that are the first of a group, and the label."""
+    rows = known.withColumn("row", F.monotonically_increasing_id())
+    rows = stored(rows, "url-rows")
+    picked = (
+        rows.select("row", F.explode("tokens").alias("item"))
+        .join(groups.select("item"), "item")
+        .groupBy("row")
+        .agg(F.collect_set("item").alias("items"))
+    )
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    return rows.join(picked, "row", "left").select(
+        F.when(F.col("blocked"), F.concat(items, F.array(F.lit(LABEL)))).otherwise(items).alias("items")
+    )
+
+
+def _spelt_out(rules: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rules of tokens: one token of each group of a rule, in every way."""
+    choices = (
+        rules.select("rule_id", F.explode("tokens").alias("item"))
+        .join(groups, "item")
+        .groupBy("rule_id")
+        .agg(F.collect_list("members").alias("of"))
+    )
+    ways = F.aggregate(
+        "of",
+        F.array(F.array().cast("array<string>")),
+        lambda ways, members: F.flatten(
+            F.transform(
+                ways,
+                lambda way: F.transform(members, lambda token: F.concat(way, F.array(token))),
+            )
+        ),
+    )
+    spelt = choices.select("rule_id", F.explode(ways).alias("way"))
+    return rules.join(spelt, "rule_id").select(
+        F.array_sort("way").alias("tokens"), "confidence", "support"
     )
-    return _without_redundant(stored(found, "url-rules"))
 
 
 def _filed(rules: DataFrame) -> DataFrame:
