@@ -1,7 +1,10 @@
 import html as entities
 import itertools
+import os
 import random
 import re
+import time
+import tracemalloc
 
 import numpy as np
 from helpers import saved
@@ -108,12 +111,40 @@ def test_the_cut_is_minimal():
 
 
 def test_smoothness_moves_a_doubtful_block():
-    path = (1, 2)
-    blocks = [(f"b{i}", 0, (*path, 10 + i)) for i in range(3)]
+    parent = H._Place(H._Place(H._Place()))
+    blocks = [(f"b{i}", 0, H._Place(parent)) for i in range(3)]
     assert H.content_side([4.0, -0.2, 4.0], H.smoothness(blocks)) == [True, True, True]
     assert H.content_side([4.0, -5.0, 4.0], H.smoothness(blocks)) == [True, False, True]
 
 
+def test_distance_against_paths():
+    """Steps between two elements by the numbers of all elements around each."""
+    rng = random.Random(5)
+    places, paths = [H._Place()], [()]
+    for i in range(200):
+        k = rng.randrange(max(0, i - 5), i + 1)
+        places.append(H._Place(places[k]))
+        paths.append((*paths[k], i))
+    for _ in range(500):
+        i, j = rng.randrange(201), rng.randrange(201)
+        shared = len(os.path.commonprefix([paths[i], paths[j]]))
+        assert H.distance(places[i], places[j]) == len(paths[i]) + len(paths[j]) - 2 * shared
+
+
+def test_30000_open_elements():
+    few = "Some more words of this article, in a block of their own."
+    page = "<article>" + f"<div>{few}" * 30_000 + "</em>" * 30_000 + "<td>" * 30_000
+    tracemalloc.start()
+    began = time.monotonic()
+    text = H.main_text(page, PRIOR)
+    seconds, (_, peak) = time.monotonic() - began, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert text == "\n".join([few] * 30_000)
+    assert peak < 100e6 and seconds < 60
+    mixed = "<nav><a href=x>Home</a></nav>" + f"<div><p>{few}<p><a href=x>Link</a>" * 10_000
+    assert H.main_text(mixed, PRIOR)
+
+
 SCHEMA = "page_id long, url string, html string, text string, place string"
 
 

@@ -14,7 +14,7 @@ where there are any; a cue that the sample does not show keeps its prior weight.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -127,14 +127,37 @@ def _name_bits(attributes: list[tuple[str, str | None]], in_article: bool) -> in
 _BOILERPLATE, _CONTENT = set(BOILERPLATE_WORDS), set(CONTENT_WORDS)
 
 
+class _Place:
+    """An element that is no phrase, by its parent and depth; the page itself has depth 0."""
+
+    __slots__ = ("parent", "depth")
+
+    def __init__(self, parent: _Place | None = None):
+        self.parent = parent
+        self.depth = parent.depth + 1 if parent else 0
+
+
+def distance(a: _Place, b: _Place) -> int:
+    """Steps from one element to the other through the tree."""
+    steps = 0
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return steps
+
+
 class _Blocks(HTMLParser):
-    """Collects (text, cues, path) of the blocks of a page; a path is the numbers of its parents."""
+    """Collects (text, cues, place) of the blocks of a page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, int]] = []  # tag, cues, number
-        self.number = 0
-        self.blocks: list[tuple[str, int, tuple[int, ...]]] = []
+        self.page = _Place()
+        self.stack: list[tuple[str, int, _Place]] = []  # tag, cues, innermost place
+        self.open: Counter[str] = Counter()
+        self.blocks: list[tuple[str, int, _Place]] = []
         self.parts: list[str] = []
         self.linked = 0
         self.unseen = 0
@@ -143,6 +166,9 @@ class _Blocks(HTMLParser):
     def cues(self) -> int:
         return self.stack[-1][1] if self.stack else 0
 
+    def place(self) -> _Place:
+        return self.stack[-1][2] if self.stack else self.page
+
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
@@ -157,8 +183,7 @@ class _Blocks(HTMLParser):
                 bits |= BIT["mostly links"]
             if 10 * self.linked > 9 * len(text):
                 bits |= BIT["all links"]
-            blocks = tuple(n for t, _, n in self.stack if t not in PHRASE)
-            self.blocks.append((text, bits, blocks))
+            self.blocks.append((text, bits, self.place()))
         self.parts, self.linked = [], 0
 
     def end_implied(self, tag: str) -> None:
@@ -173,8 +198,10 @@ class _Blocks(HTMLParser):
                 if self.stack[i][0] not in PHRASE:
                     break
         ended, within = IMPLIED_ENDS.get(tag, ((), ()))
+        if not any(self.open[t] for t in ended):
+            return
         for i in range(len(self.stack) - 1, -1, -1):
-            if not ended or self.stack[i][0] in within:
+            if self.stack[i][0] in within:
                 break
             if self.stack[i][0] in ended:
                 self.leave(i)
@@ -188,7 +215,6 @@ class _Blocks(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
-        self.number += 1
         bits = self.cues() & ~(BIT["paragraph"] | BIT["heading"] | BIT["list item"])
         if tag in INLINE:
             bits = self.cues()
@@ -210,17 +236,22 @@ class _Blocks(HTMLParser):
             bits |= _name_bits(attrs, bool(bits & BIT["in article"]))
         self.unseen += tag in UNSEEN
         self.links += tag == "a"
-        self.stack.append((tag, bits, self.number))
+        self.open[tag] += 1
+        place = self.place() if tag in PHRASE else _Place(self.place())
+        self.stack.append((tag, bits, place))
 
     def leave(self, depth: int) -> None:
         for tag, _, _ in self.stack[depth:]:
             self.unseen -= tag in UNSEEN
             self.links -= tag == "a"
+            self.open[tag] -= 1
         del self.stack[depth:]
 
     def handle_endtag(self, tag):
         if tag not in PHRASE:
             self.flush()
+        if not self.open[tag]:
+            return
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
                 self.leave(i)
@@ -235,7 +266,7 @@ class _Blocks(HTMLParser):
                 self.linked += len(data.strip())
 
 
-def blocks_of(html: str) -> list[tuple[str, int, tuple[int, ...]]]:
+def blocks_of(html: str) -> list[tuple[str, int, _Place]]:
     parser = _Blocks()
     parser.feed(html)
     parser.close()  # gives out what is left
@@ -248,16 +279,10 @@ def smoothness(blocks) -> list[tuple[int, int, float]]:
     edges, last_below = [], {}
 
     def weight(i, j):
-        a, b = blocks[i][2], blocks[j][2]
-        shared = 0
-        for x, y in zip(a, b, strict=False):
-            if x != y:
-                break
-            shared += 1
-        return SMOOTHNESS / (1 + len(a) + len(b) - 2 * shared)
+        return SMOOTHNESS / (1 + distance(blocks[i][2], blocks[j][2]))
 
-    for i, (_, _, path) in enumerate(blocks):
-        parent = path[:-1]
+    for i, (_, _, place) in enumerate(blocks):
+        parent = place.parent or place
         before = last_below.get(parent)
         if i:
             edges.append((i - 1, i, weight(i - 1, i)))
