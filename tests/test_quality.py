@@ -100,6 +100,24 @@ def test_bronze_summary(spark):
         assert (row.total_rows, row.unique_accounts, row.null_payloads) == (17, 3, 1)
 
 
+def test_bronze_summary_from_sketches(spark):
+    rows = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 10 > 0 THEN concat('acc-', id % 25013) END AS kafka_key",
+        "CASE WHEN id % 7 > 0 THEN 'x' END AS raw_value",
+        "CASE WHEN id % 11 > 0 THEN timestamp_seconds(1704067200 + id * 13) END AS kafka_timestamp",
+    )
+    sketches = reports.bronze_sketches(rows)
+    assert sketches.count() == 11  # ten dates and the rows without one
+    halves = [reports.bronze_sketches(rows.filter(f"hash(kafka_timestamp) % 2 {x} 0")) for x in ("=", "<>")]
+    for stored in (sketches, halves[0].unionByName(halves[1])):
+        found = reports.summary_of_sketches(stored).first().asDict()
+        exact = reports.bronze_summary(rows).first().asDict()
+        assert abs(found["unique_accounts"] / exact["unique_accounts"] - 1) < 0.02
+        assert {**found, "unique_accounts": 0} == {**exact, "unique_accounts": 0}
+    assert reports.summary_of_sketches(sketches.limit(0)).first().total_rows == 0
+    assert reports.bronze_summary(rows.limit(0)).first().total_rows == 0
+
+
 def test_namespace(spark):
     assert validate.ensure_namespace(spark, "txnlake_namespace_test")
     assert validate.ensure_namespace(spark, "txnlake_namespace_test")

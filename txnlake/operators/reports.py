@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from txnlake import schemas
 from txnlake.operators.gold import GROUP_KEYS
 
+SKETCH_BITS = 14  # 2^14 registers: a standard error of 0.8 %
+
 
 def bronze_preview(bronze: DataFrame, rows: int = 10) -> DataFrame:
     """The first messages by topic position."""
@@ -27,6 +29,33 @@ def bronze_summary(bronze: DataFrame, approximate: bool = False) -> DataFrame:
     )
 
 
+def bronze_sketches(bronze: DataFrame) -> DataFrame:
+    """What the summary needs of each date, mergeable: counts, time range and a sketch of the keys.
+
+    A sketch has 16 KB at most, whatever the number of keys; messages without a time have a NULL date.
+    """
+    return bronze.groupBy(F.to_date("kafka_timestamp").alias("message_date")).agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        F.hll_sketch_agg("kafka_key", SKETCH_BITS).alias("accounts"),
+        F.min("kafka_timestamp").alias("earliest_message"),
+        F.max("kafka_timestamp").alias("latest_message"),
+        F.count_if(F.col("raw_value").isNull()).alias("null_payloads"),
+    )
+
+
+def summary_of_sketches(sketches: DataFrame) -> DataFrame:
+    """`bronze_summary` from the rows of any dates; distinct keys within about 2 %."""
+    return sketches.agg(
+        F.coalesce(F.sum("total_rows"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("accounts")), F.lit(0)).alias(
+            "unique_accounts"
+        ),
+        F.min("earliest_message").alias("earliest_message"),
+        F.max("latest_message").alias("latest_message"),
+        F.coalesce(F.sum("null_payloads"), F.lit(0)).alias("null_payloads"),
+    )
+
+
 def silver_preview(silver: DataFrame, rows: int = 20) -> DataFrame:
     """The first transactions by id."""
     return (

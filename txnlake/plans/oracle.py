@@ -289,6 +289,12 @@ def oracle_sql() -> dict[str, str]:
               min(kafka_timestamp) AS earliest_message, max(kafka_timestamp) AS latest_message,
               CAST(sum(CASE WHEN raw_value IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_payloads
             FROM bronze""",
+        "bronze_summary_sketches": """
+            SELECT CAST(count(*) AS BIGINT) AS total_rows,
+              CAST(count(DISTINCT kafka_key) AS BIGINT) AS unique_accounts,
+              min(kafka_timestamp) AS earliest_message, max(kafka_timestamp) AS latest_message,
+              CAST(sum(CASE WHEN raw_value IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_payloads
+            FROM bronze""",
         "bronze_preview": f"""
             SELECT {BRONZE} FROM bronze
             ORDER BY kafka_topic, kafka_partition, kafka_offset LIMIT 10""",

@@ -107,6 +107,9 @@ BATCH: dict[str, Query] = {
         lake.stored_bronze(spark, sf_dir), lake.stored_silver(spark, sf_dir)
     ),
     "bronze_summary": _on_bronze_table(reports.bronze_summary),
+    "bronze_summary_sketches": _on_bronze_table(
+        lambda bronze: reports.summary_of_sketches(reports.bronze_sketches(bronze))
+    ),
     "bronze_preview": _on_bronze_table(reports.bronze_preview),
     "silver_preview": _on_silver_table(reports.silver_preview),
     "fraud_summary": _on_silver_table(reports.fraud_summary),
