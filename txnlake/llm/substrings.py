@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +26,8 @@ from txnlake.llm.common import RID, RID_TYPE, numbered, nulls_last, stored
 
 RUN_WORDS = 12
 LONE_WORDS = 25
-SENTENCE_END = re.compile(r"(?<=[.!?])\s+|(?<=[。！？｡।؟۔])\s*|\n\s*")
+# One set of characters at the front, which `re` looks for without trying the rest everywhere.
+SENTENCE_END = re.compile(r"[.!?。！？｡।؟۔\n](?:(?<=[.!?])\s+|(?<![.!?])\s*)")
 # Scripts without blanks between words: a word is one character, or four of an alphabet.
 SINGLE = "\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff"
 FOURS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
@@ -72,7 +74,7 @@ def runs(plain: list[str], run_words: int, lone_words: int) -> list[tuple[int, i
 
 
 def _hashed(rows: DataFrame, run_words: int, lone_words: int) -> DataFrame:
-    """Rows (_rid, doc_id, runs); `own` marks a run that occurred before in the same text."""
+    """Rows (_rid, doc_id, n_sentences, runs); `own` marks a run that came before in the same text."""
 
     def one(text: str):
         plain, _ = sentences(text)
@@ -83,13 +85,13 @@ def _hashed(rows: DataFrame, run_words: int, lone_words: int) -> DataFrame:
             key = digest(marks[16 * a : 16 * b + 16])
             found.append((key, a, b, key in seen))
             seen.add(key)
-        return found
+        return len(plain), found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for start in range(0, big.num_rows, 500):
                 batch = big.slice(start, 500)
-                found = [one(t.as_py() or "") for t in batch.column("text")]
+                sizes, found = zip(*(one(t.as_py() or "") for t in batch.column("text")), strict=True)
                 every = [r for f in found for r in f]
                 keys = np.frombuffer(b"".join(r[0] for r in every), np.int64)
                 ends = np.cumsum([0, *map(len, found)])
@@ -107,51 +109,58 @@ def _hashed(rows: DataFrame, run_words: int, lone_words: int) -> DataFrame:
                     [
                         batch.column(RID),
                         batch.column("doc_id"),
+                        pa.array(sizes, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
                     ],
-                    names=[RID, "doc_id", "runs"],
+                    names=[RID, "doc_id", "n_sentences", "runs"],
                 )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     one_run = "struct<h1: long, h2: long, a: int, b: int, own: boolean>"
-    return rows.mapInArrow(run, f"{RID} {RID_TYPE}, doc_id {kind}, runs array<{one_run}>")
+    return rows.mapInArrow(
+        run, f"{RID} {RID_TYPE}, doc_id {kind}, n_sentences long, runs array<{one_run}>"
+    )
 
 
 def _cut(rows: DataFrame, kind: str) -> DataFrame:
-    """Rows (doc_id, n_sentences, n_removed, text) for rows (_rid, doc_id, text, spans)."""
+    """Rows (doc_id, n_sentences, n_removed, text) for rows with the spans to go, null for none.
+
+    Only texts that lose something are cut into sentences again.
+    """
 
-    def one(text: str | None, spans):
-        if text is None:
-            return 0, 0, None
+    def one(text: str, spans):
         plain, starts = sentences(text)
         gone = np.zeros(len(plain) + 1, np.int64)
-        for s in spans or []:
+        for s in spans:
             gone[s["a"]] += 1
             gone[s["b"] + 1] -= 1
         gone = np.cumsum(gone)[:-1] > 0
-        if not gone.any():
-            return len(plain), 0, text
         pieces = [text[a:b] for a, b, g in zip(starts[:-1], starts[1:], gone, strict=True) if not g]
-        return len(plain), int(gone.sum()), "".join(pieces).rstrip()
+        return int(gone.sum()), "".join(pieces).rstrip()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for start in range(0, big.num_rows, 500):
                 batch = big.slice(start, 500)
-                pairs = zip(batch.column("text"), batch.column("spans"), strict=True)
+                losing = pc.is_valid(batch.column("spans"))
+                some = batch.filter(losing)
+                pairs = zip(some.column("text"), some.column("spans"), strict=True)
                 found = [one(t.as_py(), s.as_py()) for t, s in pairs]
+                removed = np.zeros(batch.num_rows, np.int64)
+                removed[np.asarray(losing)] = [f[0] for f in found]
+                left = pa.array([f[1] for f in found], pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(RID),
                         batch.column("doc_id"),
-                        pa.array([f[0] for f in found], pa.int64()),
-                        pa.array([f[1] for f in found], pa.int64()),
-                        pa.array([f[2] for f in found], pa.string()),
+                        batch.column("n_sentences"),
+                        pa.array(removed),
+                        pc.replace_with_mask(batch.column("text").cast(pa.string()), losing, left),
                     ],
                     names=[RID, "doc_id", "n_sentences", "n_removed", "text"],
                 )
 
-    return rows.select(RID, "doc_id", "text", "spans").mapInArrow(
+    return rows.select(RID, "doc_id", "n_sentences", "text", "spans").mapInArrow(
         run,
         f"{RID} {RID_TYPE}, doc_id {kind}, n_sentences long, n_removed long, text string",
     )
@@ -174,7 +183,8 @@ def dedup_substrings(
     result.  Other columns are not read.  Runs are compared by 128-bit hashes.
     """
     rows = numbered(docs, F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    hashed = _hashed(rows, run_words, lone_words)
+    # Texts are cut into sentences and hashed once; both readers of the runs take what is written.
+    hashed = stored(_hashed(rows, run_words, lone_words), "runs")
     spans = hashed.select(RID, "doc_id", F.explode("runs").alias("r")).select(
         F.col("r.h1").alias("h1"),
         F.col("r.h2").alias("h2"),
@@ -205,4 +215,5 @@ def dedup_substrings(
         .agg(F.collect_set("span").alias("spans"))
     )  # at most two spans for each sentence of the document
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return _cut(rows.join(gone, RID, "left"), kind)
+    sizes = hashed.select(RID, "n_sentences").join(gone, RID, "left")
+    return _cut(rows.join(sizes, RID), kind)
