@@ -2,6 +2,7 @@ import re
 
 from helpers import documents, saved
 
+from txnlake.llm import decontaminate as module
 from txnlake.llm.decontaminate import clean_rows, decontaminate, words_hit
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -70,3 +71,21 @@ def test_no_items_or_no_documents(spark, tmp_path):
     found, docs, items = run(spark, tmp_path, TEXTS, [])
     assert found == brute([(0, t) for t in TEXTS], [], 10)
     assert run(spark, tmp_path, [], ITEMS)[0] == []
+
+
+def test_an_item_of_one_word_sends_that_word_only(spark, tmp_path, monkeypatch):
+    sent, probes = [], module._probes
+
+    def kept(*parameters):
+        sent.append(probes(*parameters))
+        return sent[-1]
+
+    monkeypatch.setattr(module, "_probes", kept)
+    texts = ["the cat sat on the mat and the dog " * 40, LONG]
+    items = [(1, "the"), (2, " ".join(LONG.split()[:12]))]
+    found, _, _ = run(spark, tmp_path, texts, items)
+    assert found == brute([(0, t) for t in texts], items, 10)
+    around = sent[0].selectExpr("explode(probes.around) a").collect()
+    assert sum(row.a == "the" for row in around) == 120
+    # The three windows of the other item, each with ten words.
+    assert max(len(row.a.split()) for row in around) <= 19

@@ -62,3 +62,14 @@ def test_slices_cover_all_rows_in_order():
     assert [i for a, b in found for i in range(a, b)] == list(range(len(sizes)))
     assert all(sum(sizes[a:b]) <= 8 or b - a == 1 for a, b in found)
     assert list(byte_slices([], 8)) == [] and np.diff(found).min() > 0
+
+
+def test_pieces_of_long_texts_give_the_same_words():
+    rng = random.Random(6)
+    some = [*texts(), "".join(rng.choices(["ab", " ", "É", "\n", "Z9"], k=5000)), "x" * 3000, ""]
+    data, offsets = buffers(pa.array(some))
+    whole = words_of(data, offsets)
+    for piece in (1, 7, 100, 1000):
+        parts = words_of(data, offsets, piece)
+        for name in ("low", "starts", "ends", "first", "hashes"):
+            assert np.array_equal(getattr(parts, name), getattr(whole, name))

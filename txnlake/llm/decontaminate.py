@@ -11,8 +11,8 @@ only if all of its shingles are, so its rarest shingle is prefix enough.  Four s
 4. compare the words of the window with those of the document.
 
 Documents are read twice and never shuffled: tasks send on the shingles that a bit table
-of fixed size admits, each with the words around it.  The table lets some others pass; the join drops
-those.
+of fixed size admits, each with as many words around it as a window filed under it can need, by a
+second table of fixed size.  The tables let some others pass, or some words more; the join drops those.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ WINDOW = 10
 SHINGLE = 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 TABLE_BITS = 24  # the bit table takes 2 MB at any size of the benchmark
+REACH_BITS = 19  # a table of 4 MB
 CHUNK_BYTES = 1 << 20
 CUT = 1 << 15  # bits of one bitmap of Spark's
 
@@ -88,6 +89,19 @@ def _bit_table(hashes: DataFrame) -> np.ndarray:
     return bits
 
 
+def _reach_table(prefixes: DataFrame) -> np.ndarray:
+    """By the first REACH_BITS bits of h: the most words before and from the shingle in a window."""
+    slot = F.shiftrightunsigned("h", 64 - REACH_BITS).cast("int")
+    most = prefixes.groupBy(slot.alias("slot")).agg(
+        F.max("off").cast("int").alias("before"), F.max(F.col("n") - F.col("off")).alias("after")
+    )
+    rows = most.toArrow()  # one row for each slot at most
+    reach = np.zeros((1 << REACH_BITS, 2), np.int32)
+    for i, side in enumerate(("before", "after")):
+        reach[np.asarray(rows["slot"]), i] = np.asarray(rows[side])
+    return reach
+
+
 def _admitted(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     slot = hashes >> np.uint64(64 - TABLE_BITS)
     held = bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)
@@ -119,7 +133,7 @@ def _seen(texts: DataFrame, bits, lengths: list[int]) -> DataFrame:
     return texts.mapInArrow(run, "h long, n long")
 
 
-def _probes(rows: DataFrame, bits, lengths: list[int], window: int) -> DataFrame:
+def _probes(rows: DataFrame, bits, reach, lengths: list[int]) -> DataFrame:
     """For each document its number of words and its admitted shingles with their surroundings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,8 +149,9 @@ def _probes(rows: DataFrame, bits, lengths: list[int], window: int) -> DataFrame
                 order = np.argsort(at, kind="stable")
                 at, h = at[order], h[order]
                 doc = np.searchsorted(words.first, at, "right") - 1
-                begin = np.maximum(words.first[doc], at - window + 1)
-                end = np.minimum(words.first[doc + 1], at + window)
+                sides = reach.value[h.view(np.uint64) >> np.uint64(64 - REACH_BITS)]
+                begin = np.maximum(words.first[doc], at - sides[:, 0])
+                end = np.minimum(words.first[doc + 1], at + sides[:, 1])
                 around = [words.text(x, y) for x, y in zip(begin, end, strict=True)]
                 probes = pa.StructArray.from_arrays(
                     [
@@ -198,7 +213,8 @@ def decontaminate(
     )
 
     rare = spark.sparkContext.broadcast(_bit_table(prefixes))
-    probes = _probes(rows, rare, lengths, window).select(
+    reach = spark.sparkContext.broadcast(_reach_table(prefixes))
+    probes = _probes(rows, rare, reach, lengths).select(
         RID, "n_words", F.explode_outer("probes").alias("p")
     )
     # Documents without a probe get a key of their own, so that they do not meet in one task.

@@ -95,8 +95,27 @@ class Words:
         return mixed(total[at] + np.uint64(length)), at
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of the texts data[offsets[i]:offsets[i + 1]], A-Z lower-cased."""
+PIECE = 1 << 20  # bytes that are looked at at once
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, piece: int = PIECE) -> Words:
+    """Words of the texts data[offsets[i]:offsets[i + 1]], A-Z lower-cased.
+
+    Work arrays, many times as large as the text, are made for a piece at a time.
+    """
+    if len(data) <= 2 * piece:
+        return _words_of(data, offsets)
+    places = cuts_between_words(data, piece)
+    parts = []
+    for a, b in zip(places[:-1], places[1:], strict=True):
+        inner = offsets[(offsets > a) & (offsets < b)] - a
+        part = _words_of(data[a:b], np.concatenate([[0], inner, [b - a]]))
+        parts.append((part.starts + a, part.ends + a, part.hashes))
+    starts, ends, hashes = (np.concatenate(arrays) for arrays in zip(*parts, strict=True))
+    return Words(LOWER[data], starts, ends, np.searchsorted(starts, offsets), hashes)
+
+
+def _words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     low = LOWER[data]
     inside = np.zeros(len(data) + 2, bool)
     inside[1:-1] = IS_WORD[data]
