@@ -164,3 +164,20 @@ def test_scores_against_a_plain_computation(spark, tmp_path):
         assert r.lang_pred == names[int(chance.argmax())]
         assert abs(r.score - chance.max()) < 1e-9
         assert r.rejected == (chance.max() < language.MIN_SCORE)
+
+
+def test_long_texts_in_pieces_are_judged_as_whole(monkeypatch):
+    rng = np.random.default_rng(3)
+    scores = rng.normal(size=(language.BUCKETS, 3)).astype(np.float32)
+    model = language.Model(["a", "b", "c"], scores, np.zeros(3, np.float32))
+    texts = pa.array(["Größe und Maß, " * 700, "short one", "", None, "été 1999 " * 900])
+    readable = pa.array([True, True, False, False, True])
+
+    def judged():
+        parts = list(language._judged(model, texts, readable))
+        return np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
+
+    best, chance = judged()
+    monkeypatch.setattr(language, "CHUNK_BYTES", 1000)
+    again, chances = judged()
+    assert (best == again).all() and np.allclose(chance, chances)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txnlake.llm.common import RID, RID_TYPE, byte_slices, numbered, small_batches
-from txnlake.llm.words import buffers
+from txnlake.llm.words import buffers, cuts_between_words
 
 BUCKETS = 1 << 14
 DIMENSIONS = 16
@@ -88,14 +89,29 @@ def _chunks(texts: pa.Array):
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
+def _pieces(data: np.ndarray, offsets: np.ndarray):
+    """A chunk as it is, or a long text (such a chunk has no other) in pieces between words."""
+    if len(data) <= 2 * CHUNK_BYTES:
+        yield data, offsets
+        return
+    places = cuts_between_words(data, CHUNK_BYTES)
+    for a, b in zip(places[:-1], places[1:], strict=True):
+        yield data[a:b], np.array([0, b - a])
+
+
 def _counted(rows: DataFrame) -> DataFrame:
     """Rows (place, lang, fold, bucket[], n[]) for rows (place, lang, fold, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in _chunks(batch.column("text")):
-                bucket, owner = subwords(data, offsets)
-                key, n = np.unique(owner * BUCKETS + bucket, return_counts=True)
+                parts = []
+                for piece, borders in _pieces(data, offsets):
+                    bucket, owner = subwords(piece, borders)
+                    parts.append(np.unique(owner * BUCKETS + bucket, return_counts=True))
+                keys, counts = (np.concatenate(arrays) for arrays in zip(*parts, strict=True))
+                key, part = np.unique(keys, return_inverse=True)
+                n = np.bincount(part, counts, len(key))
                 ends = np.searchsorted(key // BUCKETS, np.arange(b - a + 1))
                 ends = pa.array(ends, pa.int32())
                 yield pa.RecordBatch.from_arrays(
@@ -103,23 +119,46 @@ def _counted(rows: DataFrame) -> DataFrame:
                         batch.column("place").slice(a, b - a),
                         batch.column("lang").slice(a, b - a),
                         batch.column("fold").slice(a, b - a),
-                        pa.ListArray.from_arrays(ends, pa.array(key % BUCKETS, pa.int32())),
-                        pa.ListArray.from_arrays(ends, pa.array(n, pa.int32())),
+                        pa.ListArray.from_arrays(ends, pa.array(key % BUCKETS, pa.int16())),
+                        pa.ListArray.from_arrays(ends, pa.array(n, pa.float32())),
                     ],
                     names=["place", "lang", "fold", "bucket", "n"],
                 )
 
-    schema = "place long, lang string, fold int, bucket array<int>, n array<int>"
+    schema = "place long, lang string, fold int, bucket array<short>, n array<float>"
     return rows.select("place", "lang", "fold", "text").mapInArrow(run, schema)
 
 
+class Example(NamedTuple):
+    """A row of the sample: its buckets, and how many of its subwords are in each."""
+
+    place: int
+    lang: str
+    fold: int
+    bucket: np.ndarray
+    n: np.ndarray
+
+
+def _examples(sample: DataFrame) -> list[Example]:
+    """The sample at the driver, six bytes for each bucket of a row."""
+    out = []
+    for batch in sample.toArrow().to_batches():
+        plain = (batch.column(name).to_pylist() for name in ("place", "lang", "fold"))
+        lists = (batch.column("bucket"), batch.column("n"))
+        values = [np.asarray(c.values) for c in lists]
+        starts = [np.asarray(c.offsets) for c in lists]
+        for i, row in enumerate(zip(*plain, strict=True)):
+            out.append(Example(*row, *(v[s[i] : s[i + 1]] for v, s in zip(values, starts, strict=True))))
+    return sorted(out, key=lambda e: (e.place, e.lang))
+
+
 def _softmax(scores: np.ndarray) -> np.ndarray:
     out = np.exp(scores - scores.max(axis=1, keepdims=True))
     return out / out.sum(axis=1, keepdims=True)
 
 
-def train(rows: list, languages: list[str]) -> Model:
-    """Fit embeddings, softmax and temperature to rows with lang, fold, bucket and n."""
+def train(rows: list[Example], languages: list[str]) -> Model:
+    """Fit embeddings, softmax and temperature to the rows of a sample."""
     rng = np.random.default_rng(SEED)
     k = len(languages)
     embed = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
@@ -133,8 +172,8 @@ def train(rows: list, languages: list[str]) -> Model:
     def dense(chosen):
         x = np.zeros((len(chosen), BUCKETS), np.float32)
         for i, j in enumerate(chosen):
-            n = np.asarray(rows[j].n, np.float32)
-            x[i, np.asarray(rows[j].bucket, np.int64)] = n / max(n.sum(), 1)
+            n = rows[j].n
+            x[i, rows[j].bucket] = n / max(n.sum(), 1)
         return x
 
     learn = np.flatnonzero(~held)
@@ -193,8 +232,7 @@ def fit(
         F.xxhash64(F.lit(SEED), F.col(doc_id), F.col(text)).alias("place"),
         learnable(F.col(doc_id)).alias("usable"),
     ).filter("usable and lang is not null and text is not null")
-    sample = _counted(_sampled(rows.drop("usable"))).collect()
-    sample = sorted(sample, key=lambda r: (r.place, r.lang, r.bucket, r.n))
+    sample = _examples(_counted(_sampled(rows.drop("usable"))))
     if not sample:
         return None
     return train(sample, sorted({r.lang for r in sample}))
@@ -228,11 +266,12 @@ def _sampled(rows: DataFrame) -> DataFrame:
 def _judged(model: Model, texts: pa.Array, readable: pa.Array):
     """For row ranges: number of the language and score."""
     for a, b, data, offsets in _chunks(texts):
-        bucket, owner = subwords(data, offsets)
-        total = np.empty((b - a, len(model.languages)))
-        for i in range(len(model.languages)):
-            total[:, i] = np.bincount(owner, model.scores[bucket, i], b - a)
-        n = np.bincount(owner, minlength=b - a)
+        total, n = np.zeros((b - a, len(model.languages))), np.zeros(b - a, np.int64)
+        for piece, borders in _pieces(data, offsets):
+            bucket, owner = subwords(piece, borders)
+            for i in range(len(model.languages)):
+                total[:, i] += np.bincount(owner, model.scores[bucket, i], b - a)
+            n += np.bincount(owner, minlength=b - a)
         chance = _softmax(total / np.maximum(n, 1)[:, None] + model.bias)
         own = np.asarray(readable.slice(a, b - a))
         best = np.where(own, chance.argmax(axis=1), len(model.languages))
