@@ -15,7 +15,7 @@ from txnlake.operators.bronze import to_bronze
 from txnlake.plans import config, lake, runner, streams
 from txnlake.plans.config import LakeConfig
 from txnlake.sources.kafka import FileSource, JsonFileSink, KafkaSink, KafkaSource
-from txnlake.streaming import counters, hops, layers, windows
+from txnlake.streaming import counters, hops, late, layers, windows
 from txnlake.streaming.counters import Place
 
 NORMAL = ("POS_PURCHASE", 42.5, "US", "USD")
@@ -296,6 +296,8 @@ def test_geo_hop_admits_what_the_watermark_admits(spark, tmp_path):
     twin = detect.geo_hop(silver_rows(spark, in_time))
     assert same_rows(stream.with_waiting(spark), twin)
     assert {r.transaction_id for r in stream.result(spark).collect()} == {"tx-0", "tx-2", "tx-3"}
+    behind = stream.late(spark).select("transaction_id", "delay_seconds").collect()
+    assert [tuple(row) for row in behind] == [("tx-late", 4340.0)]
 
 
 def test_a_repeated_batch_gives_the_same_hops(spark, tmp_path):
@@ -347,6 +349,41 @@ def test_late_feed_of_the_test_tables(spark, sf_dir):
     assert result.agg(F.sum("txn_count")).first()[0] < lake.stored_silver(spark, sf_dir).count()
 
 
+def test_late_and_accepted_rows_are_the_input(spark, sf_dir):
+    gate = streams.late_gate_run(spark, sf_dir)
+    n_late, n_accepted = gate.late(spark).count(), gate.accepted(spark).count()
+    assert n_late > 0
+    assert n_late + n_accepted == lake.stored_silver(spark, sf_dir).count()
+    assert gate.counts(spark) == {"total": n_late + n_accepted, "late": n_late}
+
+
+def test_gate_splits_by_window_and_a_repeated_batch_adds_nothing(spark, tmp_path):
+    gate = late.LateGate(str(tmp_path), schema="transaction_id STRING, event_timestamp TIMESTAMP")
+
+    def batch(*rows):
+        noon = datetime(2024, 5, 1, 12)
+        placed = [(name, None if s is None else noon + timedelta(seconds=s)) for name, s in rows]
+        return spark.createDataFrame(placed, gate.schema)
+
+    batches = [
+        batch(("first", 0), ("timeless", None)),
+        batch(),
+        batch(("next", 4200)),  # leaves a watermark of 13:00
+        batch(("closed", 3599), ("open", 3600), ("again", 5000)),
+    ]
+    for number, rows in enumerate(batches):
+        gate.take(rows, number)
+    gate.take(batches[-1], len(batches) - 1)
+    found = [tuple(r) for r in gate.late(spark).select("transaction_id", "delay_seconds").collect()]
+    assert found == [("closed", 1.0)]
+    names = sorted(r.transaction_id for r in gate.accepted(spark).collect())
+    assert names == ["again", "first", "next", "open", "timeless"]
+    for number in range(len(batches), 23):  # folded twice
+        gate.take(batch((f"n{number}", 5000), ("old", -9000)), number)
+    assert gate.counts(spark) == {"total": 6 + 2 * 19, "late": 1 + 19}
+    assert gate.late(spark).count() == 20
+
+
 def test_counters_do_not_depend_on_reports(spark, pipeline):
     cfg, land = pipeline
     cfg = replace(cfg, database="txnlake_counters")

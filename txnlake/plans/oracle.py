@@ -245,9 +245,13 @@ FROM {rows} GROUP BY ALL
 # The watermark at the end of a stream: windows that end later are still open.
 WATERMARK = "(SELECT max(event_timestamp) FROM silver) - INTERVAL 10 MINUTE"
 
-FIRST_QUARTER_END = """(
-  SELECT make_timestamp((epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) // 4)
-    // 1000 * 1000) FROM events)"""
+def _quarter_end(quarters: int) -> str:
+    return f"""(
+  SELECT make_timestamp((epoch_us(min(ts))
+    + {quarters} * ((epoch_us(max(ts)) - epoch_us(min(ts))) // 4)) // 1000 * 1000) FROM events)"""
+
+
+FIRST_QUARTER_END = _quarter_end(1)
 
 PREVIEW = """transaction_id, account_id, amount, currency, transaction_type, merchant_name,
   merchant_category, city, country, is_fraud, fraud_reasons"""
@@ -371,5 +375,15 @@ def oracle_sql() -> dict[str, str]:
                 country = 'JP' AND event_timestamp < {FIRST_QUARTER_END}, FALSE)
             ) AS in_time''')}) AS hours
             WHERE hour_start + INTERVAL 1 HOUR <= {WATERMARK}""",
+        "stream_late_rows": f"""
+            SELECT transaction_id, account_id, event_timestamp,
+              round((epoch_us(watermark) - epoch_us(event_timestamp)) / 1e6, 3) AS delay_seconds
+            FROM silver, (
+              SELECT max(event_timestamp) - INTERVAL 10 MINUTE AS watermark FROM silver
+              WHERE event_timestamp < {_quarter_end(3)}
+                AND NOT coalesce(
+                  country = 'JP' AND event_timestamp < {FIRST_QUARTER_END}, FALSE)) AS before
+            WHERE country = 'JP' AND event_timestamp < {FIRST_QUARTER_END}
+              AND date_trunc('hour', event_timestamp) + INTERVAL 1 HOUR <= watermark""",
     }
     return {name: _with_layers(select) for name, select in {**batch, **streams}.items()}

@@ -147,6 +147,7 @@ STREAMS: dict[str, Query] = {
     "stream_sliding_volume": streams.stream_sliding_volume,
     "stream_velocity": streams.stream_velocity,
     "stream_late_data": streams.stream_late_data,
+    "stream_late_rows": streams.stream_late_rows,
     "stream_currency_join": streams.stream_currency_join,
 }
 

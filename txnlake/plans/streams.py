@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txnlake import files, schemas, session
 from txnlake.functions.rules import COUNTRY_CURRENCY
@@ -14,7 +15,7 @@ from txnlake.plans import config, lake
 from txnlake.plans.config import LakeConfig
 from txnlake.plans.runner import counted, finish
 from txnlake.sources.kafka import FileSource
-from txnlake.streaming import counters, hops, layers, windows
+from txnlake.streaming import counters, hops, late, layers, windows
 from txnlake.streaming.counters import Place
 
 BATCHES = 8  # micro-batches that a landing is read in, about
@@ -172,7 +173,7 @@ DELAYED_FEED = "country = 'JP'"
 
 
 def late_data_run(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
-    """Hourly spend without the rows that came too late, and how many groups' rows were late."""
+    """Hourly spend without the rows that came too late, and how many late partial sums went."""
     result, place = _stateful(
         spark, sf_dir, "stream_late_data", windows.hourly_spend, DELAYED_FEED
     )
@@ -196,3 +197,25 @@ def stream_currency_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return late_data_run(spark, sf_dir)[0]
+
+
+def late_gate_run(spark: SparkSession, sf_dir: str) -> late.LateGate:
+    """Silver arrivals through a gate before hourly windows, one feed too late."""
+    session.use_utc(spark)
+    root = session.scratch_dir(spark, "stream_late_rows")
+    gate = late.LateGate(f"{root}/gate")
+    for _ in lake.silver_arrivals(spark, sf_dir, f"{root}/silver", DELAYED_FEED):
+        rows = spark.readStream.schema(schemas.SILVER).parquet(f"{root}/silver")
+        finish(gate.start(rows))
+    return gate
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row that came too late for its hour, and by how much."""
+    rows = late_gate_run(spark, sf_dir).late(spark)
+    return rows.select(
+        "transaction_id",
+        "account_id",
+        "event_timestamp",
+        F.round("delay_seconds", 3).alias("delay_seconds"),
+    )

@@ -33,6 +33,7 @@ HOP_SCHEMA = (
 )
 # `closed` rows are behind the watermark, which lies in a small file beside the rows.
 STATE_SCHEMA = f"{VISIT_SCHEMA}, closed BOOLEAN"
+LATE_SCHEMA = f"{VISIT_SCHEMA}, delay_seconds DOUBLE"
 MARK = "_watermark"
 WATERMARK_SECONDS = 600
 
@@ -62,13 +63,16 @@ class HopStream:
         """One micro-batch: hops of the rows it closes, and the state for the next one."""
         spark = batch.sparkSession
         before, mark = self._read_state(spark, number - 1)
-        fresh = batch.filter("account_id IS NOT NULL AND event_timestamp IS NOT NULL")
-        if mark is not None:
-            fresh = fresh.filter(F.unix_micros("event_timestamp") >= mark)
-        # Three steps read the rows of the batch: without this each would go back to the source.
-        fresh = fresh.select(*VISIT, F.lit(False).alias("closed")).persist()
+        at = F.unix_micros("event_timestamp")
+        placed = batch.filter("account_id IS NOT NULL AND event_timestamp IS NOT NULL")
+        delay = F.lit(None).cast("double") if mark is None else (F.lit(mark) - at) / timeline.SECOND
+        # Several steps read the rows of the batch: without this each would go back to the source.
+        placed = placed.select(*VISIT, delay.alias("delay_seconds")).persist()
+        late = placed.filter("delay_seconds > 0")
+        fresh = placed.filter("delay_seconds IS NULL OR delay_seconds <= 0")
+        fresh = fresh.select(*VISIT, F.lit(False).alias("closed"))
         try:
-            latest = fresh.agg(F.max(F.unix_micros("event_timestamp"))).first()[0]
+            latest, n_late = placed.agg(F.max(at), F.count_if(F.col("delay_seconds") > 0)).first()
             if latest is not None:
                 closing = latest - self.watermark_seconds * timeline.SECOND
                 mark = closing if mark is None else max(mark, closing)
@@ -79,19 +83,21 @@ class HopStream:
             ready = rows.filter(is_ready)
             hops = self._hops(ready)
             state = rows.filter(~is_ready).unionByName(self._last(ready, mark or 0))
-            # Neither needs the other, and each is mostly waiting for small stages.
-            with ThreadPoolExecutor(2) as both:
+            outputs = [
+                (hops, f"{self.root}/hops/batch={number}"),
+                (state, self._state(number)),
+            ]
+            if n_late:
+                outputs.append((late, f"{self.root}/late/batch={number}"))
+            # None needs another, and each is mostly waiting for small stages.
+            with ThreadPoolExecutor(len(outputs)) as pool:
                 writes = [
-                    both.submit(df.write.mode("overwrite").parquet, path)
-                    for df, path in (
-                        (hops, f"{self.root}/hops/batch={number}"),
-                        (state, self._state(number)),
-                    )
+                    pool.submit(df.write.mode("overwrite").parquet, path) for df, path in outputs
                 ]
                 for write in writes:
                     write.result()
         finally:
-            fresh.unpersist()
+            placed.unpersist()
         # The state is whole once it has its watermark.
         files.write_text(spark, f"{self._state(number)}/{MARK}", json.dumps(mark))
         files.delete(spark, self._state(number - 2))
@@ -103,6 +109,13 @@ class HopStream:
             return spark.createDataFrame([], HOP_SCHEMA)
         return spark.read.schema(HOP_SCHEMA).parquet(*folders)
 
+    def late(self, spark: SparkSession) -> DataFrame:
+        """Rows that came behind the watermark and are in no hop, with their delay."""
+        folders = files.children(spark, f"{self.root}/late")
+        if not folders:
+            return spark.createDataFrame([], LATE_SCHEMA)
+        return spark.read.schema(LATE_SCHEMA).parquet(*folders)
+
     def with_waiting(self, spark: SparkSession) -> DataFrame:
         """The hops decided so far, and those of waiting rows as if no other row could come."""
         versions = files.children(spark, f"{self.root}/state")
